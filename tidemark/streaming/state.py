@@ -1,0 +1,144 @@
+"""Keyed state on plain Parquet: SCD type 1 over micro-batches.
+
+A micro-batch adds one *segment*, its latest row per key, and reads nothing of the state, so a
+batch costs what the batch holds and not what the table holds. Segments of like size are folded
+into one now and then, which keeps their number logarithmic in the number of batches. Reading is
+``latest_per_key`` over the current segments, deletes filtered last: tombstones stay in the
+state, so a late change cannot revive a deleted key.
+
+A segment is a folder ``seg=<first batch>-<last batch>`` and counts once Spark has put its
+``_SUCCESS`` marker. A larger segment supersedes those it covers. A batch replayed after a crash
+finds its segment there, or rewrites the unfinished one; there is no pointer to move.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.contracts.model import OP, SEQUENCE
+from tidemark.operators.keyed import change_order, latest_per_key, without_deletes
+from tidemark.sources.storage import child_names, delete, exists, size_of
+
+SEGMENT = re.compile(r"seg=(\d+)-(\d+)\Z")
+
+
+@dataclass(frozen=True)
+class Segment:
+    first: int
+    last: int
+
+    @property
+    def folder(self) -> str:
+        return f"seg={self.first:012d}-{self.last:012d}"
+
+    def covers(self, other: Segment) -> bool:
+        return self.first <= other.first and other.last <= self.last
+
+
+@dataclass(frozen=True)
+class KeyedState:
+    """The current state of a change stream in the folder ``path``.
+
+    ``fold_ratio``: a segment is folded into the older one next to it once it has grown to this
+    share of that one's size, so every row is rewritten a logarithmic number of times.
+    ``tombstone_retention``: when folding reaches the oldest segment, deletes whose sequence lies
+    further than this behind the newest one are forgotten; None keeps them all.
+    ``keep_history``: leave folded segments in place, for reading the state as of an earlier batch.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    sequence_by: str = SEQUENCE
+    apply_as_deletes: str = f"{OP} = 'd'"
+    tie_break: tuple[str, ...] | None = None
+    fold_ratio: float = 0.5
+    tombstone_retention: int | None = None
+    keep_history: bool = False
+    compression: str = "zstd"
+
+    def segments(self, upto: int | None = None) -> list[Segment]:
+        """Committed segments not covered by another, oldest first."""
+        found = []
+        for name in child_names(self.spark, self.path):
+            match = SEGMENT.match(name)
+            if match and exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
+                found.append(Segment(int(match[1]), int(match[2])))
+        if upto is not None:
+            found = [s for s in found if s.last <= upto]
+        current = [s for s in found if not any(o != s and o.covers(s) for o in found)]
+        return sorted(current, key=lambda s: s.first)
+
+    def _rows(self, segments: Sequence[Segment]) -> DataFrame:
+        paths = [f"{self.path}/{s.folder}" for s in segments]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def _latest(self, df: DataFrame) -> DataFrame:
+        return latest_per_key(df, self.keys, change_order(df, self.sequence_by, self.tie_break))
+
+    def _write(self, df: DataFrame, segment: Segment) -> None:
+        writer = df.sortWithinPartitions(*self.keys).write.mode("overwrite")
+        writer.option("compression", self.compression).parquet(f"{self.path}/{segment.folder}")
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """The live rows, as of the newest batch or of batch ``upto``.
+
+        A single segment holds every key once and is read without a shuffle.
+        """
+        current = self.segments(upto)
+        rows = self._rows(current)
+        return without_deletes(rows if len(current) < 2 else self._latest(rows), self.apply_as_deletes)
+
+    def apply(self, batch: DataFrame, batch_id: int) -> bool:
+        """Add one micro-batch; False when it is a replay of one already in."""
+        segment = Segment(batch_id, batch_id)
+        if any(s.covers(segment) for s in self.segments()):
+            return False
+        self._write(self._latest(batch.select(*self.schema.names)), segment)
+        self.fold()
+        return True
+
+    def fold(self, ratio: float | None = None) -> Segment | None:
+        """Merge the newest segments of like size into one; ``ratio=0`` merges everything."""
+        ratio = self.fold_ratio if ratio is None else ratio
+        current = self.segments()
+        merged, size = current[-1:], None
+        for older in reversed(current[:-1]):
+            size = size if size is not None else size_of(self.spark, f"{self.path}/{merged[0].folder}")
+            older_size = size_of(self.spark, f"{self.path}/{older.folder}")
+            if size < ratio * older_size:
+                break
+            merged, size = [older, *merged], size + older_size
+        if len(merged) < 2:
+            return None
+        rows = self._latest(self._rows(merged))
+        if self.tombstone_retention is not None and merged[0] == current[0]:
+            rows = rows.filter(~self._expired(current))
+        if not self.keep_history:
+            self._vacuum(current)
+        whole = Segment(merged[0].first, merged[-1].last)
+        self._write(rows, whole)
+        return whole
+
+    def _vacuum(self, current: Sequence[Segment]) -> None:
+        """Drop what earlier folds superseded; what this one supersedes stays for readers at work."""
+        keep = {s.folder for s in current}
+        for name in child_names(self.spark, self.path):
+            if SEGMENT.match(name) and name not in keep:
+                delete(self.spark, f"{self.path}/{name}")
+
+    def _expired(self, segments: Sequence[Segment]) -> Column:
+        newest = self._rows(segments).agg(F.max(self.sequence_by)).first()[0]
+        if newest is None:
+            return F.lit(False)
+        old = F.coalesce(F.col(self.sequence_by) < F.lit(newest - self.tombstone_retention), F.lit(True))
+        return F.coalesce(F.expr(self.apply_as_deletes), F.lit(False)) & old
