@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -45,14 +45,15 @@ class Warehouse:
     spark: SparkSession
     base: str
     version: int = 0
-    contracts: Mapping[str, Contract] = None
+    contracts: Mapping[str, Contract] = field(default_factory=lambda: CONTRACTS)
+    tie_break: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     @staticmethod
-    def open(spark: SparkSession, base: str, full_refresh: bool = False, contracts=None) -> Warehouse:
+    def open(spark: SparkSession, base: str, full_refresh: bool = False, **options) -> Warehouse:
         """The newest version below ``base``, or the next one, with empty checkpoints, to refresh."""
         known = [int(n[1:]) for n in child_names(spark, base) if n[:1] == "v" and n[1:].isdigit()]
         newest = max(known, default=0)
-        return Warehouse(spark, base, newest + 1 if full_refresh and known else newest, contracts or CONTRACTS)
+        return Warehouse(spark, base, newest + 1 if full_refresh and known else newest, **options)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/v{self.version}/{layer}/{name}"
@@ -70,6 +71,7 @@ class Warehouse:
             self.path("silver", contract.name),
             contract.struct_type,
             contract.keys,
+            tie_break=self.tie_break.get(contract.name),
             compression=contract.compression,
         )
 
