@@ -1,15 +1,16 @@
 """Keyed state: latest row per key, SCD type 1, upsert, snapshot comparison.
 
-All of them are one aggregation with ``max_by`` over a total order. Rows are reduced on the map
-side before the shuffle, so the volume shuffled is bounded by the keys per map task and a key
-holding a third of all rows reaches its reducer as one row per map task.
+The latest row is ``row_number() = 1`` over a total order. Spark turns that into a group limit on
+both sides of the shuffle: every map task keeps one row per key, so a key holding a third of all
+rows reaches its reducer as one row per map task. Columns nobody reads afterwards are pruned from
+the scan, which an aggregate over whole-row structs would prevent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts.model import OP, SEQUENCE
@@ -28,30 +29,27 @@ def _condition(c: Column | str) -> Column:
 
 def change_order(
     df: DataFrame, sequence_by: str | Column = SEQUENCE, tie_break: Sequence[str | Column] | None = None
-) -> Column:
+) -> list[Column]:
     """Total order of change records: sequence, then operation, then a tie-break.
 
-    Nulls come first. Without a given tie-break a hash of the whole row decides, which any
-    order of arrival answers alike.
+    Nulls come first. Without a given tie-break a hash of the whole row decides, which any order
+    of arrival answers alike; naming a tie-break spares reading the other columns for it.
     """
     op = [op_rank(F.col(OP))] if OP in df.columns else []
     last = [_column(c) for c in tie_break] if tie_break else [row_hash(df.columns)]
-    return F.struct(_column(sequence_by).alias("s"), *[c.alias(f"t{i}") for i, c in enumerate([*op, *last])])
+    return [_column(sequence_by), *op, *last]
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Column, apply_as_deletes: Deletes = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], apply_as_deletes: Deletes = None
 ) -> DataFrame:
     """The row ranked highest per key, then without the keys whose latest row is a delete.
 
     The delete test comes second on purpose: testing first would bring the row before the
     delete back to life.
     """
-    rest = [c for c in df.columns if c not in set(keys)]
-    picked = df.groupBy(*[_column(k) for k in keys]).agg(
-        F.max_by(F.struct(*[_column(c) for c in rest]), order).alias("_row")
-    )
-    latest = picked.select(*[_column(c) if c in set(keys) else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    ranking = Window.partitionBy(*[_column(k) for k in keys]).orderBy(*[_column(c).desc_nulls_last() for c in order])
+    latest = df.withColumn("_place", F.row_number().over(ranking)).filter(F.col("_place") == 1).drop("_place")
     return without_deletes(latest, apply_as_deletes)
 
 
@@ -82,15 +80,16 @@ def upsert(
 
     ``sequence_by`` orders rows within the batch, for instance file name, block and line.
     """
-    order = F.struct(F.lit(1).alias("side"), *[_column(c).alias(f"s{i}") for i, c in enumerate(sequence_by)])
-    fresh = batch.select(*target.columns, order.alias("_order"))
-    oldest = [F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema["_order"].dataType.fields[1:]]
-    kept = target.withColumn("_order", F.struct(F.lit(0).alias("side"), *oldest))
-    both = kept.unionByName(fresh)
-    return latest_per_key(both, keys, F.col("_order")).drop("_order")
+    ranks = [f"_order{i}" for i in range(len(sequence_by))]
+    fresh = batch.select(
+        *target.columns, F.lit(1).alias("_fresh"), *[_column(c).alias(r) for c, r in zip(sequence_by, ranks)]
+    )
+    kept = target.withColumn("_fresh", F.lit(0))
+    both = kept.unionByName(fresh, allowMissingColumns=True)
+    return latest_per_key(both, keys, ["_fresh", *ranks]).drop("_fresh", *ranks)
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+def one_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Guard for a dimension joined on something other than its merge key."""
     return latest_per_key(df.dropna(subset=list(keys)), keys, order)
 

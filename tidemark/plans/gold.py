@@ -7,7 +7,7 @@ execution broadcasts a side once its measured size is below the session's thresh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts.model import SEQUENCE
@@ -18,10 +18,9 @@ from tidemark.operators.keyed import one_row_per_key
 MEASURE_SCALE = 6
 
 
-def _newest_first(df: DataFrame, tie: str) -> Column:
+def _newest_first(df: DataFrame, tie: str) -> list[str]:
     """Order for picking one of several dimension rows: the newest change, then the merge key."""
-    sequence = F.col(SEQUENCE) if SEQUENCE in df.columns else F.lit(0).cast("bigint")
-    return F.struct(sequence.alias("s"), F.col(tie).alias("t"))
+    return [SEQUENCE, tie] if SEQUENCE in df.columns else [tie]
 
 
 def payments_by_status(payments: DataFrame) -> DataFrame:
@@ -181,5 +180,5 @@ def user_behavior(search_events: DataFrame, recommendations: DataFrame, users: D
         F.count_if(F.col("event_type") == "purchase").alias("rec_purchases"),
         F.count_distinct("product_id").alias("distinct_products_seen"),
     )
-    people = one_row_per_key(users, ["user_id"], F.struct("cpf")).select("user_id", "cpf", "city", "country")
+    people = one_row_per_key(users, ["user_id"], ["cpf"]).select("user_id", "cpf", "city", "country")
     return searches.join(seen, "user_id", "full_outer").join(people, "user_id", "left")

@@ -23,7 +23,7 @@ def own_topics(samples: DataFrame) -> DataFrame:
 
 
 def _newest(samples: DataFrame, series: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
-    return latest_per_key(samples, series, F.struct("ts", *tie_break))
+    return latest_per_key(samples, series, ["ts", *tie_break])
 
 
 def lag_by_topic(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:

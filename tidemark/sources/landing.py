@@ -138,7 +138,7 @@ def landing_changes(
     records = read_landing(spark, folder, contract, files)
     keys = LANDING_KEYS.get(contract.name, contract.keys)
     good = records.filter(F.col(CORRUPT).isNull())
-    last = latest_per_key(good, keys, F.struct("_file", "_block", "_line"))
+    last = latest_per_key(good, keys, ["_file", "_block", "_line"])
     return last.withColumns(
         {OP: F.lit("c" if batch == "incremental" else "r"), SEQUENCE: F.lit(loaded_at_ms).cast("bigint")}
     ).select(*[f.name for f in contract.payload_fields])

@@ -260,7 +260,7 @@ def scd1_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{latest_sql(EVENTS_SQL, 'user_id', 'value DESC, event_id DESC')}")
 def latest_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(event_changes(spark, sf_dir), ["user_id"], F.struct("value", "event_id"))
+    return latest_per_key(event_changes(spark, sf_dir), ["user_id"], ["value", "event_id"])
 
 
 @query(f"""WITH final AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate FROM ({latest_sql(
