@@ -1,8 +1,8 @@
 """Time series operators that never hold a whole series in one task.
 
-A series is cut into chunks of time. Work inside a chunk runs per ``(series, chunk)``; what a
-chunk needs from the past comes from one summary row per earlier chunk. Only those summaries,
-whose number depends on the time span and not on the samples, are ever ordered per series.
+A series is cut into chunks of time, short enough that the densest one stays small. Work inside a
+chunk runs per ``(series, chunk)``; what a chunk needs from the past comes from one summary row
+per earlier chunk, and only those summaries are ever ordered per series.
 """
 
 from __future__ import annotations
@@ -12,15 +12,26 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK_SECONDS = 3600
+LONGEST_CHUNK_SECONDS = 3600
+CHUNK_ROWS = 1_000_000
 
 
-def _chunk(ts: str, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds))
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _micros(ts: str | Column) -> Column:
-    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+def _chunk(ts: str, seconds: float) -> Column:
+    return F.floor(_micros(ts) / F.lit(max(1, round(seconds * 1e6))))
+
+
+def chunk_length(samples: DataFrame, series: Sequence[str], ts: str, rows: int = CHUNK_ROWS) -> float:
+    """Seconds per chunk: an hour, or less where an hour of one series holds more than ``rows``.
+
+    One number comes back to the driver, from a count that reads the series and time columns only.
+    """
+    hours = samples.groupBy(*series, _chunk(ts, LONGEST_CHUNK_SECONDS).alias("_hour")).count()
+    densest = hours.agg(F.max("count")).first()[0] or 0
+    return LONGEST_CHUNK_SECONDS / max(1, -(-densest // rows))
 
 
 def _with_carry(
@@ -39,10 +50,11 @@ def with_previous(
     ts: str,
     columns: Mapping[str, str],
     tie_break: Sequence[str] = (),
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: float | None = None,
 ) -> DataFrame:
     """Each sample with columns of the sample before it; ``columns`` maps them to their new names."""
     order = F.struct(ts, *tie_break)
+    chunk_seconds = chunk_seconds or chunk_length(df, series, ts)
     chunked = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
     sample = F.struct(*[F.col(c).alias(n) for c, n in columns.items()])
     carried = _with_carry(chunked, series, F.max_by(sample, order), lambda last, w: F.lag(last).over(w))
@@ -63,7 +75,7 @@ def rate(
     window_seconds: int = 300,
     step_seconds: int = 60,
     tie_break: Sequence[str] = (),
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: float | None = None,
 ) -> DataFrame:
     """Per-second increase of a counter over sliding windows: ``series, window_end, increase, rate``.
 
@@ -119,13 +131,14 @@ def held_for(
     hold_seconds: int,
     ts: str = "ts",
     tie_break: Sequence[str] = (),
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: float | None = None,
 ) -> DataFrame:
     """Episodes in which a condition held for at least a period: an alert with a waiting time.
 
     ``series, active_since, firing_since, last_seen, samples``: when the condition became true,
     the first and the last sample at which it had held long enough, and how many there were.
     """
+    chunk_seconds = chunk_seconds or chunk_length(samples, series, ts)
     tested = samples.withColumn("_holds", F.coalesce(condition, F.lit(False)))
     told = with_previous(tested, series, ts, {"_holds": "_held"}, tie_break, chunk_seconds)
     begins = F.when(F.col("_holds") & ~F.coalesce("_held", F.lit(False)), F.col(ts))

@@ -12,49 +12,58 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import SALTS, salted_left_join
+from tidemark.operators.skew import HEAVY_ROWS, balanced_left_join
 
 
 def _key(keys: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{k}`") for k in keys])
+    columns = [F.col(f"`{k}`") for k in keys]
+    return columns[0] if len(columns) == 1 else F.struct(*columns)
 
 
-def clashing_values(df: DataFrame, field: str, keys: Sequence[str]) -> DataFrame:
-    """The values of ``field`` that more than one key carries. Null never clashes."""
+def _values(df: DataFrame, field: str, keys: Sequence[str], counted: Column) -> DataFrame:
+    """``field, _n, _clash`` of every value that is not null."""
     key = _key(keys)
     return (
         df.filter(F.col(f"`{field}`").isNotNull())
         .groupBy(field)
-        .agg(F.min(key).alias("_least"), F.max(key).alias("_most"))
-        .filter(F.col("_least") != F.col("_most"))
-        .select(field)
+        .agg(F.count_if(counted).alias("_n"), (F.min(key) != F.max(key)).alias("_clash"))
     )
 
 
-def _flag(df: DataFrame, clashing: DataFrame, field: str, keys: Sequence[str], flag: str, salts: int) -> DataFrame:
-    marked = clashing.withColumn(flag, F.lit(True))
-    joined = salted_left_join(df, marked, field, list(keys), salts)
-    return joined.select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+def clashing_values(df: DataFrame, field: str, keys: Sequence[str]) -> DataFrame:
+    """The values of ``field`` that more than one key carries. Null never clashes."""
+    return _values(df, field, keys, F.lit(True)).filter("_clash").select(field)
+
+
+def _flag(df: DataFrame, values: DataFrame, field: str, keys: Sequence[str], flag: str, heavy_rows: int) -> DataFrame:
+    joined = balanced_left_join(df, values, field, "_clash", F.col("_clash"), list(keys), heavy_rows)
+    return joined.select(*df.columns, F.coalesce("_clash", F.lit(False)).alias(flag))
 
 
 def flag_clashing(
-    df: DataFrame, field: str, keys: Sequence[str], flag: str = "_clashes", salts: int = SALTS
+    df: DataFrame, field: str, keys: Sequence[str], flag: str = "_clashes", heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """All rows, each told whether its value clashes within ``df``."""
-    return _flag(df, clashing_values(df, field, keys), field, keys, flag, salts)
+    return _flag(df, _values(df, field, keys, F.lit(True)), field, keys, flag, heavy_rows)
 
 
 def unique_against_target(
-    batch: DataFrame, target: DataFrame, field: str, keys: Sequence[str], flag: str = "_clashes", salts: int = SALTS
+    batch: DataFrame,
+    target: DataFrame,
+    field: str,
+    keys: Sequence[str],
+    flag: str = "_clashes",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """The batch, each row told whether its value clashes within the batch or with the target.
 
-    A target row never clashes with a newer version of itself. The target is read for two
-    columns and cut down to the batch's values before anything else happens to it.
+    A target row never clashes with a newer version of itself. The target is read for the value
+    and key columns only, and of those rows only the ones sharing a value with the batch stay.
     """
     columns = [field, *keys]
     values = batch.select(field).filter(F.col(f"`{field}`").isNotNull()).distinct()
-    moved = target.select(*columns).join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    touched = moved.join(values, field, "left_semi").select(*columns)
-    owners = batch.select(*columns).unionByName(touched)
-    return _flag(batch, clashing_values(owners, field, keys), field, keys, flag, salts)
+    touched = target.select(*columns).join(values, field, "left_semi")
+    replaced = batch.select(*keys).distinct()
+    standing = touched.join(replaced, list(keys), "left_anti").select(*columns, F.lit(False).alias("_new"))
+    owners = batch.select(*columns, F.lit(True).alias("_new")).unionByName(standing)
+    return _flag(batch, _values(owners, field, keys, F.col("_new")), field, keys, flag, heavy_rows)

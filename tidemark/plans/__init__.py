@@ -7,13 +7,14 @@ from tidemark.plans.gold import (
     user_behavior,
 )
 from tidemark.plans.medallion import bronze, silver, stamp
-from tidemark.plans.users import candidates, fused_users, prepare_users, split_users, tag_users, unify_users
+from tidemark.plans.users import candidates, fused_users, missing_users, prepare_users, split_users, tag_users, unify_users
 
 __all__ = [
     "bronze",
     "candidates",
     "driver_performance",
     "fused_users",
+    "missing_users",
     "payment_funnel",
     "payment_lifecycle",
     "payments_by_status",

@@ -123,46 +123,48 @@ def order_values(orders: DataFrame) -> DataFrame:
     )
 
 
-def item_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Item totals per restaurant.
+def revenue_per_restaurant(order_items: DataFrame, orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Sales and order values of the restaurants that sold at least one item.
 
-    Items are added up per order before the join, so the join is between rows unique by order and
-    reuses the partitioning of that sum; an order with any number of items costs one joined row.
+    Items are added up per order before they meet the orders, so an order keeps its one row and
+    its value is not repeated per item. Order and item measures then come out of one aggregation
+    over that join, and orders are read once. Items of unknown orders have no restaurant.
     """
-    per_order = order_items.groupBy("order_id").agg(
+    baskets = order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items"),
         F.sum(F.col("subtotal").cast("decimal(18,2)")).alias("revenue"),
         F.sum(F.col("discount_applied").cast("decimal(18,2)")).alias("discount"),
         F.count("discount_applied").alias("discounts"),
     )
-    sold = per_order.join(orders.select("order_id", "restaurant_key"), "order_id", "inner")
-    return sold.groupBy("restaurant_key").agg(
-        F.sum("items").alias("total_items_sold"),
-        F.sum("revenue").cast("double").alias("total_revenue_brl"),
-        F.try_divide(F.sum("discount").cast("double"), F.sum("discounts")).alias("avg_discount_brl"),
+    sales = (
+        orders.select("order_id", "restaurant_key", "total_amount")
+        .join(baskets, "order_id", "left")
+        .groupBy("restaurant_key")
+        .agg(
+            F.count_distinct("order_id").alias("orders"),
+            exact_avg(F.col("total_amount")).alias("order_value"),
+            F.count("items").alias("baskets"),
+            F.sum("items").alias("total_items_sold"),
+            F.sum("revenue").cast("double").alias("total_revenue_brl"),
+            F.try_divide(F.sum("discount").cast("double"), F.sum("discounts")).alias("avg_discount_brl"),
+        )
+        .filter(F.col("baskets") > 0)
     )
-
-
-def revenue_per_restaurant(order_items: DataFrame, orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Sales and order values of the restaurants that sold at least one item."""
     places = one_row_per_key(restaurants, ["cnpj"], _newest_first(restaurants, "uuid")).select(
         F.col("cnpj").alias("restaurant_key"), F.col("name").alias("restaurant_name"), "city", "cuisine_type"
     )
-    return (
-        item_sales(order_items, orders)
-        .join(order_values(orders), "restaurant_key", "left")
-        .join(places, "restaurant_key", "left")
-        .select(
-            F.col("restaurant_key").alias("restaurant_cnpj"),
-            "restaurant_name",
-            "city",
-            "cuisine_type",
-            "total_orders",
-            "total_items_sold",
-            "total_revenue_brl",
-            "avg_order_value_brl",
-            "avg_discount_brl",
-        )
+    # Orders without a restaurant sold items too, but no order value is attributed to them.
+    known = F.col("restaurant_key").isNotNull()
+    return sales.join(places, "restaurant_key", "left").select(
+        F.col("restaurant_key").alias("restaurant_cnpj"),
+        "restaurant_name",
+        "city",
+        "cuisine_type",
+        F.when(known, F.col("orders")).alias("total_orders"),
+        "total_items_sold",
+        "total_revenue_brl",
+        F.when(known, F.col("order_value")).alias("avg_order_value_brl"),
+        "avg_discount_brl",
     )
 
 

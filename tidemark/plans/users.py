@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from tidemark.contracts.model import INGESTED_AT, OP, SEQUENCE
 from tidemark.functions.scalars import plain_id
 from tidemark.operators.fuse import fuse, quarantine_shape
 from tidemark.operators.keyed import change_order, latest_per_key
-from tidemark.operators.skew import salted_left_join
+from tidemark.operators.skew import HEAVY_ROWS, balanced_left_join
 from tidemark.plans.medallion import stamp
 
 # The columns of a fused user.
@@ -67,34 +69,44 @@ def fused_users(mongo: DataFrame, mssql: DataFrame, tie_break=None) -> DataFrame
     return fuse(left, right, "cpf", SHARED, MONGO_ONLY, MSSQL_ONLY).select(*SHAPE.names)
 
 
-def tag_users(fused: DataFrame) -> DataFrame:
+def tag_users(fused: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Every fused user with a reason for quarantine, null for none.
 
-    All rows of a repeated user id are tagged: which of them is right cannot be told. Rows
-    without a user id cannot repeat it and skip the join.
+    All rows of a repeated user id are tagged: which of them is right cannot be told. Users
+    without a user id repeat nothing.
     """
-    numbered = fused.filter(F.col("user_id").isNotNull())
-    repeated = (
-        numbered.groupBy("user_id")
+    counts = (
+        fused.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select("user_id", F.lit(DUPLICATE_USER_ID).alias("_quarantine_reason"))
+        .withColumn("_quarantine_reason", F.lit(DUPLICATE_USER_ID))
+    )
+    return balanced_left_join(
+        fused, counts, "user_id", "_quarantine_reason", F.col("_n") > 1, ["cpf"], heavy_rows
     )
-    tagged = salted_left_join(numbered, repeated, "user_id", ["cpf"])
-    unnumbered = fused.filter(F.col("user_id").isNull())
-    return tagged.unionByName(unnumbered.withColumn("_quarantine_reason", F.lit(None).cast("string")))
 
 
-def candidates(mongo: DataFrame, mssql: DataFrame, tie_break=None) -> DataFrame:
-    """Fused users and the records without a tax id, each with its quarantine reason."""
-    mongo, mssql = prepare_users(mongo), prepare_users(mssql)
-    from_mongo = {"cpf": "cpf", **{c: c for c in SHARED}, **{v: k for k, v in MONGO_ONLY.items()}}
-    from_mssql = {"cpf": "cpf", **{c: c for c in SHARED}, **{v: k for k, v in MSSQL_ONLY.items()}}
+def missing_users(mongo: DataFrame, mssql: DataFrame) -> DataFrame:
+    """The records without a tax id, which belong to nobody, in the shape of a fused user."""
+    from_mongo = {"cpf": "cpf", **{c: c for c in SHARED}, **{name: c for c, name in MONGO_ONLY.items()}}
+    from_mssql = {"cpf": "cpf", **{c: c for c in SHARED}, **{name: c for c, name in MSSQL_ONLY.items()}}
     lost = F.col("cpf").isNull()
-    missing = quarantine_shape(mongo.filter(lost), SHAPE, from_mongo, MISSING_CPF).unionByName(
+    return quarantine_shape(mongo.filter(lost), SHAPE, from_mongo, MISSING_CPF).unionByName(
         quarantine_shape(mssql.filter(lost), SHAPE, from_mssql, MISSING_CPF)
     )
-    return tag_users(fused_users(mongo, mssql, tie_break)).unionByName(missing)
+
+
+def candidates(
+    mongo: DataFrame, mssql: DataFrame, tie_break=None, keep: Callable[[DataFrame], DataFrame] = lambda fused: fused
+) -> DataFrame:
+    """Fused users and the records without a tax id, each with its quarantine reason.
+
+    Tagging reads the fused users more than once. ``keep`` can put them down in a table first, so
+    that the join of the registries runs only once.
+    """
+    mongo, mssql = prepare_users(mongo), prepare_users(mssql)
+    tagged = tag_users(keep(fused_users(mongo, mssql, tie_break)))
+    return tagged.unionByName(missing_users(mongo, mssql))
 
 
 def split_users(tagged: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
@@ -104,10 +116,8 @@ def split_users(tagged: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
     return stamp(good, "_merged_at", as_of), stamp(tagged.filter(reason.isNotNull()), "_quarantine_ts", as_of)
 
 
-def unify_users(mongo: DataFrame, mssql: DataFrame, as_of=None, tie_break=None) -> tuple[DataFrame, DataFrame]:
-    """``(users, quarantined)`` of two registries' bronze records.
-
-    Both results hang on one plan; write the candidates once and split what was written when
-    both are needed, as the pipeline runner does.
-    """
-    return split_users(candidates(mongo, mssql, tie_break), as_of)
+def unify_users(
+    mongo: DataFrame, mssql: DataFrame, as_of=None, tie_break=None, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> tuple[DataFrame, DataFrame]:
+    """``(users, quarantined)`` of two registries' bronze records."""
+    return split_users(candidates(mongo, mssql, tie_break, keep), as_of)

@@ -14,7 +14,7 @@ from tidemark.plans import gold
 from tidemark.plans import users as user_plan
 from tidemark.plans.medallion import bronze, stamp
 from tidemark.sources.files import empty, parquet_stream, write_clustered
-from tidemark.sources.storage import child_names, exists
+from tidemark.sources.storage import child_names, exists, written
 from tidemark.sources.topics import source_stream
 from tidemark.streaming.flows import QUARANTINE, append_stream, read_route, rule_metrics, silver_stream
 from tidemark.streaming.state import KeyedState
@@ -122,11 +122,11 @@ class Warehouse:
         )
 
     def run_users(self, as_of=None) -> None:
-        """Fuse the registries once, write the candidates, and split what was written."""
-        path = self.path("work", "users")
-        tagged = user_plan.candidates(self.bronze("users_mongo"), self.bronze("users_mssql"))
-        tagged.write.mode("overwrite").parquet(path)
-        good, bad = user_plan.split_users(self.spark.read.schema(tagged.schema).parquet(path), as_of)
+        """Fuse the registries once; tagging and splitting read what was written."""
+        sources = [self.bronze(name) for name in FUSED]
+        ties = self.tie_break.get("users")
+        tagged = user_plan.candidates(*sources, ties, lambda fused: written(fused, self.path("work", "users_fused")))
+        good, bad = user_plan.split_users(written(tagged, self.path("work", "users_tagged")), as_of)
         write_clustered(good, self.path("silver", "users"), ["cpf"])
         write_clustered(bad, self.path("quarantine", "users"), ["cpf"])
 

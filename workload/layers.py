@@ -17,6 +17,7 @@ from tidemark.plans import (
 )
 from tidemark.plans.gold import order_values
 from tidemark.plans.users import candidates, split_users
+from tidemark.sources.storage import work_folder, written
 from workload.inputs import INPUTS, Input, silver_sql
 from workload.registry import query, register
 
@@ -84,7 +85,9 @@ _USERS = f"{_FUSED} SELECT * FROM fused WHERE user_id IS NULL OR user_id NOT IN
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates(bronze_of(spark, sf_dir, "users_mongo"), bronze_of(spark, sf_dir, "users_mssql"), ["uuid"])
+    path = f"{work_folder(spark, 'users')}/fused"
+    sources = [bronze_of(spark, sf_dir, d) for d in ("users_mongo", "users_mssql")]
+    return candidates(*sources, ["uuid"], lambda fused: written(fused, path))
 
 
 @query(_USERS)
