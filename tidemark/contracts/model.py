@@ -94,6 +94,11 @@ class Contract:
     def struct_type(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, SPARK_TYPES[f.type], f.nullable) for f in self.fields])
 
+    @property
+    def record_type(self) -> T.StructType:
+        """The same columns as they are stored: rows that break a rule hold nulls anywhere."""
+        return T.StructType([T.StructField(f.name, SPARK_TYPES[f.type]) for f in self.fields])
+
     @property
     def payload_fields(self) -> tuple[Field, ...]:
         """The fields a source delivers: everything but the arrival stamp set on ingest."""
@@ -101,7 +106,7 @@ class Contract:
 
     @property
     def payload_type(self) -> T.StructType:
-        """Schema of the source payload, nullable throughout: nulls are the rules' business."""
+        """The stored columns a source delivers."""
         return T.StructType([T.StructField(f.name, SPARK_TYPES[f.type]) for f in self.payload_fields])
 
     def field(self, name: str) -> Field:

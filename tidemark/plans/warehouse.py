@@ -69,7 +69,7 @@ class Warehouse:
         return KeyedState(
             self.spark,
             self.path("silver", contract.name),
-            contract.struct_type,
+            contract.record_type,
             contract.keys,
             tie_break=self.tie_break.get(contract.name),
             compression=contract.compression,
@@ -78,8 +78,8 @@ class Warehouse:
     def bronze(self, name: str) -> DataFrame:
         path, contract = self.path("bronze", name), self.contracts[name]
         if not exists(self.spark, path):
-            return empty(self.spark, contract.struct_type)
-        return self.spark.read.schema(contract.struct_type).parquet(path)
+            return empty(self.spark, contract.record_type)
+        return self.spark.read.schema(contract.record_type).parquet(path)
 
     def silver(self, name: str) -> DataFrame:
         if name != "users":
@@ -91,7 +91,7 @@ class Warehouse:
         if name == "users":
             return self.spark.read.parquet(self.path("quarantine", "users"))
         folder = self.path("quarantine", name)
-        return read_route(self.spark, folder, self.contracts[name].struct_type, QUARANTINE)
+        return read_route(self.spark, folder, self.contracts[name].record_type, QUARANTINE)
 
     def rule_metrics(self, name: str) -> DataFrame:
         return rule_metrics(self.spark, self.path("quarantine", name))
@@ -111,7 +111,7 @@ class Warehouse:
     def run_silver(self, as_of=None) -> None:
         _finish(
             silver_stream(
-                parquet_stream(self.spark, self.path("bronze", c.name), c.struct_type),
+                parquet_stream(self.spark, self.path("bronze", c.name), c.record_type),
                 c,
                 self.state(c),
                 self.path("quarantine", c.name),
