@@ -42,6 +42,22 @@ def message_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame
     return rate(own_topics(samples), ["topic"], tie_break=tie_break)
 
 
+def total_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Five-minute rate of a counter over all topics together, the broker's own included."""
+    per_topic = rate(samples, ["topic"], tie_break=tie_break)
+    return per_topic.groupBy("window_end").agg(F.sum("rate").alias("rate"))
+
+
+def error_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Five-minute rate of an error counter, per task."""
+    return rate(samples, ["connector", "task"], tie_break=tie_break)
+
+
+def running_tasks(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Tasks running now: the newest count of each connector added up."""
+    return _newest(samples, ["connector"], tie_break).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("running"))
+
+
 def failing_tasks(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Tasks now running below full ratio, zero when there is none, and the lowest ratio."""
     newest = _newest(samples, ["connector", "task"], tie_break)

@@ -1,5 +1,6 @@
 from tidemark.sources.files import (
     empty,
+    export,
     parquet_stream,
     read_snapshot,
     write_clustered,
@@ -32,6 +33,7 @@ __all__ = [
     "decode_json",
     "domain_of",
     "empty",
+    "export",
     "landing_changes",
     "landing_files",
     "landing_stream",

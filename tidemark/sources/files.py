@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.contracts.model import Contract
+from tidemark.operators.conform import conform
 from tidemark.sources.storage import exists
 
 
@@ -34,6 +35,12 @@ def write_snapshot(df: DataFrame, base: str, contract: Contract) -> str:
     return path
 
 
+def export(spark: SparkSession, records: DataFrame | None, base: str, contract: Contract) -> str:
+    """Write a topic's decoded records as typed Parquet; None, a topic that is not there, as no rows."""
+    typed = empty(spark, contract.payload_type) if records is None else conform(records, contract)
+    return write_snapshot(typed, base, contract)
+
+
 def read_snapshot(spark: SparkSession, base: str, contract: Contract) -> DataFrame:
     """A domain's records; none, in the contract's shape, when the domain has no folder yet."""
     path = f"{base}/{contract.name}"

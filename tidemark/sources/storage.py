@@ -24,6 +24,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob pattern, in one listing call."""
+    fs, p = _path(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in fs.globStatus(p) or [])
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     fs, p = _path(spark, path)
     return fs.getContentSummary(p).getLength()

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.contracts.model import Contract
 from tidemark.functions.rules import any_fails
 from tidemark.operators.quality import failure_counts, split_quarantine
-from tidemark.sources.storage import child_names, exists
+from tidemark.sources.storage import matching
 from tidemark.streaming.state import KeyedState
 
 CLEAN, QUARANTINE = "clean", "quarantine"
@@ -41,11 +41,18 @@ def _for_each_batch(df: DataFrame, checkpoint: str, handle) -> StreamingQuery:
 def _write_metrics(counts, contract: Contract, scope: str, batch_id: int, folder: str, spark: SparkSession) -> None:
     """One small table of rule counts per batch: as many rows as the scope has rules."""
     rows = [
-        (contract.name, batch_id, r.name, r.on_failure, counts["rows"] - counts[r.name], counts[r.name])
+        F.struct(
+            F.lit(contract.name).alias("table_name"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            F.lit(r.name).alias("rule"),
+            F.lit(r.on_failure).alias("on_failure"),
+            F.lit(counts["rows"] - counts[r.name]).cast("bigint").alias("passed"),
+            F.lit(counts[r.name]).cast("bigint").alias("failed"),
+        )
         for r in contract.rules_for(scope)
     ]
     if rows:
-        table = spark.createDataFrame(rows, METRICS).coalesce(1)
+        table = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
         table.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
 
@@ -75,15 +82,14 @@ def route_stream(
 def read_route(spark: SparkSession, folder: str, schema: T.StructType, route: str) -> DataFrame:
     """One part of a routed stream, all batches; the other part's files are not opened."""
     base = f"{folder}/rows"
-    parts = [f"{base}/{b}/_route={route}" for b in child_names(spark, base) if exists(spark, f"{base}/{b}/_SUCCESS")]
-    parts = [p for p in parts if exists(spark, p)]
+    done = {p.removesuffix("/_SUCCESS") for p in matching(spark, f"{base}/batch=*/_SUCCESS")}
+    parts = [p for p in matching(spark, f"{base}/batch=*/_route={route}") if p.rsplit("/", 1)[0] in done]
     return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
 
 def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts of all batches of a routed stream, a replayed batch counted once."""
-    base = f"{folder}/metrics"
-    done = [f"{base}/{b}" for b in child_names(spark, base) if exists(spark, f"{base}/{b}/_SUCCESS")]
+    done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{folder}/metrics/batch=*/_SUCCESS")]
     return spark.read.schema(METRICS).parquet(*done) if done else spark.createDataFrame([], METRICS)
 
 

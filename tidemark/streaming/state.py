@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.contracts.model import OP, SEQUENCE
 from tidemark.operators.keyed import change_order, latest_per_key, without_deletes
-from tidemark.sources.storage import child_names, delete, exists, size_of
+from tidemark.sources.storage import child_names, delete, matching, size_of
 
 SEGMENT = re.compile(r"seg=(\d+)-(\d+)\Z")
 
@@ -66,11 +66,8 @@ class KeyedState:
 
     def segments(self, upto: int | None = None) -> list[Segment]:
         """Committed segments not covered by another, oldest first."""
-        found = []
-        for name in child_names(self.spark, self.path):
-            match = SEGMENT.match(name)
-            if match and exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
-                found.append(Segment(int(match[1]), int(match[2])))
+        committed = [p.split("/")[-2] for p in matching(self.spark, f"{self.path}/seg=*/_SUCCESS")]
+        found = [Segment(int(m[1]), int(m[2])) for m in map(SEGMENT.match, committed) if m]
         if upto is not None:
             found = [s for s in found if s.last <= upto]
         current = [s for s in found if not any(o != s and o.covers(s) for o in found)]

@@ -171,7 +171,7 @@ def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_id, user_id, event_type, value, CASE WHEN event_type = 'error' THEN 'd'
     WHEN event_type = 'signup' THEN 'c' ELSE 'u' END AS __op, epoch_us(ts) // 1000 AS __source_ts_ms
-    FROM events WHERE event_type <> 'purchase'""")
+    FROM events WHERE event_type <> 'purchase'""", name="flatten_envelope")
 def flatten_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_envelope(_envelopes(spark, sf_dir))
 
@@ -186,7 +186,7 @@ def tombstone_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey AS id, c_acctbal AS amount, 'r' AS __op, 0 AS __source_ts_ms FROM customer
     UNION ALL SELECT o_custkey, o_totalprice, CASE o_orderstatus WHEN 'P' THEN 'd' ELSE 'u' END,
-    epoch_us(o_orderdate) // 1000 FROM orders""")
+    epoch_us(o_orderdate) // 1000 FROM orders""", name="snapshot_plus_changes")
 def snapshot_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _initial_and_changes(spark, sf_dir).withColumn("__source_ts_ms", F.coalesce("__source_ts_ms", F.lit(0)))
 
@@ -202,7 +202,7 @@ def _initial_and_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_plus_changes(snapshot, changes)
 
 
-@query("SELECT event_id, props AS body FROM events")
+@query("SELECT event_id, props AS body FROM events", name="strip_wire_header")
 def strip_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = table(spark, sf_dir, "events").selectExpr(
         "event_id", "concat(unhex('0000000007'), encode(props, 'utf-8')) AS value"
@@ -258,7 +258,7 @@ def scd1_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd1(event_changes(spark, sf_dir), ["user_id"], hour, tie_break=["event_id"])
 
 
-@query(f"{latest_sql(EVENTS_SQL, 'user_id', 'value DESC, event_id DESC')}")
+@query(f"{latest_sql(EVENTS_SQL, 'user_id', 'value DESC, event_id DESC')}", name="latest_per_key")
 def latest_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(event_changes(spark, sf_dir), ["user_id"], ["value", "event_id"])
 
@@ -295,7 +295,7 @@ _STATES = f"""before AS (SELECT user_id, event_id, value FROM ({latest_sql(
     CASE WHEN b.user_id IS NULL THEN 'insert' WHEN a.user_id IS NULL THEN 'delete' ELSE 'update' END AS change,
     b.event_id AS event_before, a.event_id AS event_after, b.value AS value_before, a.value AS value_after
     FROM before AS b FULL OUTER JOIN after AS a ON a.user_id = b.user_id
-    WHERE b.user_id IS NULL OR a.user_id IS NULL OR (a.event_id, a.value) <> (b.event_id, b.value)""")
+    WHERE b.user_id IS NULL OR a.user_id IS NULL OR (a.event_id, a.value) <> (b.event_id, b.value)""", name="snapshot_diff")
 def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     previous, current = _states(spark, sf_dir)
     return snapshot_diff(previous, current, ["user_id"]).select(
@@ -316,7 +316,7 @@ FEED_SQL = """SELECT a.*, 'insert' AS _change_type FROM after AS a WHERE user_id
         WHERE (a.event_id, a.value) <> (b.event_id, b.value)"""
 
 
-@query(f"WITH {_STATES} {FEED_SQL}")
+@query(f"WITH {_STATES} {FEED_SQL}", name="change_feed")
 def snapshot_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_feed(*_states(spark, sf_dir), ["user_id"])
 
@@ -377,7 +377,7 @@ def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT event_id, concat_ws(' ', CASE WHEN event_type = 'error' THEN 'not timestamp:ts' END,
     CASE WHEN value < 1 THEN 'not integer:user_id' END, CASE WHEN value > 20 THEN 'missing:amount' END,
     CASE WHEN event_type NOT IN ('click', 'view') THEN 'not boolean:flag' END) AS errors
-    FROM events""")
+    FROM events""", name="conformity_errors")
 def conformity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = conformity_errors(_raw_text(spark, sf_dir), RAW_EVENTS)
     return checked.select(F.col("event_id").cast("bigint"), F.concat_ws(" ", "_errors").alias("errors"))
@@ -491,7 +491,7 @@ def batch_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH routed AS (SELECT *, {_FILE} AS file FROM events)
     SELECT CASE event_type WHEN 'view' THEN 'kafka_orders' WHEN 'click' THEN 'mysql_menu'
         WHEN 'signup' THEN 'mssql_users' END AS domain, count(DISTINCT file) AS files,
-        count(*) FILTER (value >= 1) AS records, count(*) FILTER (value < 1) AS errors FROM routed GROUP BY 1""")
+        count(*) FILTER (value >= 1) AS records, count(*) FILTER (value < 1) AS errors FROM routed GROUP BY 1""", name="load_summary")
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("value", f"{_FILE} AS file")
     return load_summary(rows, F.col("file"), F.col("value") < 1)
@@ -573,3 +573,30 @@ def failed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id", "event_type AS connector", "user_id AS task", "value / 10 AS value"
     )
     return monitoring.failing_tasks(samples, ["event_id"])
+
+
+@query(f"""SELECT CAST(sum(CAST(floor(value) AS DECIMAL(18,0))) AS DOUBLE) AS running FROM ({latest_sql(
+    'SELECT * FROM events', 'event_type', 'ts DESC, event_id DESC')}) AS n""")
+def running_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = table(spark, sf_dir, "events").selectExpr(
+        "ts", "event_id", "event_type AS connector", "CAST(floor(value) AS DOUBLE) AS value"
+    )
+    return monitoring.running_tasks(samples, ["event_id"])
+
+
+@query("""WITH told AS (SELECT *, lag(value) OVER (PARTITION BY connector, task ORDER BY ts, event_id) AS last
+        FROM (SELECT ts, event_id, event_type AS connector, user_id // 50 AS task, event_id % 5000 AS value
+        FROM events) AS s),
+    spread AS (SELECT connector, task, ts, event_id, CASE WHEN last IS NULL THEN 0 WHEN value < last THEN value
+        ELSE value - last END AS inc, (epoch_us(ts) // 60000000) + 1 + k AS w_end
+        FROM told, (SELECT unnest([0, 1, 2, 3, 4]) AS k) AS ks),
+    windows AS (SELECT connector, task, w_end, count(*) AS n, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b,
+        sum(inc) - arg_min(inc, event_id) AS increase FROM spread GROUP BY connector, task, w_end)
+    SELECT connector, task, make_timestamp(w_end * 60000000) AS window_end, CAST(increase AS DOUBLE) AS increase,
+        CAST(increase AS DOUBLE) / ((b - a) / 1000000.0) AS rate FROM windows WHERE n > 1 AND b > a""")
+def error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = table(spark, sf_dir, "events").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts", "event_id", "event_type AS connector", "user_id DIV 50 AS task",
+        "event_id % 5000 AS value",
+    )
+    return monitoring.error_rate(samples, ["event_id"])

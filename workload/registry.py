@@ -40,11 +40,11 @@ def register(name: str, run: Query, sql: str | None = None) -> None:
         ORACLES[name] = sql
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Decorator form of :func:`register`, named after the function."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Decorator form of :func:`register`, under the function's own name unless one is given."""
 
     def add(run: Query) -> Query:
-        register(run.__name__, run, sql)
+        register(name or run.__name__, run, sql)
         return run
 
     return add

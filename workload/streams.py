@@ -78,7 +78,7 @@ def _event_state(spark: SparkSession, path: str, rows: DataFrame, **options) ->
     return KeyedState(spark, path, rows.schema, ("user_id",), "ts", tie_break=("event_id",), **options)
 
 
-@query(STATE_SQL)
+@query(STATE_SQL, name="scd1_stream")
 def scd1_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_changes(spark, sf_dir)
     stream, folder, checkpoint = _arrivals(rows, "scd1", "event_id")
