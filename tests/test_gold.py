@@ -107,3 +107,18 @@ def test_sums_do_not_depend_on_the_order_of_addition(spark):
         payments_by_status(spark.createDataFrame(data, schema).repartition(n)).first().total_amount_brl for n in (1, 3, 7)
     }
     assert len(answers) == 1
+
+
+def test_exact_sums_equal_decimal_sums(spark):
+    import random
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import exact_avg, exact_sum
+
+    rng = random.Random(5)
+    values = [round(rng.uniform(-1e9, 1e9), 2) for _ in range(2000)] + [-0.01, 0.0, None]
+    row = spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v")).alias("s"), exact_avg(F.col("v")).alias("a")).first()
+    total = float(sum(Decimal(repr(v)) for v in values if v is not None))
+    assert row.s == total and row.a == total / 2002

@@ -123,13 +123,13 @@ def _check_fields(c: Contract) -> None:
     seen = set()
     for f in c.fields:
         if not isinstance(f.name, str):
-            raise ContractError(f"{c.name}: schema field missing string 'name'")
+            raise ContractError(f"{c.name}: a column has no name, or one that is not text")
         if f.name in seen:
-            raise ContractError(f"{c.name}: duplicate field '{f.name}'")
+            raise ContractError(f"{c.name}: column '{f.name}' is declared twice")
         if f.type not in SPARK_TYPES:
-            raise ContractError(f"{c.name}.{f.name}: invalid type '{f.type}', use one of {list(SPARK_TYPES)}")
+            raise ContractError(f"{c.name}.{f.name}: unknown type '{f.type}', the types are {list(SPARK_TYPES)}")
         if not isinstance(f.nullable, bool):
-            raise ContractError(f"{c.name}.{f.name}: 'nullable' must be true or false, got {f.nullable!r}")
+            raise ContractError(f"{c.name}.{f.name}: nullable is true or false, not {f.nullable!r}")
         seen.add(f.name)
 
 
@@ -138,30 +138,30 @@ def _check_rules(c: Contract) -> None:
     for r in c.rules:
         where = f"{c.name}.{r.field}"
         if r.field not in names:
-            raise ContractError(f"{c.name}: quality rule references field '{r.field}' not in schema")
+            raise ContractError(f"{c.name}: a rule is about '{r.field}', which is no column")
         if r.check not in CHECKS:
-            raise ContractError(f"{where}: invalid check '{r.check}', use one of {list(CHECKS)}")
+            raise ContractError(f"{where}: invalid check '{r.check}', the checks are {list(CHECKS)}")
         if r.on_failure not in ACTIONS:
-            raise ContractError(f"{where}: invalid on_failure '{r.on_failure}', use one of {list(ACTIONS)}")
+            raise ContractError(f"{where}: unknown action '{r.on_failure}', the actions are {list(ACTIONS)}")
         if r.check == "allowed_values" and not r.values:
-            raise ContractError(f"{where}: 'allowed_values' needs a non-empty 'values' list")
+            raise ContractError(f"{where}: allowed_values allows nothing, list its values")
         for layer in r.scope:
             if layer not in LAYERS:
-                raise ContractError(f"{where}: invalid scope '{layer}', use one of {list(LAYERS)}")
+                raise ContractError(f"{where}: unknown layer '{layer}', the layers are {list(LAYERS)}")
 
 
 def _check_storage(c: Contract) -> None:
     for col in (*c.cluster_by, *c.keys):
         if col not in c.field_names:
-            raise ContractError(f"{c.name}: cluster_by or merge_key column '{col}' not found in schema fields")
+            raise ContractError(f"{c.name}: key or clustering column '{col}' is no column")
     for key in c.keys:
         if c.cluster_by and key not in c.cluster_by:
-            raise ContractError(f"{c.name}: merge_key '{key}' not in cluster_by {list(c.cluster_by)}")
+            raise ContractError(f"{c.name}: the table is clustered by {list(c.cluster_by)} and not by its key '{key}'")
 
 
 def _as_list(value: object, what: str) -> list:
     if not isinstance(value, (list, tuple)):
-        raise ContractError(f"{what} must be a list, got {type(value).__name__}")
+        raise ContractError(f"{what} is a list, not a {type(value).__name__}")
     return list(value)
 
 
@@ -184,7 +184,7 @@ def load_contract(source: str | Path | Mapping) -> Contract:
         doc, origin = _read_document(Path(source)), Path(source).name
     missing = [k for k in REQUIRED_SECTIONS if k not in doc]
     if missing:
-        raise ContractError(f"{origin}: missing required keys {missing}")
+        raise ContractError(f"{origin}: sections {missing} are missing")
 
     table, storage = doc["table"], doc["storage"]
     name = table["name"]

@@ -5,11 +5,13 @@ from tidemark.functions.scalars import (
     event_name,
     exact_avg,
     exact_sum,
+    from_parts,
     op_rank,
     plain_id,
     row_hash,
     seconds_between,
     strip_wire_header,
+    sum_parts,
     to_instant,
     to_json_text,
     to_whole,
@@ -23,6 +25,7 @@ __all__ = [
     "event_name",
     "exact_avg",
     "exact_sum",
+    "from_parts",
     "op_rank",
     "plain_id",
     "row_hash",
@@ -31,6 +34,7 @@ __all__ = [
     "rule_sql",
     "seconds_between",
     "strip_wire_header",
+    "sum_parts",
     "to_instant",
     "to_json_text",
     "to_whole",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts.model import SEQUENCE
-from tidemark.functions.scalars import event_name, exact_avg, exact_sum, seconds_between
+from tidemark.functions.scalars import event_name, exact_avg, exact_sum, from_parts, seconds_between, sum_parts
 from tidemark.operators.keyed import one_row_per_key
 
 # Measures that are not money are added with this many decimals.
@@ -130,12 +130,18 @@ def revenue_per_restaurant(order_items: DataFrame, orders: DataFrame, restaurant
     its value is not repeated per item. Order and item measures then come out of one aggregation
     over that join, and orders are read once. Items of unknown orders have no restaurant.
     """
+    revenue_high, revenue_low = sum_parts(F.col("subtotal"))
+    discount_high, discount_low = sum_parts(F.col("discount_applied"))
     baskets = order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items"),
-        F.sum(F.col("subtotal").cast("decimal(18,2)")).alias("revenue"),
-        F.sum(F.col("discount_applied").cast("decimal(18,2)")).alias("discount"),
+        revenue_high.alias("revenue_high"),
+        revenue_low.alias("revenue_low"),
+        discount_high.alias("discount_high"),
+        discount_low.alias("discount_low"),
         F.count("discount_applied").alias("discounts"),
     )
+    revenue = from_parts(F.sum("revenue_high"), F.sum("revenue_low"))
+    discount = from_parts(F.sum("discount_high"), F.sum("discount_low"))
     sales = (
         orders.select("order_id", "restaurant_key", "total_amount")
         .join(baskets, "order_id", "left")
@@ -145,8 +151,8 @@ def revenue_per_restaurant(order_items: DataFrame, orders: DataFrame, restaurant
             exact_avg(F.col("total_amount")).alias("order_value"),
             F.count("items").alias("baskets"),
             F.sum("items").alias("total_items_sold"),
-            F.sum("revenue").cast("double").alias("total_revenue_brl"),
-            F.try_divide(F.sum("discount").cast("double"), F.sum("discounts")).alias("avg_discount_brl"),
+            revenue.alias("total_revenue_brl"),
+            F.try_divide(discount, F.sum("discounts")).alias("avg_discount_brl"),
         )
         .filter(F.col("baskets") > 0)
     )

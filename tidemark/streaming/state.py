@@ -16,15 +16,18 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts.model import OP, SEQUENCE
+from tidemark.functions.scalars import row_hash
 from tidemark.operators.keyed import change_order, latest_per_key, without_deletes
 from tidemark.sources.storage import child_names, delete, matching, size_of
 
+TIE = "_tie"
 SEGMENT = re.compile(r"seg=(\d+)-(\d+)\Z")
 
 
@@ -50,6 +53,8 @@ class KeyedState:
     ``tombstone_retention``: when folding reaches the oldest segment, deletes whose sequence lies
     further than this behind the newest one are forgotten; None keeps them all.
     ``keep_history``: leave folded segments in place, for reading the state as of an earlier batch.
+    ``small_bytes``: while all segments but the oldest take up no more than this on storage, a read
+    broadcasts their keys and leaves the rest of the oldest segment where it is, without a shuffle.
     """
 
     spark: SparkSession
@@ -62,6 +67,7 @@ class KeyedState:
     fold_ratio: float = 0.5
     tombstone_retention: int | None = None
     keep_history: bool = False
+    small_bytes: int = 8 << 20
     compression: str = "zstd"
 
     def segments(self, upto: int | None = None) -> list[Segment]:
@@ -73,14 +79,35 @@ class KeyedState:
         current = [s for s in found if not any(o != s and o.covers(s) for o in found)]
         return sorted(current, key=lambda s: s.first)
 
+    @property
+    def _stored(self) -> T.StructType:
+        """The rows' columns and, unless a tie-break is named, their hash, taken once on arrival."""
+        return self.schema if self.tie_break else T.StructType([*self.schema.fields, T.StructField(TIE, T.LongType())])
+
     def _rows(self, segments: Sequence[Segment]) -> DataFrame:
         paths = [f"{self.path}/{s.folder}" for s in segments]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def _latest(self, df: DataFrame) -> DataFrame:
-        return latest_per_key(df, self.keys, change_order(df, self.sequence_by, self.tie_break))
+            return self.spark.createDataFrame([], self._stored)
+        return self.spark.read.schema(self._stored).parquet(*paths)
+
+    def _arriving(self, batch: DataFrame) -> DataFrame:
+        rows = batch.select(*self.schema.names)
+        return rows if self.tie_break else rows.withColumn(TIE, row_hash(self.schema.names))
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        order = change_order(rows, self.sequence_by, self.tie_break or (TIE,))
+        return latest_per_key(rows, self.keys, order)
+
+    def _merged(self, segments: Sequence[Segment]) -> DataFrame:
+        """One row per key over several segments, each of which holds a key at most once."""
+        oldest, newer = segments[:1], segments[1:]
+        if sum(size_of(self.spark, f"{self.path}/{s.folder}") for s in newer) > self.small_bytes:
+            return self._latest(self._rows(segments))
+        old, new = self._rows(oldest), self._rows(newer)
+        touched = F.broadcast(new.select(*[F.col(k).alias(f"_touched_{k}") for k in self.keys]).distinct())
+        same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_touched_{k}")) for k in self.keys])
+        contested = old.join(touched, same_key, "left_semi").unionByName(new)
+        return old.join(touched, same_key, "left_anti").unionByName(self._latest(contested))
 
     def _write(self, df: DataFrame, segment: Segment) -> None:
         writer = df.sortWithinPartitions(*self.keys).write.mode("overwrite")
@@ -92,15 +119,15 @@ class KeyedState:
         A single segment holds every key once and is read without a shuffle.
         """
         current = self.segments(upto)
-        rows = self._rows(current)
-        return without_deletes(rows if len(current) < 2 else self._latest(rows), self.apply_as_deletes)
+        rows = self._rows(current) if len(current) < 2 else self._merged(current)
+        return without_deletes(rows, self.apply_as_deletes).select(*self.schema.names)
 
     def apply(self, batch: DataFrame, batch_id: int) -> bool:
         """Add one micro-batch; False when it is a replay of one already in."""
         segment = Segment(batch_id, batch_id)
         if any(s.covers(segment) for s in self.segments()):
             return False
-        self._write(self._latest(batch.select(*self.schema.names)), segment)
+        self._write(self._latest(self._arriving(batch)), segment)
         self.fold()
         return True
 

@@ -1,4 +1,4 @@
-"""The reference domains bound to the test tables.
+"""The contract domains bound to the test tables.
 
 A binding lists select expressions that both engines understand, so that query and SQL start
 from the same records; ``MS(x)`` stands for the epoch milliseconds of a time stamp and ``TAXID(x)``
