@@ -78,17 +78,22 @@ def test_nested_json_is_kept_as_text_and_required_fields_are_required(spark, fol
 def test_landing_changes_keep_the_last_line_per_key(spark, folder):
     for i in range(5):
         put(folder, f"kafka_orders_{i}.json", {**ORDER, "total_amount": i}, {**ORDER, "order_id": f"n{i}"})
-    first = {r.order_id: r for r in landing_changes(spark, folder, contract("orders"), "initial", 1).collect()}
+    put(folder, "mysql_menu_1.json", {"menu_section_id": "s"})
+    names = landing_files(spark, folder)
+    initial = select_files(names, "initial", "kafka_orders") + ["mysql_menu_1.json"]
+    first = {r.order_id: r for r in landing_changes(spark, folder, contract("orders"), initial, "r", 1).collect()}
     assert first["o1"].total_amount == 3 and len(first) == 5
     assert {(r["__op"], r["__source_ts_ms"]) for r in first.values()} == {("r", 1)}
-    later = landing_changes(spark, folder, contract("orders"), "incremental", 2).collect()
+    rest = select_files(names, "incremental", "kafka_orders")
+    later = landing_changes(spark, folder, contract("orders"), rest, "c", 2).collect()
     assert sorted(r.order_id for r in later) == ["n4", "o1"] and {r["__op"] for r in later} == {"c"}
-    assert landing_changes(spark, folder, contract("routes"), "initial", 1).count() == 0
+    assert landing_changes(spark, folder, contract("routes"), names, "r", 1).count() == 0
 
 
 def test_ratings_land_by_their_own_key(spark, folder):
     put(folder, "mysql_ratings_1.json", {"rating_id": 1, "uuid": "a", "rating": 4}, {"rating_id": 1, "uuid": "b", "rating": 5})
-    assert [r.uuid for r in landing_changes(spark, folder, contract("ratings"), "all", 1).collect()] == ["b"]
+    names = landing_files(spark, folder)
+    assert [r.uuid for r in landing_changes(spark, folder, contract("ratings"), names, "r", 1).collect()] == ["b"]
 
 
 def test_landing_stream_sees_new_files_once(spark, folder):

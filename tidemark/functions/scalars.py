@@ -115,7 +115,7 @@ def to_instant(col: Column, source: T.DataType) -> Column:
     """A timestamp from ISO text, epoch milliseconds (number or its text), or any time type."""
     if isinstance(source, T.StringType):
         millis = F.timestamp_millis(col.try_cast("bigint"))
-        return F.when(col.rlike(r"^-?[0-9]{5,}$"), millis).otherwise(col.try_cast("timestamp"))
+        return F.when(col.rlike(r"^-?[0-9]{10,}$"), millis).otherwise(col.try_cast("timestamp"))
     if isinstance(source, T.IntegralType):
         return F.timestamp_millis(col.cast("bigint"))
     return col.cast("timestamp")

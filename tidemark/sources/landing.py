@@ -128,20 +128,22 @@ def landing_stream(
 
 
 def landing_changes(
-    spark: SparkSession, folder: str, contract: Contract, batch: str, loaded_at_ms: int
+    spark: SparkSession, folder: str, contract: Contract, files: Sequence[str], op: str, loaded_at_ms: int
 ) -> DataFrame:
     """One load as change records: the last line per key, with its operation and commit time.
 
-    The initial load carries ``r``, a later one ``c``. Corrupt lines are left out.
+    ``files`` are the names of the load, see :func:`select_files`; those of other domains are
+    passed over. An initial load has the operation ``r``, a later one ``c``. Corrupt lines are
+    left out.
     """
-    files = select_files(landing_files(spark, folder), batch, contract.source)
-    records = read_landing(spark, folder, contract, files)
+    own = [n for n in files if domain_of(n) == contract.source]
+    records = read_landing(spark, folder, contract, own)
     keys = LANDING_KEYS.get(contract.name, contract.keys)
     good = records.filter(F.col(CORRUPT).isNull())
     last = latest_per_key(good, keys, ["_file", "_block", "_line"])
-    return last.withColumns(
-        {OP: F.lit("c" if batch == "incremental" else "r"), SEQUENCE: F.lit(loaded_at_ms).cast("bigint")}
-    ).select(*[f.name for f in contract.payload_fields])
+    return last.withColumns({OP: F.lit(op), SEQUENCE: F.lit(loaded_at_ms).cast("bigint")}).select(
+        *[f.name for f in contract.payload_fields]
+    )
 
 
 def load_summary(lines: DataFrame, filename: Column, failed: Column) -> DataFrame:
