@@ -71,7 +71,7 @@ def compare(spark, connection, name: str, run, sql: str, sf_dir: str) -> str | N
     for a, b in zip(got, expected):
         if a != b:
             return f"{sorted(columns)}\n   {a}\n   {b}"
-    return None if got or name.endswith("_empty") else "both empty"
+    return None if got or name.endswith("empty") else "both empty"
 
 
 def main() -> int:

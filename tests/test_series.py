@@ -78,7 +78,7 @@ def test_held_conditions_match_brute_force(spark, chunk):
 def test_dense_hours_are_cut_shorter(spark):
     df = frame(spark, [("a", BASE + i, 1.0) for i in range(100)])
     assert chunk_length(df, ["topic"], "ts", rows=10) == 360
-    assert chunk_length(df, ["topic"], "ts") == 3600
+    assert chunk_length(df, ["topic"], "ts", rows=1000) == 36000
     assert chunk_length(df.limit(0), ["topic"], "ts") == 3600
 
 

@@ -130,12 +130,24 @@ def test_snapshots_accumulate_and_missing_ones_are_empty(spark, folder):
 
 
 def test_clustered_files_hold_disjoint_key_ranges(spark, folder):
-    write_clustered(spark.range(100_000).withColumn("v", F.rand(1)), folder + "/t", ["id"])
+    write_clustered(spark.range(100_000).withColumn("v", F.col("id") % 7), folder + "/t", ["id"])
     ranges = spark.read.parquet(folder + "/t").groupBy(F.input_file_name()).agg(F.min("id"), F.max("id")).collect()
     bounds = sorted((r[1], r[2]) for r in ranges)
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
 
 
+def test_a_key_with_most_rows_fills_several_files(spark, folder):
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_clustered(df, folder + "/t", ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(folder + "/t")
+    sizes = [r[1] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert back.count() == 200_000 and max(sizes) < 100_000
+
+
 def test_rate_limits():
     assert RateLimits().of(contract("order_items")) == 5000 and RateLimits().of(contract("orders")) == 1000
 

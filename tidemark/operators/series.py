@@ -12,8 +12,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-LONGEST_CHUNK_SECONDS = 3600
-CHUNK_ROWS = 1_000_000
+HOUR = 3600
+CHUNK_ROWS = 500_000
 
 
 def _micros(ts: str) -> Column:
@@ -25,13 +25,15 @@ def _chunk(ts: str, seconds: float) -> Column:
 
 
 def chunk_length(samples: DataFrame, series: Sequence[str], ts: str, rows: int = CHUNK_ROWS) -> float:
-    """Seconds per chunk: an hour, or less where an hour of one series holds more than ``rows``.
+    """Seconds per chunk such that no chunk of any series holds more than about ``rows`` samples.
 
-    One number comes back to the driver, from a count that reads the series and time columns only.
+    Taken from the densest hour of any series: many hours where samples are sparse, a part of one
+    where they are not. One number comes back to the driver, from a count that reads the series
+    and time columns only.
     """
-    hours = samples.groupBy(*series, _chunk(ts, LONGEST_CHUNK_SECONDS).alias("_hour")).count()
-    densest = hours.agg(F.max("count")).first()[0] or 0
-    return LONGEST_CHUNK_SECONDS / max(1, -(-densest // rows))
+    hours = samples.groupBy(*series, _chunk(ts, HOUR).alias("_hour")).count()
+    densest = hours.agg(F.max("count")).first()[0] or rows
+    return HOUR * (rows // densest) if densest <= rows else HOUR / -(-densest // rows)
 
 
 def _with_carry(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.contracts.model import Contract
+from tidemark.functions.scalars import row_hash
 from tidemark.operators.conform import conform
 from tidemark.sources.storage import exists
 
@@ -49,9 +50,19 @@ def read_snapshot(spark: SparkSession, base: str, contract: Contract) -> DataFra
     return spark.read.schema(contract.payload_type).parquet(path)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    return isinstance(kind, T.AtomicType) and not isinstance(kind, T.VariantType)
+
+
 def write_clustered(
     df: DataFrame, path: str, cluster_by: Sequence[str], compression: str = "zstd"
 ) -> None:
-    """Full refresh of a table laid out by key ranges, so that filters on the key skip files."""
-    laid_out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df
+    """Full refresh of a table laid out by key ranges, so that filters on the key skip files.
+
+    A hash of the other columns ends the range key: many rows with one key, or with none, spread
+    over several files instead of filling one.
+    """
+    simple = [f.name for f in df.schema if _hashable(f.dataType) and f.name not in cluster_by]
+    spread = [row_hash(simple)] if simple else []
+    laid_out = df.repartitionByRange(*cluster_by, *spread).sortWithinPartitions(*cluster_by) if cluster_by else df
     laid_out.write.mode("overwrite").option("compression", compression).parquet(path)

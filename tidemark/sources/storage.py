@@ -51,8 +51,8 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import CONTRACTS
 from tidemark.operators import change_feed
 from tidemark.plans.warehouse import Warehouse
-from tidemark.sources import parquet_stream
+from tidemark.sources import export, parquet_stream, source_stream, write_clustered
 from tidemark.sources.storage import work_folder
 from tidemark.streaming import (
     KeyedState,
@@ -26,18 +26,18 @@ from workload.registry import ORACLES, query
 MICRO_BATCHES = 4
 
 
-def _arrivals(df: DataFrame, purpose: str, order: str) -> tuple[DataFrame, str, str]:
-    """``df`` as a stream of about four micro-batches, with a folder for results and checkpoints.
+def _arrivals(df: DataFrame, purpose: str, key: str, batches: int = MICRO_BATCHES) -> tuple[DataFrame, str, str]:
+    """``df`` as a stream of a few micro-batches, with a folder for results and checkpoints.
 
-    Rows are spread over the arrivals by a hash, so each holds records of all times; the number
-    of files follows the data, and a micro-batch takes a fourth of them.
+    Rows are spread over the arrivals by a hash of the key, so each holds records of all times; the
+    number of files follows the data, and a micro-batch takes its share of them.
     """
     spark = df.sparkSession
     folder = work_folder(spark, purpose)
-    part = F.pmod(F.xxhash64(order), F.lit(MICRO_BATCHES))
+    part = F.pmod(F.xxhash64(key), F.lit(batches))
     df.withColumn("arrival", part).write.partitionBy("arrival").parquet(f"{folder}/in")
     files = len(spark.read.parquet(f"{folder}/in").inputFiles())
-    stream = parquet_stream(spark, f"{folder}/in/arrival=*", df.schema, max(1, files // MICRO_BATCHES))
+    stream = parquet_stream(spark, f"{folder}/in/arrival=*", df.schema, max(1, files // batches))
     return stream, folder, f"{folder}/checkpoint"
 
 
@@ -122,7 +122,7 @@ def _bound_source(spark: SparkSession, sf_dir: str):
 
     def source(contract):
         bound = INPUTS[contract.name]
-        return _arrivals(bound.frame(spark, sf_dir), f"source-{contract.name}", bound.contract.keys[0])[0]
+        return _arrivals(bound.frame(spark, sf_dir), f"source-{contract.name}", bound.tie_break[0], 2)[0]
 
     return source
 
@@ -140,3 +140,37 @@ def pipeline_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.run_silver(AS_OF)
     warehouse.run_gold(["payments_by_status"], AS_OF)
     return warehouse.gold("payments_by_status").drop("_computed_at")
+
+
+@query(ORACLES["users_unify"], name="pipeline_users")
+def pipeline_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both registries' files to bronze, then fused into the users table of the warehouse."""
+    names = ("users_mongo", "users_mssql")
+    warehouse = Warehouse(
+        spark,
+        work_folder(spark, "warehouse"),
+        contracts={n: CONTRACTS[n] for n in names},
+        tie_break={"users": ("uuid",)},
+    )
+    warehouse.run_bronze(_bound_source(spark, sf_dir), AS_OF)
+    warehouse.run_users(AS_OF)
+    return warehouse.silver("users").drop("_ingested_at", "_merged_at")
+
+
+@query(INPUTS["recommendations"].sql, name="source_switch_volume")
+def source_switch_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A domain exported as typed Parquet and read back through the source switch."""
+    bound, folder = INPUTS["recommendations"], work_folder(spark, "volume")
+    export(spark, bound.frame(spark, sf_dir), f"{folder}/exports", bound.contract)
+    stream = source_stream(spark, bound.contract, "volume", {"base": f"{folder}/exports"})
+    append_stream(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(bound.contract.payload_type).parquet(f"{folder}/out").select(*bound.names)
+
+
+@query("SELECT * FROM lineitem")
+def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table laid out by key ranges, read back whole."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = f"{work_folder(spark, 'clustered')}/items"
+    write_clustered(items, path, ["l_orderkey"])
+    return spark.read.schema(items.schema).parquet(path)
