@@ -75,14 +75,17 @@ def test_two_exports_through_all_layers_and_a_full_refresh(spark, folder, contra
     assert house.bronze("orders").count() == 9
 
     # Running again with nothing new changes nothing.
-    house.run_bronze(lambda c: parquet_stream(spark, f"{source}/{c.name}", c.payload_type), AS_OF)
+    only = {"orders": contract("orders")}
+    exports = lambda c: parquet_stream(spark, f"{source}/{c.name}", c.payload_type)
+    house = Warehouse.open(spark, f"{folder}/house", contracts=only)
+    house.run_bronze(exports, AS_OF)
     house.run_silver(AS_OF)
     assert house.bronze("orders").count() == 9 and house.silver("orders").count() == 2
 
     # A refresh starts over beside the old version and ends in the same state.
-    fresh = Warehouse.open(spark, f"{folder}/house", full_refresh=True, contracts=contracts)
+    fresh = Warehouse.open(spark, f"{folder}/house", full_refresh=True, contracts=only)
     assert fresh.version == house.version + 1 and fresh.silver("orders").count() == 0
-    fresh.run_bronze(lambda c: parquet_stream(spark, f"{source}/{c.name}", c.payload_type), AS_OF)
+    fresh.run_bronze(exports, AS_OF)
     fresh.run_silver(AS_OF)
     assert {r.order_id: r.total_amount for r in fresh.silver("orders").collect()} == {"o1": 100.0, "o2": 70.0}
     assert Warehouse.open(spark, f"{folder}/house").version == fresh.version

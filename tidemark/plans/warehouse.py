@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,11 +132,17 @@ class Warehouse:
         write_clustered(bad, self.path("quarantine", "users"), ["cpf"])
 
     def run_gold(self, names: Iterable[str] = tuple(GOLD), as_of=None) -> None:
-        for name in names:
-            compute, inputs, key = GOLD[name]
-            result = stamp(compute(*[self.silver(i) for i in inputs]), "_computed_at", as_of)
+        """Recompute gold tables, side by side: none reads another, and one's last tasks leave room."""
+
+        def compute(name: str) -> None:
+            build, inputs, key = GOLD[name]
+            result = stamp(build(*[self.silver(i) for i in inputs]), "_computed_at", as_of)
             write_clustered(result, self.path("gold", name), [key])
 
+        names = list(names)
+        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+            list(pool.map(compute, names))
+
     def run(self, mode: str, conf: Mapping[str, str], as_of=None) -> None:
         """All layers in order; ``mode`` and ``conf`` choose the source of the change records."""
         self.run_bronze(lambda c: source_stream(self.spark, c, mode, conf), as_of)

@@ -71,12 +71,16 @@ def decode_json(messages: DataFrame, contract: Contract, framed: bool = True) ->
 def source_stream(spark: SparkSession, contract: Contract, mode: str, conf: Mapping[str, str]) -> DataFrame:
     """A domain's change records as a stream, from its topic or from exported Parquet files.
 
-    What follows is the same either way. ``conf`` names ``bootstrap`` and ``registry`` for mode
-    ``kafka``, and ``base`` for mode ``volume``.
+    What follows is the same either way. For mode ``kafka``, ``conf`` names ``bootstrap`` and
+    ``registry`` and may set ``starting`` and ``max_offsets`` per micro-batch, for all domains in
+    place of the default limits. For mode ``volume`` it names ``base`` and may set
+    ``files_per_trigger``.
     """
     if mode == "kafka":
         schema = registry_schema(conf["registry"], contract.topic)
-        return decode_avro(topic_stream(spark, contract, conf["bootstrap"], conf.get("starting", "earliest")), schema)
+        limits = RateLimits(int(conf["max_offsets"]), {}) if "max_offsets" in conf else RateLimits()
+        messages = topic_stream(spark, contract, conf["bootstrap"], conf.get("starting", "earliest"), limits)
+        return decode_avro(messages, schema)
     if mode == "volume":
         files = int(conf["files_per_trigger"]) if "files_per_trigger" in conf else None
         return parquet_stream(spark, f"{conf['base']}/{contract.name}", contract.payload_type, files)

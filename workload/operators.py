@@ -600,3 +600,28 @@ def error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id % 5000 AS value",
     )
     return monitoring.error_rate(samples, ["event_id"])
+
+
+@query(f"""WITH told AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS last
+        FROM (SELECT ts, event_id, event_type, event_id % 1000 AS value FROM events) AS s),
+    spread AS (SELECT event_type, ts, event_id, CASE WHEN last IS NULL THEN 0 WHEN value < last THEN value
+        ELSE value - last END AS inc, (epoch_us(ts) // 60000000) + 1 + k AS w_end
+        FROM told, (SELECT unnest([0, 1, 2, 3, 4]) AS k) AS ks),
+    windows AS (SELECT event_type, w_end, count(*) AS n, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b,
+        sum(inc) - arg_min(inc, event_id) AS increase FROM spread GROUP BY event_type, w_end)
+    SELECT make_timestamp(w_end * 60000000) AS window_end,
+        round(sum(CAST(increase AS DOUBLE) / ((b - a) / 1000000.0)), 6) AS rate
+    FROM windows WHERE n > 1 AND b > a GROUP BY w_end""")
+def rate_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = table(spark, sf_dir, "events").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts", "event_id", "event_type AS topic", "event_id % 1000 AS value"
+    )
+    return monitoring.total_rate(samples, ["event_id"]).withColumn("rate", F.round("rate", 6))
+
+
+@query(_held_sql(
+    """SELECT date_trunc('minute', ts) AS ts, 0 AS event_id, event_type AS topic, sum(floor(value) * 2000) AS value
+    FROM events WHERE event_type <> 'error' GROUP BY 1, 3""", "topic", "(value > 10000)", 600))
+def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = _samples(spark, sf_dir, "floor(value) * 2000").withColumn("ts", F.date_trunc("minute", "ts"))
+    return monitoring.critical_lag_alerts(samples)
