@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import change_feed, flatten_envelope, latest_per_key, scd1, snapshot_diff, upsert
 from tidemark.streaming import KeyedState

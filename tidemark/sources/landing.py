@@ -20,6 +20,7 @@ from tidemark.sources.storage import child_names
 # record cannot do without, per domain.
 JSON_COLUMNS = {"payment_events": ("event",), "order_status": ("status",)}
 REQUIRED = {
+    "orders": ("order_id",),
     "payment_events": ("event_id", "payment_id", "event", "dt_current_timestamp"),
     "order_status": ("status_id", "status"),
 }

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contracts.model import Contract
 from tidemark.functions.rules import any_fails
-from tidemark.operators.quality import failure_counts, split_quarantine
+from tidemark.operators.quality import failure_counts, rule_counts, split_quarantine
 from tidemark.sources.storage import matching
 from tidemark.streaming.state import KeyedState
 
@@ -107,24 +107,18 @@ def silver_stream(
 ) -> StreamingQuery:
     """Bronze rows to silver state and quarantine, with the rule counts, under one checkpoint.
 
-    A batch feeds two writes, so it is persisted for their duration; a lost copy is read again
-    from bronze. The state goes last: a batch counts as done when its segment is there, and a
-    replay before that rewrites the batch's quarantine and counts with the same rows.
+    A batch is read from bronze once per output and not persisted: the counts read the rules'
+    columns only, and the quarantine filter is pushed down to files, which skip what holds no
+    null. The state goes last: a batch counts as done when its segment is there, and a replay
+    before that rewrites the batch's quarantine and counts with the same rows.
     """
-    rules = contract.rules_for("silver")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        kept = batch.persist()
-        try:
-            observed = kept.observe(seen, *failure_counts(rules, contract, as_of))
-            _, failed = split_quarantine(observed, contract, "silver", as_of)
-            target = f"{quarantine}/rows/batch={batch_id}"
-            failed.withColumn("_route", F.lit(QUARANTINE)).write.mode("overwrite").partitionBy("_route").parquet(target)
-            _write_metrics(seen.get, contract, "silver", batch_id, f"{quarantine}/metrics", batch.sparkSession)
-            clean, _ = split_quarantine(kept, contract, "silver", as_of)
-            state.apply(clean, batch_id)
-        finally:
-            kept.unpersist()
+        clean, failed = split_quarantine(batch, contract, "silver", as_of)
+        routed = failed.withColumn("_route", F.lit(QUARANTINE))
+        routed.write.mode("overwrite").partitionBy("_route").parquet(f"{quarantine}/rows/batch={batch_id}")
+        counts = rule_counts(batch, contract, "silver", as_of=as_of).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        counts.write.mode("overwrite").parquet(f"{quarantine}/metrics/batch={batch_id}")
+        state.apply(clean, batch_id)
 
     return _for_each_batch(df, checkpoint, handle)
