@@ -87,8 +87,10 @@ def labelled_sample(docs: DataFrame, label: str, text: str, per_label: int, char
     """
     rows = docs.where(F.col(label).isNotNull() & (F.length(text) > 0))
     rows = rows.select(F.col(label).cast("string").alias("label"), F.xxhash64(text).alias("h"), F.substring(text, 1, chars).alias("head"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    chosen = rows.select("label", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= per_label)
+    chosen = rows.select("label", "h").distinct()
+    for keys in (["label", F.pmod("h", F.lit(64))], ["label"]):  # a label of most rows is first ranked in 64 shares
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= per_label).drop("rank")
     limits = chosen.groupBy("label").agg(F.max("h").alias("up_to")).limit(max_labels + 1).collect()
     if len(limits) > max_labels:
         raise ValueError(f"more than {max_labels} labels")
