@@ -28,8 +28,10 @@ COMPONENTS, ROWS = 127, 6
 BANDS = COMPONENTS // ROWS
 #: Links need 100 * intersection >= SIMILAR * union.
 SIMILAR = 85
-#: Shingles of a block of a task.
-BLOCK_SHINGLES = 1 << 18
+#: Shingles of a block of a task, and how many blocks a group is cut into before they grow towards the larger bound.
+SMALL_BLOCK, LARGE_BLOCK, BLOCKS = 1 << 15, 1 << 18, 12
+#: Bytes of a task's bit sets; beyond them pairs are counted from posting lists.
+BIT_BYTES = 64 << 20
 _FRACTION = np.uint64(32)
 
 
@@ -116,9 +118,10 @@ def _tasks(groups: DataFrame, scratch: Scratch, block: int) -> DataFrame:
     A group of at most ``block`` shingles is one task. A larger one is cut by size class, as linked sets differ
     by less than one class, and each size class by hash into blocks; blocks meet blocks of the same and the next.
     """
-    whole = groups.groupBy("grp").agg((F.sum("n") > block).alias("large"))
+    size = F.least(F.greatest(F.sum("n") / BLOCKS, F.lit(block)), F.lit(max(block, LARGE_BLOCK)))
+    whole = groups.groupBy("grp").agg((F.sum("n") > block).alias("large"), size.alias("block"))
     member = groups.join(whole, "grp").withColumn("c", F.floor(F.log("n") / math.log(100 / (SIMILAR - 0.1))).cast("int"))
-    classes = member.where("large").groupBy("grp", "c").agg(F.ceil(F.sum("n") / block).cast("int").alias("nb"))
+    classes = member.where("large").groupBy("grp", "c").agg(F.ceil(F.sum("n") / F.max("block")).cast("int").alias("nb"))
     classes = scratch.keep(classes)
     for name, step in (("nb", 0), ("after", 1), ("before", -1)):
         member = member.join(classes.select("grp", (F.col("c") - step).alias("c"), F.col("nb").alias(name)), ["grp", "c"], "left")
@@ -156,6 +159,34 @@ def linked(sizes_a, sizes_b, common) -> np.ndarray:
     return 100 * common >= SIMILAR * (sizes_a + sizes_b - common)
 
 
+def _counter(sets: list[np.ndarray], sizes: np.ndarray):
+    """common(i, j): sizes of the intersections of set i with the sets j."""
+    _, code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = df[code] > 1  # a shingle of one set is in no intersection
+    owner = np.repeat(np.arange(len(sets)), sizes)[shared]
+    code = (np.cumsum(df > 1) - 1)[code[shared]]
+    distinct = int((df > 1).sum())
+    words = distinct // 64 + 1
+    if len(sets) * words * 8 <= BIT_BYTES:
+        bits = np.zeros((len(sets), words), np.uint64)
+        np.bitwise_or.at(bits, (owner, code >> 6), np.uint64(1) << (code & 63).astype(np.uint64))
+        step = max(1, (4 << 20) // words)
+
+        def common(i, j):
+            return np.concatenate([np.bitwise_count(bits[j[a : a + step]] & bits[i]).sum(axis=1, dtype=np.int64) for a in range(0, len(j), step)])
+
+        return common
+    holders = owner[np.argsort(code, kind="stable")]
+    edge = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=distinct))))
+    begin = np.searchsorted(owner, np.arange(len(sets) + 1))
+
+    def listed(i, j):
+        lists = [holders[edge[c] : edge[c + 1]] for c in code[begin[i] : begin[i + 1]]]
+        return np.bincount(np.concatenate(lists), minlength=len(sets))[j] if lists else np.zeros(len(j), np.int64)
+
+    return listed
+
+
 def _links(reps: np.ndarray, sides: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """A spanning forest of the linked pairs of a task: all pairs, or those of side 1 with side 2."""
     k, sizes = len(sets), np.array([len(s) for s in sets])
@@ -169,16 +200,9 @@ def _links(reps: np.ndarray, sides: np.ndarray, sets: list[np.ndarray]) -> list[
                     if linked(sizes[i], sizes[j], common) and forest.join(i, j):
                         out.append((int(reps[i]), int(reps[j])))
         return out
-    _, code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = df > 1  # a shingle of one set is in no intersection
-    number = np.cumsum(shared) - 1
-    owner = np.repeat(np.arange(k), sizes)[shared[code]]
-    code = number[code[shared[code]]]
-    words = (int(shared.sum()) + 63) // 64
-    bits = np.zeros((k, max(words, 1)), np.uint64)
-    np.bitwise_or.at(bits, (owner, code >> 6), np.uint64(1) << (code & 63).astype(np.uint64))
     order = np.argsort(sizes, kind="stable")
-    bits, sizes, reps, sides = bits[order], sizes[order], reps[order], sides[order]
+    sets, sizes, reps, sides = [sets[i] for i in order], sizes[order], reps[order], sides[order]
+    common = _counter(sets, sizes)
     label = np.arange(k)
     for i in range(k - 1):
         end = int(np.searchsorted(sizes, sizes[i] * 100 // SIMILAR, "right"))
@@ -186,11 +210,8 @@ def _links(reps: np.ndarray, sides: np.ndarray, sets: list[np.ndarray]) -> list[
         j = j[label[j] != label[i]]
         if crossed:
             j = j[sides[j] != sides[i]]
-        for part in np.array_split(j, max(1, len(j) * bits.shape[1] >> 22)):
-            if not len(part):
-                continue
-            common = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
-            for x in part[linked(sizes[part], sizes[i], common)]:
+        if len(j):
+            for x in j[linked(sizes[j], sizes[i], common(i, j))]:
                 if label[x] != label[i]:
                     out.append((int(reps[i]), int(reps[x])))
                     label[label == label[x]] = label[i]
@@ -220,7 +241,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield compared(rows)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = SMALL_BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row of ``docs``.
 
     Documents link when 100 * intersection >= SIMILAR * union of their distinct five-word shingles; ``component_id``
