@@ -4,7 +4,7 @@ A vector gets one more component, sqrt(M^2 - |x|^2) with M the largest norm, a q
 then smallest distance. Lists are the cells of k-means over a bounded sample; every vector is in the list of its
 nearest centre. Within a list vectors are rotated at random, so that the first components of a difference are a fair
 sample of it, and lie in blocks of columns. A query scans block by block: a candidate goes as soon as its partial
-distance, scaled up, is significantly beyond the query's k-th best so far. What remains is scored exactly in double
+distance, scaled up, is significantly beyond the k-th best that the query has in the sample. What remains is scored exactly in double
 precision on the original vectors. Long lists and many queries of a list are cut by hash into bounded tasks.
 """
 
@@ -85,15 +85,22 @@ def probes_needed(sample: np.ndarray, found: np.ndarray, k: int, coverage: float
     return int(np.quantile(np.concatenate(turns), coverage, method="higher")) + 1
 
 
-def scan(query: np.ndarray, columns: np.ndarray, k: int, skip: np.ndarray | None = None) -> np.ndarray:
-    """Rows of ``columns`` (dimensions x candidates, rotated) that may be among the ``k`` nearest of a rotated query."""
+def scan(query: np.ndarray, columns: np.ndarray, k: int, skip: np.ndarray | None = None, limit: float = math.inf) -> np.ndarray:
+    """Rows of ``columns`` (dimensions x candidates, rotated) that may be among the ``k`` nearest of a rotated query.
+
+    ``limit`` is a squared distance that the k-th nearest is known not to exceed.
+    """
     size, n = columns.shape
     alive = np.arange(n) if skip is None else np.flatnonzero(~skip)
-    if len(alive) <= max(4 * k, 64):
-        return alive
-    first = alive[:: max(1, len(alive) // (4 * k))]
-    known = ((columns[:, first] - query[:, None]) ** 2).sum(axis=0)
-    worst = np.partition(known, k - 1)[k - 1] * (1 + 1e-9) + 1e-12
+    sure = np.empty(0, int)
+    if limit == math.inf:
+        if len(alive) <= max(4 * k, 64):
+            return alive
+        first = alive[:: max(1, len(alive) // (4 * k))]
+        far = ((columns[:, first] - query[:, None]) ** 2).sum(axis=0)
+        limit = np.partition(far, k - 1)[k - 1]
+        sure = first[far <= limit]
+    worst = limit * (1 + 1e-9) + 1e-12
     partial = np.zeros(len(alive))
     for a in range(0, size, BLOCK):
         b = min(a + BLOCK, size)
@@ -102,7 +109,27 @@ def scan(query: np.ndarray, columns: np.ndarray, k: int, skip: np.ndarray | None
         bound = worst if b == size else worst * (b / size) * (1 + SIGNIFICANCE / math.sqrt(b)) ** 2
         keep = partial <= bound
         alive, partial = alive[keep], partial[keep]
-    return alive
+    return np.union1d(alive, sure) if len(sure) else alive
+
+
+def seeds(ids: np.ndarray, queries: np.ndarray, known_ids: np.ndarray, known: np.ndarray, open_to: np.ndarray, k: int):
+    """Of each query the ``k`` sample members of largest inner product, and the smallest of these.
+
+    ``open_to`` (queries x sample) tells which members are in lists that the query probes; its own id is none. With
+    fewer than ``k`` members there is no floor.
+    """
+    places, scores, floor = [], [], np.full(len(ids), -math.inf)
+    for i, (q_id, query) in enumerate(zip(ids, queries)):
+        mine = np.flatnonzero(open_to[i] & (known_ids != q_id))
+        score = known[mine] @ query
+        if len(mine) > k:
+            top = np.argpartition(-score, k - 1)[:k]
+            mine, score = mine[top], score[top]
+        if len(mine) == k:
+            floor[i] = score.min() - 1e-9 * (1 + abs(score.min()))
+        places.append(known_ids[mine])
+        scores.append(score)
+    return places, scores, floor
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -121,10 +148,13 @@ def _search(left: pa.Table, right: pa.Table, k: int, largest: float, turn: np.nd
     ids, vectors = ids[order], vectors[order]
     columns = np.ascontiguousarray((extended(vectors, largest) @ turn).T)
     turned = np.column_stack([queries, np.zeros(len(queries))]) @ turn
+    floors = left.column("floor").to_numpy()
+    limits = np.where(floors > -math.inf, (queries * queries).sum(axis=1) + largest - 2 * floors, math.inf)
     out = []
-    for q_id, query, t in zip(q_ids, queries, turned):
-        near = scan(t, columns, k, ids == q_id)
-        scores = np.array([math.fsum(v) for v in vectors[near] * query]) if len(near) <= 4 * k else vectors[near] @ query
+    for q_id, query, t, floor, limit in zip(q_ids, queries, turned, floors, limits):
+        near = scan(t, columns, k, ids == q_id, limit)
+        scores = vectors[near] @ query
+        near, scores = near[scores >= floor], scores[scores >= floor]
         best = np.lexsort((ids[near], -scores))[:k]
         out.append((np.full(len(best), q_id), ids[near][best], scores[best]))
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
@@ -152,11 +182,14 @@ def neighbours(
     size, n, largest = shapes[0]["size"], shapes[0]["n"], shapes[0]["largest"]
     rows = rows.where(F.size("vec") == size)
     rate = min(1.0, 2.0 * SAMPLE / n)
-    drawn = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(rate * (1 << 20))).select("vec").limit(SAMPLE).collect()
-    sample = extended(np.array([r["vec"] for r in drawn], dtype=float).reshape(-1, size), largest)
+    drawn = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(rate * (1 << 20))).select("vec_id", "vec").limit(SAMPLE).collect()
+    drawn = {r["vec_id"]: r["vec"] for r in drawn}
+    sample_ids, plain = np.array(list(drawn), dtype=np.int64), np.array(list(drawn.values()), dtype=float).reshape(-1, size)
+    sample = extended(plain, largest)
     lists = max(1, min(MAX_LISTS, math.ceil(n / list_rows), len(sample)))
     found, turn = centres(sample, lists) if len(sample) else np.zeros((1, size + 1)), rotation(size + 1)
 
+    sample_list = nearest(sample, found, 1)[:, 0] if len(sample) else np.empty(0, int)
     probes = probes or (probes_needed(sample, found, k) if len(sample) else 1)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +210,14 @@ def neighbours(
                 enough = (np.cumsum(sizes[order], axis=1) < 10 * k).sum(axis=1) + 1
                 taken = [o[: max(probes, e)] for o, e in zip(order, enough)]
                 taken = [t[sizes[t] > 0] for t in taken]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.tolist() for t in taken], pa.list_(pa.int32()))], names=["query_id", "vec", "lists"])
-
-    queries = listed.where("q").select(F.col("vec_id").alias("query_id"), "vec").mapInArrow(probe, "query_id long, vec array<double>, lists array<int>")
+                probed = np.zeros((len(x), len(found)), bool)
+                for row, t in zip(probed, taken):
+                    row[t] = True
+                near, scores, least = seeds(batch.column("query_id").to_numpy(), x, sample_ids, plain, probed[:, sample_list], k)
+                lists_of = (pa.array([t.tolist() for t in taken], pa.list_(pa.int32())), pa.array(near, pa.list_(pa.int64())), pa.array(scores, pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *lists_of, pa.array(least)], names=["query_id", "vec", "lists", "near", "scores", "floor"])
+
+    queries = listed.where("q").select(F.col("vec_id").alias("query_id"), "vec").mapInArrow(probe, "query_id long, vec array<double>, lists array<int>, near array<long>, scores array<double>, floor double")
     queries = scratch.keep(queries)
     asked = {r["list"]: r["count"] for r in queries.select(F.explode("lists").alias("list")).groupBy("list").count().collect()}
     if not asked:
@@ -189,7 +227,7 @@ def neighbours(
     def shaped(df: DataFrame) -> DataFrame:
         return df.join(F.broadcast(spark.createDataFrame(shape, "list int, chunks int, blocks int")), "list")  # a row per list
 
-    left = queries.select("query_id", "vec", F.explode("lists").alias("list"))
+    left = queries.select("query_id", "vec", "floor", F.explode("lists").alias("list"))
     left = shaped(left)
     left = left.withColumn("block", F.expr("cast(pmod(xxhash64(query_id), blocks) as int)")).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
     right = shaped(listed.select("vec_id", "vec", "list"))
@@ -198,6 +236,7 @@ def neighbours(
     near = left.groupBy(*task).cogroup(right.groupBy(*task)).applyInArrow(
         lambda a, b: _search(a, b, k, largest, turn), "query_id long, vec_id long, score double"
     )
-    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    known = queries.select("query_id", F.explode(F.arrays_zip("near", "scores")).alias("s")).select("query_id", "s.near", "s.scores")
+    best = near.union(known).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
