@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Scratch
+from .tables import Scratch, bounded
 
 WIDTH = 5
 #: Percent of an item's distinct shingles that the document holds.
 THRESHOLD = 80
-#: Rows of a side that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
 _FEW, _MORE_BITS = 8, 6
 
 
@@ -34,11 +32,6 @@ def _windows(w: str, width: int, make) -> Column:
     return F.transform(at, lambda i: make(*(F.get(F.col(w), i + k) for k in range(width))))
 
 
-def _bounded(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``small``, broadcast if it is."""
-    return F.broadcast(small) if small.count() <= limit else small
-
-
 def contained(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", threshold: int = THRESHOLD, width: int = WIDTH
 ) -> DataFrame:
@@ -67,7 +60,7 @@ def contained(
     strings = scratch.keep(strings.join(sizes, "i"))
     few = strings.agg(F.min("q")).first()[0] < _FEW
     hashed = F.xxhash64(*(F.get(F.split("s", " "), F.lit(k)) for k in range(width)))
-    lookup = _bounded(strings.select("i", "q", "v", hashed.alias("x")))
+    lookup = bounded(strings.select("i", "q", "v", hashed.alias("x")))
 
     found = None
     for v in widths:
@@ -82,13 +75,13 @@ def contained(
     # enough minima met: one, or a tenth of a longer item, where half is expected at the threshold
     met = found.groupBy("d", "i", "q").agg(F.count_distinct("x").alias("m")).where("m >= greatest(1, floor(q / 10))")
     candidates = scratch.keep(met.select("d", "i", "q"))
-    texts = left.join(_bounded(candidates.select("d").distinct()), "d", "left_semi")
+    texts = left.join(bounded(candidates.select("d").distinct()), "d", "left_semi")
     held = None
     for v in widths:
         part = texts.select("d", words(F.col("t")).alias("w")).where(F.size("w") >= v)
         part = part.select("d", F.lit(v).alias("v"), F.explode(F.array_distinct(_windows("w", v, lambda *x: F.concat_ws(" ", *x)))).alias("s"))
         held = part if held is None else held.unionByName(part)
-    matched = held.join(_bounded(strings.select("i", "v", "s")), ["v", "s"]).join(candidates, ["d", "i"])
+    matched = held.join(bounded(strings.select("i", "v", "s")), ["v", "s"]).join(candidates, ["d", "i"])
     matched = matched.groupBy("d", "i", "q").agg(F.count_distinct("s").alias("matched")).where(F.col("matched") * 100 >= F.col("q") * threshold)
     return matched.select(
         F.col("d").alias("doc_id"),

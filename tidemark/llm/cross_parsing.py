@@ -19,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import labelled_sample
+from .tables import labelled_sample, small_batches
 from .textbatch import slices
 
 UNDETERMINED = "und"
 SEGMENT = 256
 LETTERS = 120
 #: The bounded sample: so many distinct texts of a language, so many characters of each.
-TEXTS, CHARS = 100, 400
+TEXTS, CHARS = 64, 400
 #: Lanes of one step.
 _LANES = 4096
 
@@ -51,40 +51,40 @@ def _is_letter() -> np.ndarray:
     return np.fromiter((c.isalpha() for c in map(chr, range(0x110000))), bool, 0x110000)
 
 
-def _suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
-    """Transitions of the minimal automaton of all substrings; state 0 is the start."""
-    moves, link, size, last = [{}], [-1], [0], 0
+def _suffix_automaton(codes: list[int], width: int) -> np.ndarray:
+    """Transitions (states x width, -1 for none) of the automaton of all substrings; state 0 is the start."""
+    moves = np.full((2 * len(codes) + 1, width), -1, np.int32)
+    link, size, last = [-1], [0], 0
     for c in codes:
-        new = len(moves)
-        moves.append({})
+        new = len(link)
         size.append(size[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in moves[p]:
-            moves[p][c] = new
+        while p >= 0 and moves[p, c] < 0:
+            moves[p, c] = new
             p = link[p]
         if p >= 0:
-            q = moves[p][c]
+            q = int(moves[p, c])
             if size[p] + 1 == size[q]:
                 link[new] = q
             else:
-                clone = len(moves)
-                moves.append(moves[q].copy())
+                clone = len(link)
+                moves[clone] = moves[q]
                 size.append(size[p] + 1)
                 link.append(link[q])
-                while p >= 0 and moves[p].get(c) == q:
-                    moves[p][c] = clone
+                while p >= 0 and moves[p, c] == q:
+                    moves[p, c] = clone
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    return moves
+    return moves[: len(link)]
 
 
 class _Parser:
     """Codes: 0 any run without letters, 1 a letter outside the alphabet, then the letters; the last one is padding.
 
     A cell holds the next state's row, or its complement if the phrase ends before this letter, which then begins
-    the next one at the start state.
+    the next one. A letter that the language's text lacks is a phrase of its own: the state after it has no moves.
     """
 
     def __init__(self, model: LanguageModel):
@@ -101,16 +101,13 @@ class _Parser:
         self.starts, tables, base, bits = [], [], 0, []
         for text in model.texts:
             codes, _ = self._codes([text.lower()])
-            moves = _suffix_automaton(codes.tolist())
-            root = np.zeros(self.width, np.int64)
-            for c, s in moves[0].items():
-                root[c] = s
-            rows = np.repeat(~((root + base) * self.width)[None, :], len(moves), axis=0)
+            moves = _suffix_automaton(codes.tolist(), self.width)
+            moves = np.vstack([moves, np.full((1, self.width), -1, np.int32)])
+            first = (np.where(moves[0] >= 0, moves[0], len(moves) - 1) + base) * self.width
+            rows = np.where(moves >= 0, (moves + base) * self.width, ~first)
+            rows[0] = first  # only a piece begins here, and no phrase ends
             rows[:, -1] = (np.arange(len(moves)) + base) * self.width
-            for s, out in enumerate(moves):
-                for c, t in out.items():
-                    rows[s, c] = (t + base) * self.width
-            tables.append(rows.astype(np.int32))
+            tables.append(rows)
             self.starts.append(base * self.width)
             bits.append(math.log2(len(codes) + 1))
             base += len(moves)
@@ -187,6 +184,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", language
     The whole text is parsed.
     """
 
+    small_batches(docs.sparkSession)
+
     @F.arrow_udf("struct<language:string,score:double>")
     def named(texts: pa.Array) -> pa.Array:
         names, shares = [], []
@@ -197,5 +196,6 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", language
         values = [pa.array(names, pa.string()), pa.array(np.concatenate(shares) if shares else np.empty(0), pa.float64())]
         return pa.StructArray.from_arrays(values, names=["language", "score"])
 
-    found = docs.select("*", named(F.col(text).cast("string")).alias("__language"))
+    # a filter on the result must not evaluate the function once more
+    found = docs.select("*", named.asNondeterministic()(F.col(text).cast("string")).alias("__language"))
     return found.withColumns({language: F.col("__language.language"), score: F.col("__language.score")}).drop("__language")

@@ -116,7 +116,13 @@ def mix(
     The driver holds the total of each source, MAX_SOURCES at most.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), token_count(F.col(text)).alias("tokens"))
+    # a row without an id is placed by its text
+    rows = docs.select(
+        F.col(source).cast("string").alias("source"),
+        F.col(doc_id).alias("doc_id"),
+        token_count(F.col(text)).alias("tokens"),
+        F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.xxhash64(text))).alias("key"),
+    )
     rows = rows.withColumn("k", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).withColumn("row", F.monotonically_increasing_id())
     rows = scratch.keep(rows)
     totals = rows.groupBy("k").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
@@ -125,9 +131,8 @@ def mix(
     mixture = solve({r["k"]: r["t"] for r in totals}, budget, target_entropy, max_repeats)
     plan = [(r["k"], mixture.budgets[r["k"]] // r["t"], mixture.budgets[r["k"]] % r["t"], -(-r["n"] // block_rows)) for r in totals if r["t"]]
     plan = docs.sparkSession.createDataFrame(plan, "k string, passes long, rest long, blocks long")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), "row"))
     placed = rows.join(F.broadcast(plan), "k")
-    placed = placed.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), F.col("blocks")))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), F.col("blocks")))
     order = F.xxhash64("key", "pass", F.lit(seed))
 
     def visit(n):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Scratch
+from .tables import Scratch, small_batches
 from .textbatch import buffers, slices
 
 KINDS = ("assign", "access", "hex", "opaque")
@@ -127,6 +127,7 @@ def find_secrets(
     end exclusive; empty for texts without any and for null. Base spans always stay; ``opaque`` ones only if they are
     no example. Repeated rows are listed each, and count once as a holder.
     """
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "secrets")
     kept = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
     rows = docs.select(*kept, F.col(owner).alias("owner"), F.col(repository).alias("repository"), candidates(F.col(text)).alias("spans"))
@@ -151,13 +152,15 @@ def listing(secrets):
 def redact(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", key: str = "doc_id", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span that is no example replaced by ``mark``; touching spans become one mark.
 
-    Rows are matched by ``key``; rows that repeat a key have to repeat its text, others are cut at the spans of the
-    first. A null key never matches, so such a row is cut by no corpus count: its own spans are cut without one.
+    Rows are matched by ``key`` and text. A row without a key is cut at its own base spans, whatever the counts say.
     """
-    found = find_secrets(docs.where(F.col(key).isNotNull()), text, owner, repository, carry=(key,))
-    cuts = found.select(F.col(key).alias("__key"), F.filter("secrets", lambda s: ~s["example"]).alias("__cuts")).where(F.size("__cuts") > 0)
-    cuts = cuts.groupBy("__key").agg(F.max("__cuts").alias("__cuts"))
-    joined = docs.join(cuts, docs[key] == cuts["__key"], "left").drop("__key")
+    found = find_secrets(docs.withColumn("__hash", F.xxhash64(text)).where(F.col(key).isNotNull()), text, owner, repository, carry=(key, "__hash"))
+    cuts = found.select(F.col(key).alias("__key"), "__hash", F.filter("secrets", lambda s: ~s["example"]).alias("live")).where(F.size("live") > 0)
+    cuts = cuts.groupBy("__key", "__hash").agg(F.max(F.transform("live", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))).alias("__cuts"))
+    joined = docs.where(F.col(key).isNotNull()).join(cuts, (F.col(key) == F.col("__key")) & (F.xxhash64(text) == F.col("__hash")), "left").drop("__key", "__hash")
+    alone = F.filter(candidates(F.col(text)), lambda s: s["kind"] < 3)
+    alone = docs.where(F.col(key).isNull()).withColumn("__cuts", F.transform(alone, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    joined = joined.unionByName(alone)
     # one character after another span's end begins a new piece; spans are sorted by start
     pieces = F.aggregate(
         "__cuts",

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import small_batches
 from .textbatch import slices
 
 #: Fixed word lists of the grammar.
@@ -212,6 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     ``labels`` (doc_id, label 0 or 1). The driver gets ids and labels of the sample, its candidate entries and features.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     known = known.withColumn("h", F.xxhash64("id"))
     chosen = known.where("y = 0").orderBy("h").limit(rows).union(known.where("y = 1").orderBy("h").limit(rows)).collect()
@@ -239,6 +241,8 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", column: str
     Null, empty and clean texts get the probability of a text without matches; an unfitted model gives 0.
     """
 
+    small_batches(docs.sparkSession)
+
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         if not model.weights:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import small_batches
 from .textbatch import slices, word_hashes
 
 VOCABULARY, CLASSES = 1024, 32
@@ -103,7 +104,7 @@ class Trainer:
 
     def __init__(self, flat: np.ndarray, rate: float = RATE):
         self.flat, self.seen, self.rate = flat.astype(np.float32).copy(), 0, rate
-        self.squares = np.full(SIZE, 1e-3, np.float32)
+        self.squares = np.full(SIZE, 1e-7, np.float32)
 
     def learn(self, ids: np.ndarray, around: np.ndarray) -> None:
         for a in range(0, len(ids), BATCH):
@@ -158,6 +159,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 1
     Averages are taken by Spark, one row per weight; the driver gets the average alone. Without words, the initial
     weights are returned.
     """
+    small_batches(docs.sparkSession)
     flat = initial(seed)
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     for i in range(rounds):
@@ -178,6 +180,8 @@ def score(docs: DataFrame, flat: np.ndarray, doc_id: str = "doc_id", text: str =
     not looked at.
     """
 
+    small_batches(docs.sparkSession)
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch.column(1)):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Scratch, components
+from .tables import Scratch, components, small_batches
 from .textbatch import mixed, shingle_sets, slices
 
 COMPONENTS, ROWS = 127, 6
@@ -29,7 +29,7 @@ BANDS = COMPONENTS // ROWS
 #: Links need 100 * intersection >= SIMILAR * union.
 SIMILAR = 85
 #: Shingles of a block of a task, and how many blocks a group is cut into before they grow towards the larger bound.
-SMALL_BLOCK, LARGE_BLOCK, BLOCKS = 1 << 15, 1 << 18, 12
+SMALL_BLOCK, LARGE_BLOCK, BLOCKS = 1 << 14, 1 << 18, 16
 #: Bytes of a task's bit sets; beyond them pairs are counted from posting lists.
 BIT_BYTES = 64 << 20
 _FRACTION = np.uint64(32)
@@ -250,6 +250,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component of its class, null if no document of the class has one. Other columns of ``docs`` are not looked at.
     Candidates come from BANDS bands of ROWS components: a pair just at the threshold is missed once in 10,000 times.
     """
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     sketched = scratch.keep(sketches(docs, doc_id, text))
     filled = sketched.where("n > 0")

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.storage import delete, work_folder
 
+#: Rows of a side that may be broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 500_000
+
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -23,6 +26,20 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def small_batches(spark: SparkSession, records: int = 2000, size: int = 4 << 20) -> None:
+    """Let Arrow batches to Python workers hold no more than this, so that long texts don't add up in memory."""
+    for key, most in (("maxRecordsPerBatch", records), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(str(spark.conf.get(key)).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
+def bounded(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``small``, broadcast if its rows, a few numbers or one shingle each, are counted to be no more than ``limit``."""
+    return F.broadcast(small) if small.count() <= limit else small
+
+
 class Scratch:
     """Tables of one run below the shared working folder; :meth:`drop` removes the ones no longer read."""
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP, _BACK = np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))

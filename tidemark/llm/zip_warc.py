@@ -25,8 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .containment import _bounded
-from .tables import Scratch
+from .tables import Scratch, bounded, small_batches
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Bytes after which a task begins another archive, and of one range read.
@@ -285,7 +284,7 @@ def with_originals(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> Da
     rows = pages.withColumn("__sha", F.sha1(F.col("html").cast("binary")))
     groups = rows.where(F.octet_length("html") >= min_bytes).groupBy("__sha").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
     groups = scratch.keep(groups.where("n > 1 and first is not null").drop("n"))
-    joined = rows.join(_bounded(groups), "__sha", "left")
+    joined = rows.join(bounded(groups), "__sha", "left")
     return joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
@@ -298,6 +297,7 @@ def archive_pages(
     empty, white space and control characters in urls are percent-encoded. Repeated rows are written each; those of the
     largest page_id are all responses. Other columns are not archived. An empty table writes no archive.
     """
+    small_batches(pages.sparkSession)
     scratch = Scratch(pages.sparkSession, "archives")
     folder = folder or f"{scratch.folder}/files"
     rows = pages.select(
