@@ -26,45 +26,47 @@ def rule(check, action="quarantine", field="a", scope=("silver",), values=()):
     return Rule(field, check, action, scope, values=values)
 
 
-def test_rule_text():
-    assert rule_sql(rule("not_null")) == "a IS NOT NULL"
-    assert rule_sql(rule("allowed_values", values=("x", "y"))) == "a IS NULL OR a IN ('x', 'y')"
-    assert rule_sql(rule("not_future", field="at")) == "at IS NULL OR at <= current_timestamp()"
-    assert rule_sql(rule("not_future", field="at"), "2024-01-01") == "at IS NULL OR at <= TIMESTAMP '2024-01-01'"
-    assert rule_sql(rule("unique")) == "true"
-
-
-def test_allowed_values_follow_the_column_type():
-    c = made(rule("allowed_values", field="b", values=(1, 2)), rule("allowed_values", values=(1, "o'k")))
-    assert rule_sql(c.rules[0], contract=c) == "b IS NULL OR b IN (1, 2)"
-    assert rule_sql(c.rules[1], contract=c) == "a IS NULL OR a IN ('1', 'o\\'k')"
-
-
-def test_odd_column_names_are_quoted():
-    assert rule_sql(rule("not_null", field="a b")) == "`a b` IS NOT NULL"
-
-
-def test_unknown_check():
-    with pytest.raises(ValueError, match="unknown check type"):
-        rule_sql(rule("bogus"))
+PARCELS = [("p1", 2.5, "2020-05-01", "sent"), ("p2", None, "2031-01-01", "lost"), (None, 9.0, None, "it's"), ("p4", -1.0, "2020-05-02", None)]
+
+
+def passing(spark, parcel_rule, as_of="2025-01-01"):
+    """Places of the parcels that pass a rule; every row must pass or fail, never neither."""
+    fields = tuple(Field(n, t) for n, t in (("code no", "string"), ("weight", "double"), ("due", "timestamp"), ("state", "string")))
+    shipped = Contract("parcels", ("bronze", "silver"), "s", "t", ("code no",), fields, (parcel_rule,))
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(PARCELS)], "place int, `code no` string, weight double, due string, state string")
+    verdict = rows.withColumn("due", F.col("due").cast("timestamp")).select("place", F.expr(rule_sql(parcel_rule, as_of, shipped)).alias("ok")).collect()
+    assert all(r.ok is not None for r in verdict)
+    return {r.place for r in verdict if r.ok}
+
+
+@pytest.mark.parametrize(
+    ("check", "column", "values", "places"),
+    [
+        ("not_null", "code no", (), {0, 1, 3}),
+        ("not_null", "state", (), {0, 1, 2}),
+        ("allowed_values", "state", ("sent", "it's"), {0, 2, 3}),
+        ("allowed_values", "weight", (9, -1), {1, 2, 3}),
+        ("not_future", "due", (), {0, 2, 3}),
+        ("unique", "state", (), {0, 1, 2, 3}),
+    ],
+)
+def test_rows_that_pass_a_rule(spark, check, column, values, places):
+    assert passing(spark, rule(check, field=column, values=values)) == places
 
 
-def test_conditions_are_picked_by_scope_and_action():
-    c = made(
-        rule("not_null", "reject", scope=("bronze",)),
-        rule("not_null", "quarantine", "b", ("bronze",)),
-        rule("not_null", "reject", "b"),
-        rule("not_future", "warn", "at"),
-    )
-    assert reject_conditions(c, "bronze") == {"a_not_null": "a IS NOT NULL"}
-    assert warn_conditions(c, "silver") == {"at_not_future": "at IS NULL OR at <= current_timestamp()"}
+def test_a_check_nobody_knows_is_refused():
+    with pytest.raises(ValueError):
+        rule_sql(rule("shiny"))
 
 
-def test_quarantine_condition_joins_failures_and_leaves_unique_out():
-    c = made(rule("not_null"), rule("not_null", field="b"), rule("unique"))
-    assert quarantine_condition(c, "silver") == "NOT (a IS NOT NULL) OR NOT (b IS NOT NULL)"
-    assert quarantine_condition(made(rule("unique")), "silver") is None
-    assert quarantine_condition(made(), "silver") is None
+def test_rules_act_in_their_own_scope(spark):
+    rules = [rule("not_null", action, scope=scope) for action, scope in (("reject", ("bronze",)), ("quarantine", ("silver",)), ("warn", ("bronze", "silver")))]
+    c = made(*rules, rule("unique"))
+    assert len(reject_conditions(c, "bronze")) == 1 and not reject_conditions(c, "silver")
+    assert len(warn_conditions(c, "bronze")) == len(warn_conditions(c, "silver")) == 1
+    rows = spark.createDataFrame([("x",), (None,)], "a string")
+    assert quarantine_condition(c, "bronze") is None
+    assert [r.a for r in rows.where(quarantine_condition(c, "silver")).collect()] == [None]
 
 
 @pytest.mark.parametrize("name", CONTRACTS)

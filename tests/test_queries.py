@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import compare, connect
+from workload import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
@@ -23,10 +24,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, duck, name):
     problem = compare(spark, duck, name, queries()[name], oracle_sql()[name], SF)
     assert problem in (None, "both empty")

@@ -1,11 +1,14 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.contracts import CONTRACTS, contract
+from tidemark.contracts import CONTRACTS, Contract, Field, Rule, contract
 from tidemark.operators import conform
 from tidemark.plans.warehouse import FUSED, GOLD, Warehouse
 from tidemark.sources import write_snapshot
 from tidemark.streaming import KeyedState, read_route, route_stream, rule_metrics, scd1_stream
+from tidemark.streaming.flows import silver_stream
 from tidemark.sources import parquet_stream
 
 AS_OF = "2024-06-01"
@@ -91,17 +94,59 @@ def test_two_exports_through_all_layers_and_a_full_refresh(spark, folder, contra
     assert Warehouse.open(spark, f"{folder}/house").version == fresh.version
 
 
+def forget_last_commit(checkpoint):
+    """As if the query had died after its last batch, before noting that it was done."""
+    last = max(Path(checkpoint, "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for p in (last, last.with_name(f".{last.name}.crc")):
+        p.unlink(missing_ok=True)
+
+
 def test_routes_and_counts_survive_a_replayed_batch(spark, folder):
     c = contract("orders")
     source = f"{folder}/exports"
     first_export(spark, source)
     rows = spark.read.schema(c.payload_type).parquet(f"{source}/orders")
     stream = parquet_stream(spark, f"{source}/orders", rows.schema)
-    for checkpoint in ("a", "b"):  # a lost checkpoint replays the batch under its old number
+
+    def counts(checkpoint):
         route_stream(stream, c, f"{folder}/routed", f"{folder}/{checkpoint}", as_of=AS_OF).awaitTermination()
-    clean, bad = (read_route(spark, f"{folder}/routed", rows.schema, r) for r in ("clean", "quarantine"))
-    assert (clean.count(), bad.count()) == (5, 1)
-    assert rule_metrics(spark, f"{folder}/routed").filter("rule = 'total_amount_not_null'").first().failed == 1
+        parts = [read_route(spark, f"{folder}/routed", rows.schema, r).count() for r in ("clean", "quarantine")]
+        failed = rule_metrics(spark, f"{folder}/routed").filter("rule = 'total_amount_not_null'").agg({"failed": "sum"}).first()[0]
+        return (*parts, failed)
+
+    assert counts("a") == (5, 1, 1)
+    forget_last_commit(f"{folder}/a")
+    assert counts("a") == (5, 1, 1)
+    assert counts("b") == (10, 2, 2)  # another checkpoint is another query; its rows replace none
+
+
+def test_a_batch_keeps_its_clock_through_replays(spark, folder):
+    rule = Rule("at", "not_future", "quarantine", ("silver",))
+    c = Contract("late", ("bronze", "silver"), "s", "t", ("k",), (Field("k", "string"), Field("at", "timestamp")), (rule,))
+    schema = "k string, at timestamp, __op string, __source_ts_ms bigint"
+    soon = spark.range(4000).selectExpr("cast(id as string) k", "current_timestamp() + make_dt_interval(0, 0, 0, id / 400.0) at", "'c' __op", "id __source_ts_ms")
+    soon.repartition(4).write.parquet(f"{folder}/in")
+    state = KeyedState(spark, f"{folder}/state", spark.createDataFrame([], schema).schema, ("k",))
+
+    def split():
+        silver_stream(parquet_stream(spark, f"{folder}/in", state.schema), c, state, f"{folder}/bad", f"{folder}/cp").awaitTermination()
+        return [{r.k for r in df.collect()} for df in (state.read(), read_route(spark, f"{folder}/bad", state.schema, "quarantine"))]
+
+    clean, bad = split()
+    assert len(clean) + len(bad) == 4000 and not clean & bad and bad
+    forget_last_commit(f"{folder}/cp")
+    assert split() == [clean, bad]
+
+
+def test_a_second_checkpoint_goes_on_after_the_first(spark, folder):
+    schema = "k string, v int, __op string, __source_ts_ms bigint"
+    state = KeyedState(spark, f"{folder}/state", spark.createDataFrame([], schema).schema, ("k",))
+    for part in "ab":
+        spark.createDataFrame([(part, 1, "c", 1), ("both", ord(part), "u", ord(part))], schema).coalesce(1).write.parquet(f"{folder}/{part}")
+        for _ in range(2):
+            scd1_stream(parquet_stream(spark, f"{folder}/{part}", state.schema, 1), state, f"{folder}/cp-{part}").awaitTermination()
+            forget_last_commit(f"{folder}/cp-{part}")
+    assert {r.k: r.v for r in state.read().collect()} == {"a": 1, "b": 1, "both": ord("b")}
 
 
 def test_streams_pick_up_where_they_stopped(spark, folder):

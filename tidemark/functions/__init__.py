@@ -3,17 +3,12 @@ from tidemark.functions.scalars import (
     digits_only,
     driver_key,
     event_name,
-    exact_avg,
-    exact_sum,
-    from_parts,
     op_rank,
     plain_id,
     row_hash,
     seconds_between,
     strip_wire_header,
-    sum_parts,
     to_instant,
-    to_json_text,
     to_whole,
 )
 
@@ -23,9 +18,6 @@ __all__ = [
     "digits_only",
     "driver_key",
     "event_name",
-    "exact_avg",
-    "exact_sum",
-    "from_parts",
     "op_rank",
     "plain_id",
     "row_hash",
@@ -34,8 +26,6 @@ __all__ = [
     "rule_sql",
     "seconds_between",
     "strip_wire_header",
-    "sum_parts",
     "to_instant",
-    "to_json_text",
     "to_whole",
 ]

@@ -43,7 +43,7 @@ def rule_sql(rule: Rule, as_of: datetime | str | None = None, contract: Contract
         return f"{name} IS NULL OR {name} <= {_moment(as_of)}"
     if rule.check == "unique":
         return "true"
-    raise ValueError(f"unknown check type: {rule.check!r}")
+    raise ValueError(f"no such check: {rule.check!r}")
 
 
 def rule_passes(rule: Rule, as_of: datetime | str | None = None, contract: Contract | None = None) -> Column:

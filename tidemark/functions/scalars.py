@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 DRIVERS = 354
 # Fixed value: a registry record starts with a magic byte and a four-byte schema id.
 WIRE_HEADER_BYTES = 5
-# Units below this power of two go to the low part of an exact sum.
-LOW_BITS = 20
 # Digits that always fit a long; longer keys take the digit-by-digit branch.
 LONG_SAFE_DIGITS = 18
 
@@ -63,34 +61,6 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return (F.unix_timestamp(later) - F.unix_timestamp(earlier)).cast("double")
 
 
-def sum_parts(col: Column, scale: int = 2) -> tuple[Column, Column]:
-    """Sum of doubles that carry ``scale`` decimals, as the sums of two parts of whole units.
-
-    Cutting each value in a high and a low part keeps both sums far from overflowing a long for
-    trillions of rows. Parts can be added up further; :func:`from_parts` puts them together.
-    """
-    units = F.rint(col * F.lit(float(10**scale))).cast("bigint")
-    return F.sum(F.shiftright(units, LOW_BITS)), F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint")))
-
-
-def from_parts(high: Column, low: Column, scale: int = 2) -> Column:
-    units = high.cast(T.DecimalType(38, 0)) * F.lit(1 << LOW_BITS) + low
-    return units.cast("double") / F.lit(float(10**scale))
-
-
-def exact_sum(col: Column, scale: int = 2) -> Column:
-    """Sum of doubles that carry ``scale`` decimals, independent of the order of addition.
-
-    Task retries and different partitionings reorder a floating-point sum. Adding whole units gives
-    every run the same bits, at the price of a sum of longs; the result is a double again.
-    """
-    return from_parts(*sum_parts(col, scale), scale)
-
-
-def exact_avg(col: Column, scale: int = 2) -> Column:
-    return F.try_divide(exact_sum(col, scale), F.count(col))
-
-
 def op_rank(op: Column) -> Column:
     """Order of operations sharing one sequence value: snapshot, create, update, delete."""
     known = F.when(op == "r", 0).when(op == "c", 1).when(op == "d", 3)
@@ -106,11 +76,6 @@ def strip_wire_header(value: Column) -> Column:
     return F.substring(value, WIRE_HEADER_BYTES + 1, 2147483647)
 
 
-def to_json_text(col: Column) -> Column:
-    """JSON text of a nested value."""
-    return F.to_json(col)
-
-
 def to_instant(col: Column, source: T.DataType) -> Column:
     """A timestamp from ISO text, epoch milliseconds (number or its text), or any time type."""
     if isinstance(source, T.StringType):

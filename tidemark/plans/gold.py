@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts.model import SEQUENCE
-from tidemark.functions.scalars import event_name, exact_avg, exact_sum, from_parts, seconds_between, sum_parts
+from tidemark.functions.scalars import event_name, seconds_between
 from tidemark.operators.keyed import one_row_per_key
 
 # Measures that are not money are added with this many decimals.
-MEASURE_SCALE = 6
 
 
 def _newest_first(df: DataFrame, tie: str) -> list[str]:
@@ -26,12 +25,12 @@ def _newest_first(df: DataFrame, tie: str) -> list[str]:
 def payments_by_status(payments: DataFrame) -> DataFrame:
     return payments.groupBy("status").agg(
         F.count("payment_id").alias("payment_count"),
-        exact_sum(F.col("amount")).alias("total_amount_brl"),
-        exact_avg(F.col("amount")).alias("avg_amount_brl"),
-        exact_sum(F.col("net_amount")).alias("total_net_amount_brl"),
-        exact_sum(F.col("platform_fee")).alias("total_platform_fee_brl"),
-        exact_sum(F.col("refund_amount")).alias("total_refund_amount_brl"),
-        exact_sum(F.col("tax_amount")).alias("total_tax_amount_brl"),
+        F.sum(F.col("amount")).alias("total_amount_brl"),
+        F.avg(F.col("amount")).alias("avg_amount_brl"),
+        F.sum(F.col("net_amount")).alias("total_net_amount_brl"),
+        F.sum(F.col("platform_fee")).alias("total_platform_fee_brl"),
+        F.sum(F.col("refund_amount")).alias("total_refund_amount_brl"),
+        F.sum(F.col("tax_amount")).alias("total_tax_amount_brl"),
     )
 
 
@@ -80,9 +79,9 @@ def driver_performance(driver_shifts: DataFrame, drivers: DataFrame, orders: Dat
     shifts = driver_shifts.groupBy("driver_id").agg(
         F.count("shift_id").alias("total_shifts"),
         F.sum("num_orders").alias("total_orders"),
-        exact_sum(F.col("earnings_brl")).alias("total_earnings_brl"),
-        exact_avg(F.col("shift_rating"), MEASURE_SCALE).alias("avg_shift_rating"),
-        exact_sum(F.col("distance_covered_km"), MEASURE_SCALE).alias("total_distance_km"),
+        F.sum(F.col("earnings_brl")).alias("total_earnings_brl"),
+        F.avg(F.col("shift_rating")).alias("avg_shift_rating"),
+        F.sum(F.col("distance_covered_km")).alias("total_distance_km"),
         F.avg("shift_duration_min").alias("avg_shift_duration_min"),
     )
     people = one_row_per_key(drivers, ["driver_id"], _newest_first(drivers, "uuid")).select(
@@ -119,7 +118,7 @@ def order_values(orders: DataFrame) -> DataFrame:
     """Orders and their average value per restaurant, each order counted once however many items it has."""
     return orders.groupBy("restaurant_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        exact_avg(F.col("total_amount")).alias("avg_order_value_brl"),
+        F.avg(F.col("total_amount")).alias("avg_order_value_brl"),
     )
 
 
@@ -130,29 +129,23 @@ def revenue_per_restaurant(order_items: DataFrame, orders: DataFrame, restaurant
     its value is not repeated per item. Order and item measures then come out of one aggregation
     over that join, and orders are read once. Items of unknown orders have no restaurant.
     """
-    revenue_high, revenue_low = sum_parts(F.col("subtotal"))
-    discount_high, discount_low = sum_parts(F.col("discount_applied"))
     baskets = order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items"),
-        revenue_high.alias("revenue_high"),
-        revenue_low.alias("revenue_low"),
-        discount_high.alias("discount_high"),
-        discount_low.alias("discount_low"),
+        F.sum("subtotal").alias("revenue"),
+        F.sum("discount_applied").alias("discount"),
         F.count("discount_applied").alias("discounts"),
     )
-    revenue = from_parts(F.sum("revenue_high"), F.sum("revenue_low"))
-    discount = from_parts(F.sum("discount_high"), F.sum("discount_low"))
     sales = (
         orders.select("order_id", "restaurant_key", "total_amount")
         .join(baskets, "order_id", "left")
         .groupBy("restaurant_key")
         .agg(
             F.count_distinct("order_id").alias("orders"),
-            exact_avg(F.col("total_amount")).alias("order_value"),
+            F.avg(F.col("total_amount")).alias("order_value"),
             F.count("items").alias("baskets"),
             F.sum("items").alias("total_items_sold"),
-            revenue.alias("total_revenue_brl"),
-            F.try_divide(discount, F.sum("discounts")).alias("avg_discount_brl"),
+            F.sum("revenue").alias("total_revenue_brl"),
+            F.try_divide(F.sum("discount"), F.sum("discounts")).alias("avg_discount_brl"),
         )
         .filter(F.col("baskets") > 0)
     )

@@ -22,35 +22,66 @@ def own_topics(samples: DataFrame) -> DataFrame:
     return samples.filter(~F.col("topic").rlike(INTERNAL_TOPIC))
 
 
+# What tells the samples of one counter or gauge from another's: every label that the samples carry.
+LABELS = ("cluster", "broker", "group", "topic", "partition", "connector", "task")
+
+
+def series_of(samples: DataFrame) -> list[str]:
+    return [c for c in LABELS if c in samples.columns]
+
+
+def _known(samples: DataFrame) -> DataFrame:
+    """Samples with a value; a null is a scrape that failed, not a zero."""
+    return samples.where(F.col("value").isNotNull())
+
+
+def current(samples: DataFrame, at=None, lookback_seconds: int | None = None) -> DataFrame:
+    """Samples not after ``at`` and, with a lookback, not that much older; both reach the scan as a filter on ``ts``."""
+    moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    if at is not None or lookback_seconds is not None:
+        samples = samples.where(F.col("ts") <= moment)
+    if lookback_seconds is not None:
+        samples = samples.where(F.col("ts") > moment - F.make_dt_interval(secs=F.lit(lookback_seconds)))
+    return samples
+
+
 def _newest(samples: DataFrame, series: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
-    return latest_per_key(samples, series, ["ts", *tie_break])
+    return latest_per_key(_known(samples), series, ["ts", *tie_break])
+
+
+def lag_by_topic(samples: DataFrame, tie_break: Sequence[str] = (), at=None, lookback_seconds: int | None = None) -> DataFrame:
+    """Current lag per topic: the newest sample of each series added up, over groups and partitions."""
+    own = current(own_topics(samples), at, lookback_seconds)
+    return _newest(own, series_of(own), tie_break).groupBy("topic").agg(F.sum("value").alias("lag"))
 
 
-def lag_by_topic(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Current lag per topic: the newest sample of each ``(topic, partition)`` added up."""
-    newest = _newest(own_topics(samples), ["topic", "partition"], tie_break)
-    return newest.groupBy("topic").agg(F.sum("value").alias("lag"))
+def total_lag(samples: DataFrame, tie_break: Sequence[str] = (), at=None, lookback_seconds: int | None = None) -> DataFrame:
+    own = current(own_topics(samples), at, lookback_seconds)
+    return _newest(own, series_of(own), tie_break).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("lag"))
 
 
-def total_lag(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    newest = _newest(own_topics(samples), ["topic", "partition"], tie_break)
-    return newest.agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("lag"))
+def _summed_rate(samples: DataFrame, by: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
+    """The rate of every series, then their sum: a change of broker is not a reset of a counter."""
+    series = series_of(samples)
+    each = rate(_known(samples), series, tie_break=tie_break)
+    if set(series) == set(by):
+        return each
+    return each.groupBy(*by, "window_end").agg(*(F.sum(c).alias(c) for c in each.columns if c not in (*series, "window_end")))
 
 
 def message_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Five-minute rate of a message or byte counter, per topic."""
-    return rate(own_topics(samples), ["topic"], tie_break=tie_break)
+    return _summed_rate(own_topics(samples), ["topic"], tie_break)
 
 
 def total_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Five-minute rate of a counter over all topics together, the broker's own included."""
-    per_topic = rate(samples, ["topic"], tie_break=tie_break)
-    return per_topic.groupBy("window_end").agg(F.sum("rate").alias("rate"))
+    return _summed_rate(samples, [], tie_break).select("window_end", "rate")
 
 
 def error_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Five-minute rate of an error counter, per task."""
-    return rate(samples, ["connector", "task"], tie_break=tie_break)
+    return _summed_rate(samples, ["connector", "task"], tie_break)
 
 
 def running_tasks(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -79,16 +110,16 @@ def critical_lag_alerts(samples: DataFrame) -> DataFrame:
     return held_for(totals, ["topic"], F.col("value") > LAG_CRITICAL, LAG_CRITICAL_SECONDS)
 
 
-def task_alerts(samples: DataFrame) -> DataFrame:
-    return held_for(samples, ["connector", "task"], F.col("value") < 1, TASK_SECONDS)
+def task_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    return held_for(samples, ["connector", "task"], F.col("value") < 1, TASK_SECONDS, tie_break=tie_break)
 
 
-def broker_alerts(samples: DataFrame) -> DataFrame:
-    return held_for(samples, ["cluster"], F.col("value") < 1, BROKER_SECONDS)
+def broker_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    return held_for(samples, ["cluster"], F.col("value") < 1, BROKER_SECONDS, tie_break=tie_break)
 
 
-def replica_alerts(samples: DataFrame) -> DataFrame:
-    return held_for(samples, ["broker"], F.col("value") > 0, REPLICA_SECONDS)
+def replica_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    return held_for(samples, ["broker"], F.col("value") > 0, REPLICA_SECONDS, tie_break=tie_break)
 
 
 def alerts(

@@ -30,6 +30,11 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.globStatus(p) or [])
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     fs, p = _path(spark, path)
     return fs.getContentSummary(p).getLength()

@@ -6,6 +6,10 @@ micro-batch go to a folder named after the batch, so a replay replaces its own o
 
 from __future__ import annotations
 
+import json
+import time
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.contracts.model import Contract
 from tidemark.functions.rules import any_fails
 from tidemark.operators.quality import failure_counts, rule_counts, split_quarantine
-from tidemark.sources.storage import matching
+from tidemark.sources.storage import make_folder, matching
 from tidemark.streaming.state import KeyedState
 
 CLEAN, QUARANTINE = "clean", "quarantine"
@@ -38,6 +42,28 @@ def _for_each_batch(df: DataFrame, checkpoint: str, handle) -> StreamingQuery:
     return writer.trigger(availableNow=True).start()
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint; a new checkpoint numbers its batches from 0 under another."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    return f"{query_id(spark, checkpoint)}-{batch_id}"
+
+
+def batch_clock(spark: SparkSession, folder: str, name: str, as_of=None):
+    """The moment that all jobs of a batch, and its replays, take for now: the given one, or the time of the first
+    attempt, which is kept as an empty folder ``clock/<batch>=<microseconds>``."""
+    if as_of is not None:
+        return as_of
+    kept = matching(spark, f"{folder}/clock/{name}=*")
+    if not kept:
+        make_folder(spark, f"{folder}/clock/{name}={time.time_ns() // 1000}")
+        kept = matching(spark, f"{folder}/clock/{name}=*")
+    moment = datetime.fromtimestamp(int(kept[0].rsplit("=", 1)[1]) / 1e6, timezone.utc)
+    return f"{moment:%Y-%m-%d %H:%M:%S.%f} UTC"
+
+
 def _write_metrics(counts, contract: Contract, scope: str, batch_id: int, folder: str, spark: SparkSession) -> None:
     """One small table of rule counts per batch: as many rows as the scope has rules."""
     rows = [
@@ -53,7 +79,7 @@ def _write_metrics(counts, contract: Contract, scope: str, batch_id: int, folder
     ]
     if rows:
         table = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
-        table.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        table.write.mode("overwrite").parquet(folder)
 
 
 def route_stream(
@@ -68,13 +94,15 @@ def route_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         rules = contract.rules_for(scope)
-        failed = any_fails([r for r in rules if r.on_failure == "quarantine" and r.check != "unique"], as_of, contract)
-        routed = batch.observe(seen, *failure_counts(rules, contract, as_of)).withColumn(
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        now = batch_clock(batch.sparkSession, folder, name, as_of)
+        failed = any_fails([r for r in rules if r.on_failure == "quarantine" and r.check != "unique"], now, contract)
+        routed = batch.observe(seen, *failure_counts(rules, contract, now)).withColumn(
             "_route", F.when(failed, QUARANTINE).otherwise(CLEAN)
         )
-        target = f"{folder}/rows/batch={batch_id}"
+        target = f"{folder}/rows/batch={name}"
         routed.write.mode("overwrite").partitionBy("_route").parquet(target)
-        _write_metrics(seen.get, contract, scope, batch_id, f"{folder}/metrics", batch.sparkSession)
+        _write_metrics(seen.get, contract, scope, batch_id, f"{folder}/metrics/batch={name}", batch.sparkSession)
 
     return _for_each_batch(df, checkpoint, handle)
 
@@ -97,7 +125,7 @@ def scd1_stream(df: DataFrame, state: KeyedState, checkpoint: str) -> StreamingQ
     """Keep the latest row per key of a change stream; out-of-order arrival does not matter."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        state.apply(batch, batch_id)
+        state.apply(batch, batch_id, query_id(batch.sparkSession, checkpoint))
 
     return _for_each_batch(df, checkpoint, handle)
 
@@ -114,11 +142,13 @@ def silver_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        clean, failed = split_quarantine(batch, contract, "silver", as_of)
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        now = batch_clock(batch.sparkSession, quarantine, name, as_of)
+        clean, failed = split_quarantine(batch, contract, "silver", now)
         routed = failed.withColumn("_route", F.lit(QUARANTINE))
-        routed.write.mode("overwrite").partitionBy("_route").parquet(f"{quarantine}/rows/batch={batch_id}")
-        counts = rule_counts(batch, contract, "silver", as_of=as_of).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        counts.write.mode("overwrite").parquet(f"{quarantine}/metrics/batch={batch_id}")
-        state.apply(clean, batch_id)
+        routed.write.mode("overwrite").partitionBy("_route").parquet(f"{quarantine}/rows/batch={name}")
+        counts = rule_counts(batch, contract, "silver", as_of=now).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        counts.write.mode("overwrite").parquet(f"{quarantine}/metrics/batch={name}")
+        state.apply(clean, batch_id, query_id(batch.sparkSession, checkpoint))
 
     return _for_each_batch(df, checkpoint, handle)

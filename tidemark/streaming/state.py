@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tidemark.contracts.model import OP, SEQUENCE
 from tidemark.functions.scalars import row_hash
 from tidemark.operators.keyed import change_order, latest_per_key, without_deletes
-from tidemark.sources.storage import child_names, delete, matching, size_of
+from tidemark.sources.storage import child_names, delete, make_folder, matching, size_of
 
 TIE = "_tie"
 SEGMENT = re.compile(r"seg=(\d+)-(\d+)\Z")
@@ -122,9 +122,32 @@ class KeyedState:
         rows = self._rows(current) if len(current) < 2 else self._merged(current)
         return without_deletes(rows, self.apply_as_deletes).select(*self.schema.names)
 
-    def apply(self, batch: DataFrame, batch_id: int) -> bool:
-        """Add one micro-batch; False when it is a replay of one already in."""
-        segment = Segment(batch_id, batch_id)
+    def _number(self, batch_id: int, query: str) -> int | None:
+        """The segment number of a query's batch, the same again for a replay; None for a batch before its newest.
+
+        The newest batch of each query is kept as an empty folder ``_seen/<query>/<batch>-<number>``, made before the
+        segment: another checkpoint on the same state goes on after the newest number.
+        """
+        base = f"{self.path}/_seen/{query}"
+        seen = sorted(tuple(map(int, name.split("-"))) for name in child_names(self.spark, base))
+        if seen and batch_id <= seen[-1][0]:
+            return seen[-1][1] if batch_id == seen[-1][0] else None
+        given = [int(p.rsplit("-", 1)[1]) for p in matching(self.spark, f"{self.path}/_seen/*/*")]
+        number = max([-1, *given, *(s.last for s in self.segments())]) + 1
+        make_folder(self.spark, f"{base}/{batch_id}-{number}")
+        for batch, older in seen:
+            delete(self.spark, f"{base}/{batch}-{older}")
+        return number
+
+    def apply(self, batch: DataFrame, batch_id: int, query: str | None = None) -> bool:
+        """Add one micro-batch; False when it is a replay of one already in.
+
+        ``query`` is the id of the streaming query that numbers the batches; without one there is a single numbering.
+        """
+        number = batch_id if query is None else self._number(batch_id, query)
+        if number is None:
+            return False
+        segment = Segment(number, number)
         if any(s.covers(segment) for s in self.segments()):
             return False
         self._write(self._latest(self._arriving(batch)), segment)

@@ -19,7 +19,7 @@ from tidemark.plans.gold import order_values
 from tidemark.plans.users import candidates, split_users
 from tidemark.sources.storage import work_folder, written
 from workload.inputs import INPUTS, Input, silver_sql
-from workload.registry import query, register
+from workload.registry import query, register, table
 
 AS_OF = "2024-01-15 00:00:00"
 
@@ -121,12 +121,18 @@ def users_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gold -------------------------------------------------------------------------------------
 
 
-def _sum(column: str, places: int = 2) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,{places}))) AS DOUBLE)"
+def _sum(column: str) -> str:
+    return f"round(sum({column}), 2)"
 
 
-def _avg(column: str, places: int = 2) -> str:
-    return f"{_sum(column, places)} / nullif(count({column}), 0)"
+def _avg(column: str) -> str:
+    return f"round(avg({column}), 6)"
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Sums to two places and averages to six: doubles are added in any order, here and there."""
+    names = [f.name for f in df.schema if f.dataType.simpleString() == "double" and f.name.startswith(("total_", "avg_")) and "duration" not in f.name]
+    return df.withColumns({n: F.round(n, 2 if n.startswith("total_") else 6) for n in names})
 
 
 _NAMED = f"""WITH events_now AS ({silver_sql('payment_events')}),
@@ -134,12 +140,23 @@ _NAMED = f"""WITH events_now AS ({silver_sql('payment_events')}),
         ELSE event END AS event_name FROM events_now)"""
 
 
+@query("""SELECT l_returnflag AS status, count(*) AS payment_count, round(sum(l_extendedprice * l_discount * l_tax), 4) AS total_amount_brl,
+    round(avg(l_extendedprice * l_discount * l_tax), 4) AS avg_amount_brl FROM lineitem GROUP BY l_returnflag""")
+def sum_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of more than two decimals, each counted in full."""
+    fine = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("status"), F.col("l_orderkey").alias("payment_id"), fine.alias("amount"))
+    rows = rows.withColumns({c: F.col("amount") for c in ("net_amount", "platform_fee", "refund_amount", "tax_amount")})
+    out = payments_by_status(rows).select("status", "payment_count", "total_amount_brl", "avg_amount_brl")
+    return out.withColumns({c: F.round(c, 4) for c in ("total_amount_brl", "avg_amount_brl")})
+
+
 @query(f"""SELECT status, count(payment_id) AS payment_count, {_sum('amount')} AS total_amount_brl,
     {_avg('amount')} AS avg_amount_brl, {_sum('net_amount')} AS total_net_amount_brl,
     {_sum('platform_fee')} AS total_platform_fee_brl, {_sum('refund_amount')} AS total_refund_amount_brl,
     {_sum('tax_amount')} AS total_tax_amount_brl FROM ({silver_sql('payments')}) AS payments_now GROUP BY status""")
 def gold_payments_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payments_by_status(silver_of(spark, sf_dir, "payments")[0])
+    return rounded(payments_by_status(silver_of(spark, sf_dir, "payments")[0]))
 
 
 @query(f"""{_NAMED} SELECT event_name, count(event_id) AS event_count,
@@ -167,8 +184,8 @@ def gold_payment_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH shifts_now AS ({silver_sql('driver_shifts')}), orders_now AS ({silver_sql('orders')}),
     drivers_now AS ({silver_sql('drivers')}),
     shifts AS (SELECT driver_id, count(shift_id) AS total_shifts, CAST(sum(num_orders) AS BIGINT) AS total_orders,
-        {_sum('earnings_brl')} AS total_earnings_brl, {_avg('shift_rating', 6)} AS avg_shift_rating,
-        {_sum('distance_covered_km', 6)} AS total_distance_km, avg(shift_duration_min) AS avg_shift_duration_min
+        {_sum('earnings_brl')} AS total_earnings_brl, {_avg('shift_rating')} AS avg_shift_rating,
+        {_sum('distance_covered_km')} AS total_distance_km, avg(shift_duration_min) AS avg_shift_duration_min
         FROM shifts_now GROUP BY driver_id),
     driven AS (SELECT TRY_CAST(driver_key AS INT) AS number, count(DISTINCT order_id) AS order_count
         FROM orders_now WHERE driver_key IS NOT NULL GROUP BY 1)
@@ -178,7 +195,7 @@ def gold_payment_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         LEFT JOIN driven ON TRY_CAST(shifts.driver_id AS INT) = driven.number""")
 def gold_driver_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = {d: silver_of(spark, sf_dir, d)[0] for d in ("driver_shifts", "drivers", "orders")}
-    return driver_performance(state["driver_shifts"], state["drivers"], state["orders"])
+    return rounded(driver_performance(state["driver_shifts"], state["drivers"], state["orders"]))
 
 
 @query(f"""WITH items_now AS ({silver_sql('order_items')}), orders_now AS ({silver_sql('orders')}),
@@ -194,13 +211,13 @@ def gold_driver_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
         LEFT JOIN restaurants_now ON restaurants_now.cnpj = sales.restaurant_key""")
 def gold_revenue_per_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = {d: silver_of(spark, sf_dir, d)[0] for d in ("order_items", "orders", "restaurants")}
-    return revenue_per_restaurant(state["order_items"], state["orders"], state["restaurants"])
+    return rounded(revenue_per_restaurant(state["order_items"], state["orders"], state["restaurants"]))
 
 
 @query(f"""SELECT restaurant_key, count(DISTINCT order_id) AS total_orders,
     {_avg('total_amount')} AS avg_order_value_brl FROM ({silver_sql('orders')}) AS orders_now GROUP BY restaurant_key""")
 def order_value_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_values(silver_of(spark, sf_dir, "orders")[0])
+    return rounded(order_values(silver_of(spark, sf_dir, "orders")[0]))
 
 
 @query(f"""{_USERS.replace('WITH ', 'WITH searches_now AS (' + silver_sql('search_events') + '), recs_now AS ('

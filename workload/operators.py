@@ -539,7 +539,34 @@ _GROWN = f"""grown AS (SELECT topic, ts, event_id, CASE WHEN last IS NULL THEN 0
     SELECT topic, make_timestamp(w_end * 60000000) AS window_end, CAST(increase AS DOUBLE) AS increase,
         CAST(increase AS DOUBLE) / ((b - a) / 1000000.0) AS rate FROM windows WHERE n > 1 AND b > a""")
 def rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.message_rate(_samples(spark, sf_dir, "event_id % 1000"), ["event_id"])
+    return monitoring.message_rate(_samples(spark, sf_dir, "event_id % 1000").drop("partition"), ["event_id"])
+
+
+@query(f"""WITH grown AS (SELECT topic, broker, ts, event_id, CASE WHEN last IS NULL THEN 0 WHEN value < last THEN value
+        ELSE value - last END AS inc FROM (SELECT *, lag(value) OVER (PARTITION BY topic, broker ORDER BY ts, event_id) AS last
+        FROM (SELECT ts, event_id, {_TOPIC}, event_id % 2 AS broker, event_id % 1000 AS value FROM events) AS s
+        WHERE topic NOT LIKE '\\_\\_%' ESCAPE '\\') AS told),
+    spread AS (SELECT topic, broker, ts, event_id, inc, (epoch_us(ts) // 60000000) + 1 + k AS w_end
+        FROM grown, (SELECT unnest([0, 1, 2, 3, 4]) AS k) AS ks),
+    windows AS (SELECT topic, broker, w_end, count(*) AS n, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b,
+        sum(inc) - arg_min(inc, event_id) AS increase FROM spread GROUP BY topic, broker, w_end)
+    SELECT topic, make_timestamp(w_end * 60000000) AS window_end, CAST(sum(increase) AS DOUBLE) AS increase,
+        round(sum(CAST(increase AS DOUBLE) / ((b - a) / 1000000.0)), 9) AS rate FROM windows WHERE n > 1 AND b > a
+    GROUP BY topic, w_end""")
+def rate_by_broker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two brokers count on their own; a topic's rate is the sum of theirs."""
+    samples = _samples(spark, sf_dir, "event_id % 1000").drop("partition").withColumn("broker", F.col("event_id") % 2)
+    return monitoring.message_rate(samples, ["event_id"]).withColumn("rate", F.round("rate", 9))
+
+
+@query(f"""SELECT topic, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS lag FROM ({latest_sql(
+    f"SELECT ts, event_id, {_TOPIC}, user_id, event_id % 2 AS grp, value FROM events", 'topic, user_id, grp', 'ts DESC, event_id DESC')}) AS l
+    WHERE topic NOT LIKE '\\_\\_%' ESCAPE '\\' GROUP BY topic""")
+def lag_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two consumer groups lag behind one partition each by their own."""
+    samples = _samples(spark, sf_dir, "CAST(value AS DECIMAL(18,2))").withColumn("group", F.col("event_id") % 2)
+    return monitoring.lag_by_topic(samples, ["event_id"]).select("topic", F.col("lag").cast("double"))
+
 
 
 def _held_sql(samples: str, series: str, test: str, seconds: int) -> str:
@@ -552,6 +579,30 @@ def _held_sql(samples: str, series: str, test: str, seconds: int) -> str:
         GROUP BY {series}, active_since"""
 
 
+def _alert_sql(labels: str, series: str, seconds: int) -> str:
+    return _held_sql(f"SELECT ts, event_id, {labels}, value / 10 AS value FROM events", series, "(value < 1)", seconds)
+
+
+def _alert_samples(spark: SparkSession, sf_dir: str, **labels: str) -> DataFrame:
+    names = [f"{v} AS {k}" for k, v in labels.items()]
+    return table(spark, sf_dir, "events").selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_id", *names, "value / 10 AS value")
+
+
+@query(_alert_sql("event_type AS connector, user_id AS task", "connector, task", monitoring.TASK_SECONDS))
+def alert_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.task_alerts(_alert_samples(spark, sf_dir, connector="event_type", task="user_id"), ["event_id"])
+
+
+@query(_alert_sql("event_type AS broker", "broker", monitoring.REPLICA_SECONDS).replace("(value < 1)", "(value > 0)"))
+def alert_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.replica_alerts(_alert_samples(spark, sf_dir, broker="event_type"), ["event_id"])
+
+
+@query(_alert_sql("event_type AS cluster", "cluster", monitoring.BROKER_SECONDS))
+def alert_broker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.broker_alerts(_alert_samples(spark, sf_dir, cluster="event_type"), ["event_id"])
+
+
 @query(_held_sql(f"SELECT ts, event_id, {_TOPIC}, value FROM events WHERE event_type <> 'error'", "topic",
                  "(value > 2)", 1800))
 def alert_for(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from tidemark.streaming import (
     scd1_stream,
 )
 from workload.inputs import INPUTS
-from workload.layers import AS_OF
+from workload.layers import AS_OF, rounded
 from workload.operators import EVENTS_SQL, FEED_SQL, STATE_SQL, _failing, event_changes, latest_sql
 from workload.registry import ORACLES, query
 
@@ -87,6 +87,39 @@ def scd1_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.read()
 
 
+def _halves(rows: DataFrame, folder: str, key: str):
+    """Two streams of files, each with half of the rows, and a checkpoint for each."""
+    for part in (0, 1):
+        half = F.pmod(F.xxhash64(key), F.lit(2)) == part
+        rows.where(half).write.parquet(f"{folder}/in{part}")
+        yield parquet_stream(rows.sparkSession, f"{folder}/in{part}", rows.schema), f"{folder}/checkpoint{part}"
+
+
+@query(STATE_SQL)
+def scd1_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new checkpoint numbers its batches from 0 again, and loses none of them on the same state."""
+    rows = event_changes(spark, sf_dir)
+    folder = work_folder(spark, "second")
+    state = _event_state(spark, f"{folder}/state", rows)
+    for stream, checkpoint in _halves(rows, folder, "event_id"):
+        scd1_stream(stream, state, checkpoint).awaitTermination()
+    return state.read()
+
+
+@query(ORACLES["stream_fanout_quarantine"])
+def route_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed rows of a second checkpoint stand beside those of the first."""
+    bound = INPUTS["orders"]
+    rows = bound.frame(spark, sf_dir)
+    folder = work_folder(spark, "second-route")
+    for stream, checkpoint in _halves(rows, folder, "order_id"):
+        route_stream(stream, bound.contract, f"{folder}/out", checkpoint, as_of=AS_OF).awaitTermination()
+    parts = [
+        read_route(spark, f"{folder}/out", rows.schema, route).withColumn("route", F.lit(route)) for route in ("clean", "quarantine")
+    ]
+    return parts[0].unionByName(parts[1]).select("order_id", "user_key", "restaurant_key", "total_amount", "route")
+
+
 @query(STATE_SQL)
 def scd1_delete_then_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delete arrives before the older updates of its key, which must not revive it."""
@@ -139,7 +172,7 @@ def pipeline_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.run_bronze(_bound_source(spark, sf_dir), AS_OF)
     warehouse.run_silver(AS_OF)
     warehouse.run_gold(["payments_by_status"], AS_OF)
-    return warehouse.gold("payments_by_status").drop("_computed_at")
+    return rounded(warehouse.gold("payments_by_status").drop("_computed_at"))
 
 
 @query(ORACLES["users_unify"], name="pipeline_users")
