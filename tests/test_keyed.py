@@ -117,7 +117,7 @@ def batches(spark, rows, n):
     return [spark.createDataFrame(rows[i::n], SCHEMA) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"fold_ratio": 0.0}, {"fold_ratio": 1e9}, {"fold_ratio": 1e9, "small_bytes": 0}, {"keep_history": True}, {"tie_break": ("v",)}])
+@pytest.mark.parametrize("options", [{}, {"fold_ratio": 0.0}, {"fold_ratio": 1e9}, {"fold_ratio": 1e9, "few_keys": 0}, {"keep_history": True}, {"tie_break": ("v",)}])
 def test_shuffled_micro_batches_give_the_same_state(spark, folder, options):
     rows = random_changes(11)
     state = keyed(spark, folder, **options)
@@ -192,9 +192,9 @@ def test_state_as_of_an_earlier_batch(spark, folder):
     assert [collected(state.read(i)) for i in range(3)] == [{"a": 1}, {"a": 2}, {}]
 
 
-@pytest.mark.parametrize("small_bytes", [0, 8 << 20])
-def test_ties_and_null_keys_do_not_depend_on_how_a_read_merges(spark, folder, small_bytes):
-    state = keyed(spark, folder, fold_ratio=1e9, small_bytes=small_bytes)
+@pytest.mark.parametrize("few_keys", [0, 8 << 20])
+def test_ties_and_null_keys_do_not_depend_on_how_a_read_merges(spark, folder, few_keys):
+    state = keyed(spark, folder, fold_ratio=1e9, few_keys=few_keys)
     parts = [[("a", 1, "u", 7), (None, 1, "u", 1)], [("a", 2, "u", 7), (None, 2, "u", 2)], [("a", 3, "c", 7), ("b", 1, "d", 1)]]
     for i, rows in enumerate(parts):
         state.apply(spark.createDataFrame(rows, SCHEMA), i)
@@ -205,7 +205,7 @@ def test_ties_and_null_keys_do_not_depend_on_how_a_read_merges(spark, folder, sm
 
 def test_reading_few_columns_of_the_state_reads_few_columns(spark, folder):
     schema = SCHEMA + ", wide string"
-    state = KeyedState(spark, folder + "/s", spark.createDataFrame([], schema).schema, ("k",), fold_ratio=1e9, small_bytes=0)
+    state = KeyedState(spark, folder + "/s", spark.createDataFrame([], schema).schema, ("k",), fold_ratio=1e9, few_keys=0)
     for i in range(2):
         state.apply(spark.createDataFrame([("a", i, "u", i, "w")], schema), i)
     df = state.read().select("k", "v")

@@ -53,8 +53,8 @@ class KeyedState:
     ``tombstone_retention``: when folding reaches the oldest segment, deletes whose sequence lies
     further than this behind the newest one are forgotten; None keeps them all.
     ``keep_history``: leave folded segments in place, for reading the state as of an earlier batch.
-    ``small_bytes``: while all segments but the oldest take up no more than this on storage, a read
-    broadcasts their keys and leaves the rest of the oldest segment where it is, without a shuffle.
+    ``few_keys``: while all segments but the oldest hold no more rows than this, a read broadcasts their keys
+    and leaves the rest of the oldest segment where it is, without a shuffle. File footers give the count.
     """
 
     spark: SparkSession
@@ -67,7 +67,7 @@ class KeyedState:
     fold_ratio: float = 0.5
     tombstone_retention: int | None = None
     keep_history: bool = False
-    small_bytes: int = 8 << 20
+    few_keys: int = 200_000
     compression: str = "zstd"
 
     def segments(self, upto: int | None = None) -> list[Segment]:
@@ -101,7 +101,7 @@ class KeyedState:
     def _merged(self, segments: Sequence[Segment]) -> DataFrame:
         """One row per key over several segments, each of which holds a key at most once."""
         oldest, newer = segments[:1], segments[1:]
-        if sum(size_of(self.spark, f"{self.path}/{s.folder}") for s in newer) > self.small_bytes:
+        if self._rows(newer).count() > self.few_keys:
             return self._latest(self._rows(segments))
         old, new = self._rows(oldest), self._rows(newer)
         touched = F.broadcast(new.select(*[F.col(k).alias(f"_touched_{k}") for k in self.keys]).distinct())
