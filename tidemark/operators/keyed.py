@@ -95,22 +95,19 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
 
 
 def _single_rows(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    """One struct per key; a key occurring twice fails the job that reads the result."""
+    """The keys and the other columns as a struct; a key occurring twice fails the job that reads the result."""
     rest = [c for c in df.columns if c not in set(keys)]
     named = F.concat_ws(", ", *[_column(k).cast("string") for k in keys])
     message = F.concat(F.lit(f"{side} snapshot holds several rows for key "), named)
-    grouped = df.groupBy(*[_column(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.struct(*[_column(c) for c in rest])).alias("_row")
-    )
-    return grouped.select(
-        *keys, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_row")).alias(side)
-    )
+    repeated = F.count(F.lit(1)).over(Window.partitionBy(*[_column(k) for k in keys])) > 1
+    row = F.struct(*[_column(c) for c in rest])
+    return df.select(*[_column(k) for k in keys], F.when(repeated, F.raise_error(message)).otherwise(row).alias(side))
 
 
 def snapshot_diff(previous: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys, change, before, after`` for every key that two full snapshots hold differently.
 
-    Both sides are grouped by the key first, and the join reuses that partitioning.
+    Rows are sorted by key once a side: repeated keys are looked for in the order that the join needs anyway.
     """
     same_columns = [c for c in previous.columns if c in current.columns]
     before = _single_rows(previous.select(*same_columns), keys, "before").withColumn("_had", F.lit(True))

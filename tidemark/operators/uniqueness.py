@@ -1,13 +1,14 @@
 """Uniqueness of a column that is not the merge key.
 
 A value clashes when rows with different keys carry it; several versions of one key do not. The
-check needs only the smallest and the largest key per value, so it is one aggregation that
-reduces on the map side, never a distinct count.
+check needs only the smallest and the largest value of every key column, so it is one hash
+aggregation that reduces on the map side, never a distinct count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +16,23 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import HEAVY_ROWS, balanced_left_join
 
 
-def _key(keys: Sequence[str]) -> Column:
-    columns = [F.col(f"`{k}`") for k in keys]
-    return columns[0] if len(columns) == 1 else F.struct(*columns)
+def _several(keys: Sequence[str]) -> Column:
+    """Whether a group holds more than one key: some column differs within it. A key column that is null in
+    some rows of a composite key differs too; a key of one column that is null names no row."""
+    differs = []
+    for column in (F.col(f"`{k}`") for k in keys):
+        differs.append(F.coalesce(F.min(column) != F.max(column), F.lit(False)))
+        if len(keys) > 1:
+            differs.append((F.count(column) > 0) & (F.count(column) < F.count(F.lit(1))))
+    return reduce(lambda a, b: a | b, differs)
 
 
 def _values(df: DataFrame, field: str, keys: Sequence[str], counted: Column) -> DataFrame:
     """``field, _n, _clash`` of every value that is not null."""
-    key = _key(keys)
     return (
         df.filter(F.col(f"`{field}`").isNotNull())
         .groupBy(field)
-        .agg(F.count_if(counted).alias("_n"), (F.min(key) != F.max(key)).alias("_clash"))
+        .agg(F.count_if(counted).alias("_n"), _several(keys).alias("_clash"))
     )
 
 

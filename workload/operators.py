@@ -87,9 +87,11 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_quarantine(INPUTS["orders"].frame(spark, sf_dir), CONTRACTS["orders"])[1]
 
 
-@query(f"SELECT * FROM ({INPUTS['ratings'].sql}) AS r WHERE false")
+@query(f"SELECT *, 'clean' AS route FROM ({INPUTS['ratings'].sql}) AS r")
 def quarantine_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_quarantine(INPUTS["ratings"].frame(spark, sf_dir), CONTRACTS["ratings"])[1]
+    """Without a quarantine rule every row is clean and none is set apart."""
+    clean, apart = split_quarantine(INPUTS["ratings"].frame(spark, sf_dir), CONTRACTS["ratings"])
+    return clean.withColumn("route", F.lit("clean")).unionByName(apart.withColumn("route", F.lit("quarantine")))
 
 
 @query(_failing("gps_events", "bronze", "warn"))
