@@ -1,15 +1,15 @@
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.contracts import CONTRACTS, Contract, Field, Rule, contract
+from tidemark.contracts import CONTRACTS, Contract, Evolution, Field, Rule, contract
 from tidemark.operators import conform
 from tidemark.plans.warehouse import FUSED, GOLD, Warehouse
-from tidemark.sources import write_snapshot
+from tidemark.sources import file_stream, frames_by_schema, parquet_stream, write_snapshot
 from tidemark.streaming import KeyedState, read_route, route_stream, rule_metrics, scd1_stream
 from tidemark.streaming.flows import silver_stream
-from tidemark.sources import parquet_stream
 
 AS_OF = "2024-06-01"
 
@@ -138,6 +138,39 @@ def test_a_batch_keeps_its_clock_through_replays(spark, folder):
     assert split() == [clean, bad]
 
 
+DRIFT = Contract(
+    "parcels", ("bronze",), "s", "t", ("k",), (Field("k", "string"), Field("v", "integer")),
+    (Rule("k", "not_null", "reject", ("bronze",)), Rule("v", "not_null", "warn", ("bronze",))), evolution=Evolution("allowed", "forbidden", "allowed"),
+)
+
+
+def test_bronze_follows_drifting_files_and_counts_what_it_drops(spark, folder):
+    house = Warehouse(spark, f"{folder}/house", contracts={"parcels": DRIFT, "absent": replace(DRIFT, name="absent")})
+    base, path = f"{folder}/in", f"{folder}/in/parcels"
+
+    def ingest():
+        source = lambda c: file_stream(spark, f"{base}/{c.name}") if Path(base, c.name).exists() else None
+        house.run_bronze(source, AS_OF, frames_by_schema)
+        return sorted(tuple(r) for r in house.bronze("parcels").collect())
+
+    spark.createDataFrame([("a", 1), (None, 2), ("b", None)], "k string, v int").coalesce(1).write.parquet(path)
+    assert ingest() == [("a", 1), ("b", None)]
+    spark.createDataFrame([("c", 3, (1,))], "k string, v bigint, `new one` struct<x:int>").write.mode("append").parquet(path)
+    spark.createDataFrame([("d", "4")], "k string, v string").coalesce(1).write.mode("append").parquet(path)
+    grown = [("a", 1, None), ("b", None, None), ("c", 3, '{"x":1}'), ("d", 4, None)]
+    assert ingest() == grown and house.bronze("parcels").columns[-1] == "new one"
+    forget_last_commit(f"{folder}/house/v0/checkpoints/bronze/parcels")
+    assert ingest() == grown
+    counts = house.rule_metrics("parcels").groupBy("scope", "rule").agg(F.sum("passed"), F.sum("failed")).collect()
+    assert sorted(map(tuple, counts)) == [("bronze", "k_not_null", 4, 1), ("bronze", "v_not_null", 4, 1)]
+    assert house.bronze("absent").count() == 0
+
+    spark.createDataFrame([("e",)], "k string").write.mode("append").parquet(path)
+    with pytest.raises(Exception, match="removed_fields: v"):
+        ingest()
+    assert house.bronze("parcels").count() == 4
+
+
 def test_a_second_checkpoint_goes_on_after_the_first(spark, folder):
     schema = "k string, v int, __op string, __source_ts_ms bigint"
     state = KeyedState(spark, f"{folder}/state", spark.createDataFrame([], schema).schema, ("k",))

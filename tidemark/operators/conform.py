@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,13 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*conformed_columns(df, contract))
 
 
+def conform_with_new(df: DataFrame, contract: Contract, new: Sequence[str]) -> DataFrame:
+    """Contract columns in contract order, then columns it does not know, as text: JSON where they are nested."""
+    arriving = {f.name: f.dataType for f in df.schema}
+    text = [_cast(Field(name, "string"), arriving[name]).alias(name) for name in new]
+    return df.select(*conformed_columns(df, contract), *text)
+
+
 def conformity_errors(df: DataFrame, contract: Contract, errors: str = "_errors") -> DataFrame:
     """``df`` with a list of what keeps each row from the contract.
 

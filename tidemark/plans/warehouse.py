@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts.domains import CONTRACTS
 from tidemark.contracts.model import Contract
 from tidemark.plans import gold
 from tidemark.plans import users as user_plan
-from tidemark.plans.medallion import bronze, stamp
-from tidemark.sources.files import empty, parquet_stream, write_clustered
-from tidemark.sources.storage import child_names, exists, written
+from tidemark.plans.medallion import stamp
+from tidemark.sources.files import empty, file_stream, frames_by_schema, parquet_stream, write_clustered
+from tidemark.sources.storage import child_names, exists, make_folder, written
 from tidemark.sources.topics import source_stream
-from tidemark.streaming.flows import QUARANTINE, append_stream, read_route, rule_metrics, silver_stream
+from tidemark.streaming.flows import QUARANTINE, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
 from tidemark.streaming.state import KeyedState
 
 # The two domains fused into one table instead of getting a silver table each.
@@ -77,10 +78,8 @@ class Warehouse:
         )
 
     def bronze(self, name: str) -> DataFrame:
-        path, contract = self.path("bronze", name), self.contracts[name]
-        if not exists(self.spark, path):
-            return empty(self.spark, contract.record_type)
-        return self.spark.read.schema(contract.record_type).parquet(path)
+        """A domain's records, with the columns that arrived beyond its contract, as text."""
+        return read_bronze(self.spark, self.contracts[name], self.path("bronze", name), self.path("bronze_counts", name))
 
     def silver(self, name: str) -> DataFrame:
         if name != "users":
@@ -95,24 +94,40 @@ class Warehouse:
         return read_route(self.spark, folder, self.contracts[name].record_type, QUARANTINE)
 
     def rule_metrics(self, name: str) -> DataFrame:
-        return rule_metrics(self.spark, self.path("quarantine", name))
+        """Counts per batch and rule of both scopes; a failure of a reject rule is a row dropped from bronze."""
+        layers = (("bronze", "bronze_counts"), ("silver", "quarantine"))
+        parts = [rule_metrics(self.spark, self.path(layer, name)).withColumn("scope", F.lit(s)) for s, layer in layers]
+        return parts[0].unionByName(parts[1])
 
     def gold(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path("gold", name))
 
-    def run_bronze(self, source: Callable[[Contract], DataFrame], as_of=None) -> None:
-        """Ingest every domain, all streams side by side."""
+    def run_bronze(
+        self,
+        source: Callable[[Contract], DataFrame | None],
+        as_of=None,
+        frames: Callable[[DataFrame], Sequence[DataFrame]] | None = None,
+    ) -> None:
+        """Ingest every domain, all streams side by side; ``frames`` opens batches whose schema may drift.
+
+        A domain whose source is not there, None, gets an empty table.
+        """
+        sources = {name: source(c) for name, c in self.contracts.items()}
+        for name in sources:
+            make_folder(self.spark, self.path("bronze", name))
         _finish(
-            append_stream(
-                bronze(source(c), c, as_of), self.path("bronze", c.name), self._checkpoint("bronze", c.name), c.compression
+            bronze_stream(
+                df, self.contracts[name], self.path("bronze", name), self.path("bronze_counts", name),
+                self._checkpoint("bronze", name), as_of, frames,
             )
-            for c in self.contracts.values()
+            for name, df in sources.items()
+            if df is not None
         )
 
     def run_silver(self, as_of=None) -> None:
         _finish(
             silver_stream(
-                parquet_stream(self.spark, self.path("bronze", c.name), c.record_type),
+                parquet_stream(self.spark, self.path("bronze", c.name), c.record_type, nested=True),
                 c,
                 self.state(c),
                 self.path("quarantine", c.name),
@@ -124,7 +139,7 @@ class Warehouse:
 
     def run_users(self, as_of=None) -> None:
         """Fuse the registries once; tagging and splitting read what was written."""
-        sources = [self.bronze(name) for name in FUSED]
+        sources = [self.bronze(name).select(*self.contracts[name].field_names) for name in FUSED]
         ties = self.tie_break.get("users")
         tagged = user_plan.candidates(*sources, ties, lambda fused: written(fused, self.path("work", "users_fused")))
         good, bad = user_plan.split_users(written(tagged, self.path("work", "users_tagged")), as_of)
@@ -144,8 +159,20 @@ class Warehouse:
             list(pool.map(compute, names))
 
     def run(self, mode: str, conf: Mapping[str, str], as_of=None) -> None:
-        """All layers in order; ``mode`` and ``conf`` choose the source of the change records."""
-        self.run_bronze(lambda c: source_stream(self.spark, c, mode, conf), as_of)
+        """All layers in order; ``mode`` and ``conf`` choose the source of the change records.
+
+        Exported files are opened by their own schemas, which must keep to each contract's evolution policy.
+        """
+        if mode == "volume":
+            files = int(conf["files_per_trigger"]) if "files_per_trigger" in conf else None
+
+            def exported(c: Contract) -> DataFrame | None:
+                path = f"{conf['base']}/{c.name}"
+                return file_stream(self.spark, path, files) if exists(self.spark, path) else None
+
+            self.run_bronze(exported, as_of, frames_by_schema)
+        else:
+            self.run_bronze(lambda c: source_stream(self.spark, c, mode, conf), as_of)
         self.run_silver(as_of)
         self.run_users(as_of)
         self.run_gold(as_of=as_of)

@@ -1,6 +1,8 @@
 from tidemark.sources.files import (
     empty,
     export,
+    file_stream,
+    frames_by_schema,
     parquet_stream,
     read_snapshot,
     write_clustered,
@@ -34,6 +36,8 @@ __all__ = [
     "domain_of",
     "empty",
     "export",
+    "file_stream",
+    "frames_by_schema",
     "landing_changes",
     "landing_files",
     "landing_stream",

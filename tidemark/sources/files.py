@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,21 +14,55 @@ from tidemark.operators.conform import conform
 from tidemark.sources.storage import exists
 
 
+# Files that one micro-batch of :func:`file_stream` names, and footers read at a time.
+FILES_PER_BATCH = 1000
+FOOTERS_AT_ONCE = 16
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a given shape, what a source that is not there yet amounts to."""
     return spark.createDataFrame([], schema)
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, nested: bool = False
 ) -> DataFrame:
-    """Stream the Parquet files newly arrived in a folder, each exactly once per checkpoint."""
-    reader = spark.readStream.schema(schema)
+    """Stream the Parquet files newly arrived in a folder, each exactly once per checkpoint.
+
+    ``nested``: also those in folders below, whose names add no columns.
+    """
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", nested)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 
+def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the ``path`` of the Parquet files newly arrived in a folder, whatever their columns.
+
+    Their content is not read; :func:`frames_by_schema` opens the files of a micro-batch.
+    """
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
+    return reader.option("maxFilesPerTrigger", files_per_trigger or FILES_PER_BATCH).load(path).select("path")
+
+
+def frames_by_schema(batch: DataFrame) -> list[DataFrame]:
+    """The files that a micro-batch of :func:`file_stream` names, one frame per schema found in their footers.
+
+    The driver holds the names of one micro-batch, as the file stream itself does.
+    """
+    spark = batch.sparkSession
+    names = sorted(r.path for r in batch.collect())
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda name: spark.read.parquet(name).schema, names))
+    groups: dict[str, list[str]] = {}
+    for name, schema in zip(names, schemas):
+        groups.setdefault(schema.json(), []).append(name)
+    known = {s.json(): s for s in schemas}
+    return [spark.read.schema(known[key]).parquet(*group) for key, group in groups.items()]
+
+
 def write_snapshot(df: DataFrame, base: str, contract: Contract) -> str:
     """Add typed records to a domain's folder, under file names no stream has seen before."""
     path = f"{base}/{contract.name}"

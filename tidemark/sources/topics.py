@@ -35,11 +35,14 @@ def _options(contract: Contract, servers: str, starting: str) -> dict[str, str]:
 
 
 def topic_stream(
-    spark: SparkSession, contract: Contract, servers: str, starting: str = "earliest", limits: RateLimits = RateLimits()
+    spark: SparkSession, contract: Contract, servers: str, starting: str = "earliest", limits: RateLimits | None = None
 ) -> DataFrame:
-    """Raw messages of a domain's topic as a stream, tombstones skipped."""
+    """Raw messages of a domain's topic as a stream, tombstones skipped; batches are as large as what is there,
+    unless ``limits`` bound them."""
     reader = spark.readStream.format("kafka").options(**_options(contract, servers, starting))
-    return skip_tombstones(reader.option("maxOffsetsPerTrigger", limits.of(contract)).load())
+    if limits is not None:
+        reader = reader.option("maxOffsetsPerTrigger", limits.of(contract))
+    return skip_tombstones(reader.load())
 
 
 def topic_batch(spark: SparkSession, contract: Contract, servers: str, starting: str = "earliest") -> DataFrame:
@@ -72,13 +75,12 @@ def source_stream(spark: SparkSession, contract: Contract, mode: str, conf: Mapp
     """A domain's change records as a stream, from its topic or from exported Parquet files.
 
     What follows is the same either way. For mode ``kafka``, ``conf`` names ``bootstrap`` and
-    ``registry`` and may set ``starting`` and ``max_offsets`` per micro-batch, for all domains in
-    place of the default limits. For mode ``volume`` it names ``base`` and may set
+    ``registry`` and may set ``starting`` and ``max_offsets`` per micro-batch, for all domains. For mode ``volume`` it names ``base`` and may set
     ``files_per_trigger``.
     """
     if mode == "kafka":
         schema = registry_schema(conf["registry"], contract.topic)
-        limits = RateLimits(int(conf["max_offsets"]), {}) if "max_offsets" in conf else RateLimits()
+        limits = RateLimits(int(conf["max_offsets"]), {}) if "max_offsets" in conf else None
         messages = topic_stream(spark, contract, conf["bootstrap"], conf.get("starting", "earliest"), limits)
         return decode_avro(messages, schema)
     if mode == "volume":

@@ -1,5 +1,7 @@
 from tidemark.streaming.flows import (
     append_stream,
+    bronze_stream,
+    read_bronze,
     read_route,
     route_stream,
     rule_metrics,
@@ -11,6 +13,8 @@ from tidemark.streaming.state import KeyedState
 __all__ = [
     "KeyedState",
     "append_stream",
+    "bronze_stream",
+    "read_bronze",
     "read_route",
     "route_stream",
     "rule_metrics",

@@ -8,17 +8,23 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.contracts.model import Contract
-from tidemark.functions.rules import any_fails
+from tidemark.contracts.evolution import check_evolution
+from tidemark.contracts.model import INGESTED_AT, Contract
+from tidemark.functions.rules import all_pass, any_fails
+from tidemark.functions.scalars import instant
+from tidemark.operators.conform import conform, conform_with_new
 from tidemark.operators.quality import failure_counts, rule_counts, split_quarantine
-from tidemark.sources.storage import make_folder, matching
+from tidemark.sources.storage import child_names, make_folder, matching
 from tidemark.streaming.state import KeyedState
 
 CLEAN, QUARANTINE = "clean", "quarantine"
@@ -82,6 +88,54 @@ def _write_metrics(counts, contract: Contract, scope: str, batch_id: int, folder
         table.write.mode("overwrite").parquet(folder)
 
 
+def bronze_stream(
+    df: DataFrame,
+    contract: Contract,
+    path: str,
+    counts: str,
+    checkpoint: str,
+    as_of=None,
+    frames: Callable[[DataFrame], Sequence[DataFrame]] | None = None,
+) -> StreamingQuery:
+    """Ingest a stream into a bronze table, a folder per batch, and count all its bronze rules in the same pass.
+
+    The counts, kept in the folder ``counts``, are those of all arriving rows: the failures of a reject rule are the
+    rows it drops. ``frames`` opens a batch as frames of any schema, which are held against the contract's policy:
+    a forbidden change stops the query with ContractError before anything of the batch is written, a changed type is
+    cast, and a new column is kept as text under its name. Without ``frames`` the batch has the decoder's columns.
+    """
+
+    def typed(frame: DataFrame) -> DataFrame:
+        if frames is None:
+            return conform(frame, contract)
+        new = [name for name, kind, _ in check_evolution(contract, frame.schema) if kind == "new_fields"]
+        for name in new:
+            make_folder(frame.sparkSession, f"{counts}/columns/{quote(name, safe='')}")
+        return conform_with_new(frame, contract, new)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, Observation()
+        name = batch_name(spark, checkpoint, batch_id)
+        now = batch_clock(spark, counts, name, as_of)
+        parts = [typed(frame) for frame in (frames(batch) if frames else [batch])]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        arrived = rows.withColumn(INGESTED_AT, instant(now))
+        arrived = arrived.observe(seen, *failure_counts(contract.rules_for("bronze"), contract, now))
+        kept = arrived.filter(all_pass(contract.rules_for("bronze", "reject"), now, contract))
+        kept.write.mode("overwrite").option("compression", contract.compression).parquet(f"{path}/batch={name}")
+        _write_metrics(seen.get, contract, "bronze", batch_id, f"{counts}/metrics/batch={name}", spark)
+
+    return _for_each_batch(df, checkpoint, handle)
+
+
+def read_bronze(spark: SparkSession, contract: Contract, path: str, counts: str) -> DataFrame:
+    """All batches of a bronze table: the contract's columns, then the new ones that any batch brought."""
+    new = [unquote(name) for name in child_names(spark, f"{counts}/columns")]
+    schema = T.StructType([*contract.record_type.fields, *[T.StructField(name, T.StringType()) for name in new]])
+    done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{path}/batch=*/_SUCCESS")]
+    return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+
+
 def route_stream(
     df: DataFrame, contract: Contract, folder: str, checkpoint: str, scope: str = "silver", as_of=None
 ) -> StreamingQuery:

@@ -42,8 +42,11 @@ from workload.registry import query, table
 # --- quality rules ----------------------------------------------------------------------------
 
 
-def _failing(domain: str, scope: str, action: str | None = None) -> str:
-    """SQL counting passed and failed rows of a bound domain's rules, one row per rule."""
+def _failing(domain: str, scope: str, action: str | None = None, arriving: bool = False) -> str:
+    """SQL counting passed and failed rows of a bound domain's rules, one row per rule.
+
+    Of the rows that bronze keeps, or of all ``arriving`` ones.
+    """
     bound, parts = INPUTS[domain], []
     for r in bound.contract.rules_for(scope, action):
         test = {
@@ -58,7 +61,8 @@ def _failing(domain: str, scope: str, action: str | None = None) -> str:
             f" count(*) - {failed} AS passed, {failed} AS failed FROM records_{domain}"
         )
     key = bound.contract.keys[0]
-    records = f"records_{domain} AS (SELECT * FROM ({bound.sql}) AS r WHERE {key} IS NOT NULL)"
+    kept = "true" if arriving else f"{key} IS NOT NULL"
+    records = f"records_{domain} AS (SELECT * FROM ({bound.sql}) AS r WHERE {kept})"
     return f"WITH {records} {' UNION ALL '.join(parts)}"
 
 

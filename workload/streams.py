@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contracts import CONTRACTS
+from tidemark.contracts import CONTRACTS, load_contract
 from tidemark.operators import change_feed
 from tidemark.plans.warehouse import Warehouse
-from tidemark.sources import export, parquet_stream, source_stream, write_clustered
+from tidemark.sources import export, file_stream, frames_by_schema, parquet_stream, source_stream, write_clustered
 from tidemark.sources.storage import work_folder
 from tidemark.streaming import (
     KeyedState,
@@ -155,7 +157,7 @@ def _bound_source(spark: SparkSession, sf_dir: str):
 
     def source(contract):
         bound = INPUTS[contract.name]
-        return _arrivals(bound.frame(spark, sf_dir), f"source-{contract.name}", bound.tie_break[0], 2)[0]
+        return _arrivals(bound.frame(spark, sf_dir), f"source-{contract.name}", (bound.tie_break or bound.contract.keys)[0], 2)[0]
 
     return source
 
@@ -190,6 +192,56 @@ def pipeline_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.silver("users").drop("_ingested_at", "_merged_at")
 
 
+_COUNTED = ("gps_events", "orders", "payments")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{s}' AS scope, table_name, rule, on_failure, passed, failed FROM ({_failing(d, s, arriving=s == 'bronze')}) AS m"
+    for d in _COUNTED for s in ("bronze", "silver") if CONTRACTS[d].rules_for(s)))
+def dq_bronze_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of both scopes as the warehouse keeps them while it ingests."""
+    house = Warehouse(
+        spark,
+        work_folder(spark, "warehouse"),
+        contracts={n: CONTRACTS[n] for n in _COUNTED},
+        tie_break={n: INPUTS[n].tie_break for n in _COUNTED if INPUTS[n].tie_break},
+    )
+    house.run_bronze(_bound_source(spark, sf_dir), AS_OF)
+    house.run_silver(AS_OF)
+    counts = reduce(DataFrame.unionByName, [house.rule_metrics(n) for n in _COUNTED])
+    names = ("scope", "table_name", "rule", "on_failure")
+    return counts.groupBy(*names).agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+DRIFTING = load_contract(
+    {
+        "table": {"name": "drifting", "layers": ["bronze"], "merge_key": "event_id"},
+        "schema": [
+            {"name": "event_id", "type": "long", "nullable": False},
+            {"name": "user_id", "type": "integer", "nullable": True},
+            {"name": "value", "type": "double", "nullable": True},
+        ],
+        "quality": {"rules": []},
+        "storage": {"cluster_by": ["event_id"]},
+        "schema_evolution": {"new_fields": "allowed", "removed_fields": "forbidden", "type_changes": "allowed"},
+    }
+)
+
+
+@query("""SELECT event_id, CAST(user_id AS INTEGER) AS user_id, value,
+    CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type FROM events""")
+def bronze_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files widen an integer and bring a column that the contract doesn't know."""
+    rows, folder = spark.read.parquet(f"{sf_dir}/events.parquet"), work_folder(spark, "drift")
+    plain = rows.selectExpr("event_id", "CAST(user_id AS INT) AS user_id", "value", "event_type")
+    wide = plain.withColumn("user_id", F.col("user_id").cast("long"))
+    house = Warehouse(spark, f"{folder}/house", contracts={"drifting": DRIFTING})
+    for exported in (plain.where("event_id % 2 <> 1").drop("event_type"), wide.where("event_id % 2 = 1")):
+        exported.write.mode("append").parquet(f"{folder}/in/drifting")
+        house.run_bronze(lambda c: file_stream(spark, f"{folder}/in/{c.name}"), AS_OF, frames_by_schema)
+    return house.bronze("drifting").drop("_ingested_at")
+
+
 @query(INPUTS["recommendations"].sql, name="source_switch_volume")
 def source_switch_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A domain exported as typed Parquet and read back through the source switch."""
