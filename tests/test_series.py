@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import chunk_length, held_for, rate, with_previous
+from tidemark.operators.series import held_for, in_chunks, rate, with_previous
 from tidemark.plans import monitoring
 
 BASE = 1_704_067_200
@@ -75,11 +75,33 @@ def test_held_conditions_match_brute_force(spark, chunk):
     assert expected
 
 
-def test_dense_hours_are_cut_shorter(spark):
-    df = frame(spark, [("a", BASE + i, 1.0) for i in range(100)])
-    assert chunk_length(df, ["topic"], "ts", rows=10) == 360
-    assert chunk_length(df, ["topic"], "ts", rows=1000) == 36000
-    assert chunk_length(df.limit(0), ["topic"], "ts") == 3600
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges as large data has them: none is put together with its neighbour."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_burst_is_cut_and_answers_stay(spark, many_ranges):
+    rows = [(label, BASE + at, i, float(i % 7)) for i, (label, at) in enumerate([("burst", 5)] * 400 + [(None, n) for n in range(300)] + [("burst", 9)] * 100)]
+    df = spark.createDataFrame(rows, "topic string, at bigint, id int, value double").withColumn("ts", F.timestamp_seconds("at")).repartition(4)
+    chunks = in_chunks(df, ["topic"], "ts", ["id"]).filter("topic = 'burst'").groupBy("_chunk").count().collect()
+    assert len(chunks) > 2 and max(r["count"] for r in chunks) < 300
+    got = {r.id: r.before for r in with_previous(df, ["topic"], "ts", {"id": "before"}, ["id"]).collect()}
+    expected = {}
+    for label in ("burst", None):
+        ids = [r[2] for r in sorted((r for r in rows if r[0] == label), key=lambda r: (r[1], r[2]))]
+        expected |= dict(zip(ids, [None, *ids]))
+    assert got == expected
+    held = held_for(df, ["topic"], F.col("value") >= 0, 4, tie_break=["id"]).orderBy("topic").collect()
+    assert [(r.topic, r.samples) for r in held] == [(None, 296), ("burst", 100)]
+
+
+def test_ranges_match_brute_force(spark, many_ranges):
+    test_previous_sample_crosses_chunks(spark, None)
+    test_rate_matches_brute_force(spark, None)
+    test_held_conditions_match_brute_force(spark, None)
 
 
 def test_health_queries(spark):

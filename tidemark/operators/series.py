@@ -1,49 +1,48 @@
 """Time series operators that never hold a whole series in one task.
 
-A series is cut into chunks of time, short enough that the densest one stays small. Work inside a
-chunk runs per ``(series, chunk)``; what a chunk needs from the past comes from one summary row
-per earlier chunk, and only those summaries are ever ordered per series.
+Samples are first laid out as a table in ranges of series and time. A series' part in one range is
+a chunk: as long as a range is, however many samples fall into one second. Work inside a chunk runs
+per ``(series, chunk)``; what a chunk needs from the past comes from one summary row per earlier
+chunk, and only those summaries are ever ordered per series.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-HOUR = 3600
-CHUNK_ROWS = 500_000
+from tidemark.functions.scalars import row_hash
+from tidemark.sources.storage import work_folder, written
+
+SERIES, CHUNK = _BY_CHUNK = ("_series", "_chunk")
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _chunk(ts: str, seconds: float) -> Column:
-    return F.floor(_micros(ts) / F.lit(max(1, round(seconds * 1e6))))
-
-
-def chunk_length(samples: DataFrame, series: Sequence[str], ts: str, rows: int = CHUNK_ROWS) -> float:
-    """Seconds per chunk such that no chunk of any series holds more than about ``rows`` samples.
+def in_chunks(
+    samples: DataFrame, series: Sequence[str], ts: str, tie_break: Sequence[str] = (), seconds: float | None = None
+) -> DataFrame:
+    """``samples`` with ``_series``, their labels, and ``_chunk``, which grows with time within a series.
 
-    Taken from the densest hour of any series: many hours where samples are sparse, a part of one
-    where they are not. One number comes back to the driver, from a count that reads the series
-    and time columns only.
+    A chunk is a range partition over labels, time and tie-break (without one, a hash of the row), kept as a table so
+    that all readers see the same bounds; ``spark.sql.shuffle.partitions`` says how many ranges there are at most.
+    ``seconds`` cuts by time alone instead, for samples known to be evenly spread.
     """
-    hours = samples.groupBy(*series, _chunk(ts, HOUR).alias("_hour")).count()
-    densest = hours.agg(F.max("count")).first()[0] or rows
-    return HOUR * (rows // densest) if densest <= rows else HOUR / -(-densest // rows)
+    # one column for all labels: a label may be null, and joins tell nulls apart within a struct
+    labelled = samples.withColumn(SERIES, F.struct(*series) if series else F.struct(F.lit(0)))
+    if seconds:
+        return labelled.withColumn(CHUNK, F.floor(_micros(ts) / F.lit(max(1, round(seconds * 1e6)))))
+    ends = [F.col(c) for c in tie_break] or [row_hash(samples.columns)]
+    ranged = labelled.repartitionByRange(*series, ts, *ends).withColumn(CHUNK, F.spark_partition_id().cast("bigint"))
+    return written(ranged, f"{work_folder(samples.sparkSession, 'chunks')}/samples")
 
 
-def _with_carry(
-    df: DataFrame, series: Sequence[str], summary: Column, carry: Callable[[Column, WindowSpec], Column]
-) -> DataFrame:
-    """``df``, which has a ``_chunk``, with ``_before``: what ``carry`` makes of the earlier chunks."""
-    by_chunk = Window.partitionBy(*series).orderBy("_chunk")
-    per_chunk = df.groupBy(*series, "_chunk").agg(summary.alias("_summary"))
-    carried = per_chunk.select(*series, "_chunk", carry(F.col("_summary"), by_chunk).alias("_before"))
-    return df.join(carried, [*series, "_chunk"], "left")
+def _inside(ts: str, tie_break: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(SERIES, CHUNK).orderBy(ts, *tie_break)
 
 
 def with_previous(
@@ -55,18 +54,15 @@ def with_previous(
     chunk_seconds: float | None = None,
 ) -> DataFrame:
     """Each sample with columns of the sample before it; ``columns`` maps them to their new names."""
-    order = F.struct(ts, *tie_break)
-    chunk_seconds = chunk_seconds or chunk_length(df, series, ts)
-    chunked = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
+    cut = in_chunks(df, series, ts, tie_break, chunk_seconds)
+    inside = _inside(ts, tie_break)
     sample = F.struct(*[F.col(c).alias(n) for c, n in columns.items()])
-    carried = _with_carry(chunked, series, F.max_by(sample, order), lambda last, w: F.lag(last).over(w))
-    inside = Window.partitionBy(*series, "_chunk").orderBy(ts, *tie_break)
-    previous = F.coalesce(F.lag(sample).over(inside), F.col("_before"))
-    return (
-        carried.withColumn("_previous", previous)
-        .select("*", "_previous.*")
-        .drop("_chunk", "_before", "_previous")
-    )
+    told = cut.withColumn("_previous", F.lag(sample).over(inside))
+    ends = cut.withColumn("_next", F.lead(F.lit(True)).over(inside)).filter(F.col("_next").isNull())
+    before = F.lag(sample).over(Window.partitionBy(SERIES).orderBy(CHUNK))
+    carried = ends.select(SERIES, CHUNK, before.alias("_before"))
+    previous = F.coalesce("_previous", "_before")
+    return told.join(carried, list(_BY_CHUNK), "left").withColumn("_previous", previous).select(*df.columns, "_previous.*")
 
 
 def rate(
@@ -87,7 +83,8 @@ def rate(
     """
     if window_seconds % step_seconds:
         raise ValueError("the window must be a multiple of the step")
-    told = with_previous(samples, series, ts, {value: "_last_value"}, tie_break, chunk_seconds)
+    needed = samples.select(*dict.fromkeys([*series, ts, value, *tie_break]))
+    told = with_previous(needed, series, ts, {value: "_last_value"}, tie_break, chunk_seconds)
     grown = F.when(F.col("_last_value").isNull(), F.lit(0.0)).when(
         F.col(value) < F.col("_last_value"), F.col(value)
     ).otherwise(F.col(value) - F.col("_last_value")).cast("double")
@@ -140,23 +137,34 @@ def held_for(
     ``series, active_since, firing_since, last_seen, samples``: when the condition became true,
     the first and the last sample at which it had held long enough, and how many there were.
     """
-    chunk_seconds = chunk_seconds or chunk_length(samples, series, ts)
-    tested = samples.withColumn("_holds", F.coalesce(condition, F.lit(False)))
-    told = with_previous(tested, series, ts, {"_holds": "_held"}, tie_break, chunk_seconds)
-    begins = F.when(F.col("_holds") & ~F.coalesce("_held", F.lit(False)), F.col(ts))
-    marked = told.withColumn("_begin", begins).withColumn("_chunk", _chunk(ts, chunk_seconds))
-    carried = _with_carry(
-        marked,
-        series,
-        F.max("_begin"),
-        lambda begin, w: F.max(begin).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+    holds = F.coalesce(condition, F.lit(False)).alias("_holds")
+    cut = in_chunks(samples.select(*dict.fromkeys([*series, ts, *tie_break]), holds), series, ts, tie_break, chunk_seconds)
+    inside = _inside(ts, tie_break)
+    marked = (
+        cut.withColumn("_held", F.lag("_holds").over(inside))  # null at the start of a chunk
+        .withColumn("_last", F.lead("_holds").over(inside).isNull())
+        .withColumn("_begin", F.when(F.col("_holds") & ~F.col("_held"), F.col(ts)))
+    )
+    chunks = marked.groupBy(*_BY_CHUNK).agg(
+        F.max("_begin").alias("_begin"),
+        F.min(ts).alias("_from"),
+        F.bool_or(F.col("_holds") & F.col("_held").isNull()).alias("_starts"),
+        F.bool_or(F.col("_holds") & F.col("_last")).alias("_ends"),
+    )
+    by_chunk = Window.partitionBy(SERIES).orderBy(CHUNK)
+    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.col("_starts") & ~F.coalesce(F.lag("_ends").over(by_chunk), F.lit(False))
+    entered = (
+        chunks.withColumn("_fresh", F.when(fresh, F.col("_from")))
+        .withColumn("_newest", F.coalesce("_begin", "_fresh"))
+        .select(SERIES, CHUNK, F.coalesce("_fresh", F.max("_newest").over(earlier)).alias("_entered"))
     )
-    inside = Window.partitionBy(*series, "_chunk").orderBy(ts, *tie_break)
-    since = F.coalesce(F.max("_begin").over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_before"))
+    begun = F.max("_begin").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    told = marked.withColumn("_begun", begun).filter("_holds").join(entered, list(_BY_CHUNK), "left")
     held = _micros(ts) - _micros("active_since") >= F.lit(hold_seconds * 1_000_000)
     return (
-        carried.withColumn("active_since", since)
-        .filter(F.col("_holds") & held)
+        told.withColumn("active_since", F.coalesce("_begun", "_entered"))
+        .filter(held)
         .groupBy(*series, "active_since")
         .agg(F.min(ts).alias("firing_since"), F.max(ts).alias("last_seen"), F.count(F.lit(1)).alias("samples"))
     )
