@@ -94,6 +94,19 @@ def test_two_exports_through_all_layers_and_a_full_refresh(spark, folder, contra
     assert Warehouse.open(spark, f"{folder}/house").version == fresh.version
 
 
+def test_a_failed_refresh_leaves_the_table_before_it(spark, folder):
+    house = Warehouse(spark, folder)
+    for n in range(4):
+        reader = house.gold("t") if n else None
+        house._refresh(spark.range(n + 1).withColumn("key", F.col("id")), "gold", "t", "key")
+        assert house.gold("t").count() == n + 1
+        assert reader is None or reader.count() == n
+    broken = spark.range(9).withColumn("key", F.expr("raise_error('no')").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        house._refresh(broken, "gold", "t", "key")
+    assert house.gold("t").count() == 4
+
+
 def forget_last_commit(checkpoint):
     """As if the query had died after its last batch, before noting that it was done."""
     last = max(Path(checkpoint, "commits").glob("[0-9]*"), key=lambda p: int(p.name))

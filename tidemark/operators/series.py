@@ -84,20 +84,20 @@ def rate(
     if window_seconds % step_seconds:
         raise ValueError("the window must be a multiple of the step")
     needed = samples.select(*dict.fromkeys([*series, ts, value, *tie_break]))
-    told = with_previous(needed, series, ts, {value: "_last_value"}, tie_break, chunk_seconds)
+    told = with_previous(needed, series, ts, {value: "_last_value", ts: "_last_ts"}, tie_break, chunk_seconds)
     grown = F.when(F.col("_last_value").isNull(), F.lit(0.0)).when(
         F.col(value) < F.col("_last_value"), F.col(value)
     ).otherwise(F.col(value) - F.col("_last_value")).cast("double")
-    order = F.struct(ts, *tie_break)
-    step = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(step_seconds))
+    step_of = lambda at: F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / F.lit(step_seconds))
+    first = ~F.coalesce(step_of("_last_ts") == F.col("_step"), F.lit(False))
     steps = (
         told.withColumn("_grown", grown)
-        .withColumn("_step", step)
+        .withColumn("_step", step_of(ts))
         .groupBy(*series, "_step")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.sum("_grown").alias("_sum"),
-            F.min_by("_grown", order).alias("_into"),
+            F.sum(F.when(first, F.col("_grown"))).alias("_into"),
             F.min(_micros(ts)).alias("_from"),
             F.max(_micros(ts)).alias("_to"),
         )

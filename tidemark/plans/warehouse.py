@@ -16,7 +16,7 @@ from tidemark.plans import gold
 from tidemark.plans import users as user_plan
 from tidemark.plans.medallion import stamp
 from tidemark.sources.files import empty, file_stream, frames_by_schema, parquet_stream, write_clustered
-from tidemark.sources.storage import child_names, exists, make_folder, written
+from tidemark.sources.storage import child_names, delete, exists, make_folder, matching, written
 from tidemark.sources.topics import source_stream
 from tidemark.streaming.flows import QUARANTINE, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
 from tidemark.streaming.state import KeyedState
@@ -84,12 +84,11 @@ class Warehouse:
     def silver(self, name: str) -> DataFrame:
         if name != "users":
             return self.state(self.contracts[name]).read()
-        path = self.path("silver", "users")
-        return self.spark.read.parquet(path) if exists(self.spark, path) else empty(self.spark, USERS_TYPE)
+        return self._refreshed("silver", "users") if self._runs("silver", "users") else empty(self.spark, USERS_TYPE)
 
     def quarantine(self, name: str) -> DataFrame:
         if name == "users":
-            return self.spark.read.parquet(self.path("quarantine", "users"))
+            return self._refreshed("quarantine", "users")
         folder = self.path("quarantine", name)
         return read_route(self.spark, folder, self.contracts[name].record_type, QUARANTINE)
 
@@ -100,7 +99,24 @@ class Warehouse:
         return parts[0].unionByName(parts[1])
 
     def gold(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold", name))
+        return self._refreshed("gold", name)
+
+    def _runs(self, layer: str, name: str) -> list[str]:
+        """Folders of the finished refreshes of a table, oldest first."""
+        return [p.removesuffix("/_SUCCESS") for p in matching(self.spark, f"{self.path(layer, name)}/run=*/_SUCCESS")]
+
+    def _refreshed(self, layer: str, name: str) -> DataFrame:
+        runs = self._runs(layer, name)
+        return self.spark.read.parquet(runs[-1] if runs else self.path(layer, name))
+
+    def _refresh(self, df: DataFrame, layer: str, name: str, key: str) -> None:
+        """Write a table anew beside what is there. Readers see the finished run before it until this one is done,
+        and a failed one never; the run before stays for readers at work, older ones go."""
+        runs = self._runs(layer, name)
+        number = int(runs[-1].rsplit("=", 1)[1]) + 1 if runs else 0
+        write_clustered(df, f"{self.path(layer, name)}/run={number:09d}", [key])
+        for old in runs[:-1]:
+            delete(self.spark, old)
 
     def run_bronze(
         self,
@@ -143,8 +159,8 @@ class Warehouse:
         ties = self.tie_break.get("users")
         tagged = user_plan.candidates(*sources, ties, lambda fused: written(fused, self.path("work", "users_fused")))
         good, bad = user_plan.split_users(written(tagged, self.path("work", "users_tagged")), as_of)
-        write_clustered(good, self.path("silver", "users"), ["cpf"])
-        write_clustered(bad, self.path("quarantine", "users"), ["cpf"])
+        self._refresh(good, "silver", "users", "cpf")
+        self._refresh(bad, "quarantine", "users", "cpf")
 
     def run_gold(self, names: Iterable[str] = tuple(GOLD), as_of=None) -> None:
         """Recompute gold tables, side by side: none reads another, and one's last tasks leave room."""
@@ -152,7 +168,7 @@ class Warehouse:
         def compute(name: str) -> None:
             build, inputs, key = GOLD[name]
             result = stamp(build(*[self.silver(i) for i in inputs]), "_computed_at", as_of)
-            write_clustered(result, self.path("gold", name), [key])
+            self._refresh(result, "gold", name, key)
 
         names = list(names)
         with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
