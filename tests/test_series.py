@@ -126,3 +126,14 @@ def test_alert_rules(spark):
     one = named.dropDuplicates(["ts"])
     assert monitoring.broker_alerts(one).count() == 0 and monitoring.replica_alerts(one).count() == 1
     assert monitoring.task_alerts(one.withColumn("value", F.lit(0.5))).count() == 1
+
+
+def test_a_lookback_reaches_the_scan(spark, folder):
+    rows = [("a", "g", 0, at, 1.0 * at) for at in (0, 400, 500)] + [("old", "g", 0, 10, 5.0)]
+    df = spark.createDataFrame(rows, "topic string, consumergroup string, partition int, at bigint, value double")
+    df.withColumn("ts", F.timestamp_seconds("at")).write.parquet(f"{folder}/samples")
+    kept = spark.read.parquet(f"{folder}/samples")
+    recent = monitoring.lag_by_topic(kept, at="1970-01-01 00:08:00", lookback_seconds=300)
+    assert [tuple(r) for r in recent.collect()] == [("a", 400.0)]
+    plan = recent._jdf.queryExecution().toString()
+    assert "GreaterThan(ts" in plan and "LessThanOrEqual(ts" in plan

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.contracts import contract
+from tidemark.operators import latest_per_key
 from tidemark.sources import (
     RateLimits,
     decode_json,
@@ -13,6 +14,7 @@ from tidemark.sources import (
     landing_files,
     landing_stream,
     load_summary,
+    numbered,
     read_landing,
     read_snapshot,
     registry_schema,
@@ -96,6 +98,20 @@ def test_ratings_land_by_their_own_key(spark, folder):
     assert [r.uuid for r in landing_changes(spark, folder, contract("ratings"), names, "r", 1).collect()] == ["b"]
 
 
+def test_lines_of_a_streamed_file_keep_their_order(spark, folder):
+    c = contract("orders")
+    put(folder, f"{c.source}_1.json", *[{**ORDER, "order_id": f"o{i % 2}", "total_amount": float(i)} for i in range(40)])
+    seen = []
+
+    def handle(batch, _):
+        last = latest_per_key(numbered(batch), ["order_id"], ["_file", "_block", "_line"])
+        seen.extend((r.order_id, r.total_amount) for r in last.collect())
+
+    stream = landing_stream(spark, folder, c)
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == [("o0", 38.0), ("o1", 39.0)]
+
+
 def test_landing_stream_sees_new_files_once(spark, folder):
     (landing := f"{folder}/in"), (out := f"{folder}/out")
     import os

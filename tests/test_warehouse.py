@@ -66,6 +66,10 @@ def test_two_exports_through_all_layers_and_a_full_refresh(spark, folder, contra
     assert [(r.restaurant_cnpj, r.restaurant_name, r.total_orders, r.total_items_sold, r.total_revenue_brl, r.avg_order_value_brl) for r in revenue] == [("r1", "Uno", 2, 2, 30.0, 75.0)]
     assert house.gold("user_behavior").first().cpf == "111"
     assert all(house.gold(n).columns[-1] == "_computed_at" for n in GOLD)
+    stamped = [(house.bronze("orders"), "_ingested_at"), (house.silver("orders"), "_ingested_at"), (house.quarantine("orders"), "_ingested_at")]
+    stamped += [(house.silver("users"), "_merged_at"), (house.gold("user_behavior"), "_computed_at")]
+    for df, column in stamped:
+        assert [str(r[0]) for r in df.select(F.date_format(column, "yyyy-MM-dd HH:mm")).distinct().collect()] == [f"{AS_OF} 00:00"]
 
     # A later export: an older update of a deleted order, a delete that breaks a rule, a new state.
     arrive(spark, source, "orders", [

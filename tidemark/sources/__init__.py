@@ -14,6 +14,7 @@ from tidemark.sources.landing import (
     landing_files,
     landing_stream,
     load_summary,
+    numbered,
     parse_landing,
     read_landing,
     select_files,
@@ -42,6 +43,7 @@ __all__ = [
     "landing_files",
     "landing_stream",
     "load_summary",
+    "numbered",
     "parquet_stream",
     "parse_landing",
     "read_landing",

@@ -103,6 +103,15 @@ def _lines(reader, folder: str, contract: Contract, files: Sequence[str] | None)
     )
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with a ``_line`` that orders those of a block: one task reads a block in order, so a growing id does.
+
+    For a frame that was not shuffled since it was read: a batch, or a micro-batch of :func:`landing_stream`, as a
+    stream itself cannot number its rows.
+    """
+    return lines.withColumn("_line", F.monotonically_increasing_id())
+
+
 def read_landing(
     spark: SparkSession, folder: str, contract: Contract, files: Sequence[str] | None = None
 ) -> DataFrame:
@@ -114,14 +123,13 @@ def read_landing(
         schema = T.StructType().add("value", "string").add("_file", "string").add("_block", "long").add("_line", "long")
         return parse_landing(spark.createDataFrame([], schema), contract)
     lines = _lines(spark.read, folder, contract, files)
-    # Rows of one block are read in order by one task, so a growing id orders them.
-    return parse_landing(lines.withColumn("_line", F.monotonically_increasing_id()), contract)
+    return parse_landing(numbered(lines), contract)
 
 
 def landing_stream(
     spark: SparkSession, folder: str, contract: Contract, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same records as a stream of newly arriving files."""
+    """The same records as a stream of newly arriving files; :func:`numbered` orders the lines of a micro-batch."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
