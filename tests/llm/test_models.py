@@ -74,6 +74,24 @@ def test_probed_lists_reach_recall(spark):
     assert hit / 600 >= 0.9
 
 
+def test_sample_spans_a_table_in_order(spark):
+    rng = np.random.default_rng(8)
+    n, spread = 60_000, np.random.default_rng(9).standard_normal((300, 16)) * 2
+    vectors = spread[np.arange(n) // 200] + rng.standard_normal((n, 16))  # rows ordered by cluster
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    asked = range(0, n, 500)
+    got = {}
+    for r in adaptive_scan.neighbours(table, F.col("vec_id") % 500 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in asked:
+        scores = vectors @ vectors[q]
+        scores[q] = -math.inf
+        recall.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    half = len(recall) // 2
+    assert min(np.mean(recall[:half]), np.mean(recall[half:])) >= 0.9, (np.mean(recall[:half]), np.mean(recall[half:]))
+
+
 def test_few_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert adaptive_scan.neighbours(empty, F.col("vec_id") % 20 == 0).count() == 0

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .tables import Scratch
 
-#: Vectors of the sample, rows of a list on average, lists at most.
+#: Vectors of the sample (about as many, if the table has more), rows of a list on average, lists at most.
 SAMPLE, LIST_ROWS, MAX_LISTS = 20_000, 1000, 4096
 #: Share of a sample query's neighbours within the sample that the probed lists hold, and the queries it is measured on.
 COVERAGE, TRIALS = 0.96, 200
@@ -181,10 +181,10 @@ def neighbours(
         return spark.createDataFrame([], empty)
     size, n, largest = shapes[0]["size"], shapes[0]["n"], shapes[0]["largest"]
     rows = rows.where(F.size("vec") == size)
-    rate = min(1.0, 2.0 * SAMPLE / n)
-    drawn = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(rate * (1 << 20))).select("vec_id", "vec").limit(SAMPLE).collect()
-    drawn = {r["vec_id"]: r["vec"] for r in drawn}
-    sample_ids, plain = np.array(list(drawn), dtype=np.int64), np.array(list(drawn.values()), dtype=float).reshape(-1, size)
+    # by hash alone, so that every part of the table is in it; repeated rows of an id are one member
+    drawn = rows.withColumn("h", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))).where(F.col("h") < math.ceil(min(1.0, SAMPLE / n) * (1 << 40)))
+    drawn = sorted(drawn.groupBy("h", "vec_id").agg(F.max("vec").alias("vec")).collect(), key=lambda r: (r["h"], r["vec_id"]))
+    sample_ids, plain = np.array([r["vec_id"] for r in drawn], dtype=np.int64), np.array([r["vec"] for r in drawn], dtype=float).reshape(-1, size)
     sample = extended(plain, largest)
     lists = max(1, min(MAX_LISTS, math.ceil(n / list_rows), len(sample)))
     found, turn = centres(sample, lists) if len(sample) else np.zeros((1, size + 1)), rotation(size + 1)
