@@ -9,6 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -194,6 +195,29 @@ def test_order_scores_above_disorder(spark):
     assert (pseudo_likelihood.fit(docs.limit(0)) == pseudo_likelihood.initial()).all()
 
 
+@pytest.mark.parametrize("common", [pseudo_likelihood.COMMON, 4])
+def test_words_of_one_token_have_their_own_probabilities(spark, common, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "COMMON", common)
+    token = lambda w: int(pseudo_likelihood.tokens(pa.array([w], pa.large_string()))[0][0])
+    often, other, unseen = [w for w in (f"w{i}" for i in range(20_000)) if token(w) == token("w0")][:3]
+    texts = [f"{often} {often} a b c", f"{often} a b {other} c", f"a {other} {often} b", " ".join(f"n{i}" for i in range(50))] * 3 + [None]
+    counted = Counter(w for t in texts for w in (t or "").split())
+    totals = Counter()
+    for w, n in counted.items():
+        totals[token(w)] += n
+    schema, flat = "doc_id long, text string", pseudo_likelihood.initial(5)
+    counts = pseudo_likelihood.word_counts(spark.createDataFrame(list(enumerate(texts)), schema).repartition(3))
+    assert sorted(r.n for r in counts.collect()) == sorted(counted.values())
+    tried = [f"a {often} b", f"a {other} b", f"a {unseen} b", f"{unseen} n1 n2 {often} {unseen}", "n3", None]
+    out = {r.doc_id: r for r in pseudo_likelihood.score(spark.createDataFrame(list(enumerate(tried)), schema), flat, words=counts).collect()}
+    for i, t in enumerate(tried):
+        ids, at = pseudo_likelihood.tokens(pa.array([t or ""], pa.large_string()))
+        wanted = pseudo_likelihood.log_probabilities(flat, ids, pseudo_likelihood.contexts(ids, at)).sum()
+        wanted += sum(math.log(max(1, counted[w]) / (totals[token(w)] + 1)) for w in (t or "").split())
+        assert abs(out[i].log_likelihood - wanted) < 1e-9 and out[i].n_tokens == len((t or "").split())
+    assert out[0].log_likelihood > out[1].log_likelihood > out[2].log_likelihood
+
+
 # --- toxicity
 
 

@@ -3,8 +3,11 @@
 Words are hashed to VOCABULARY tokens. The network sees the two tokens on either side, adds an embedding for each
 place, and predicts the token between: first its class, then the token within the class. Training is data-parallel:
 in a round every partition takes the current weights through its share of the documents by Adagrad, and the weights
-are averaged over all partitions, by tokens seen. Each document is trained on in exactly one round. A document's score
-is the sum over its tokens of the log-probability given both sides.
+are averaged over all partitions, by tokens seen. Each document is trained on in exactly one round.
+
+The words of the corpus are counted in Spark, each on its own. A word has the probability of its token given both
+sides, times its share of the token: n / (N + 1) if it was counted n times and the words of the token N times. The rest,
+1 / (N + 1), is that of words not counted. A document's score is the sum over its words of the log-probability.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small_batches
+from .tables import Scratch, bounded, small_batches
 from .textbatch import slices, word_hashes
 
 VOCABULARY, CLASSES = 1024, 32
@@ -25,6 +28,8 @@ HIDDEN = 12
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS, RATE, BATCH = 2, 0.08, 8192
 _PAD = VOCABULARY
+#: Words of one in so many of all tokens, or more, are looked up by the workers; rarer ones, most of them, by a join.
+COMMON = 100_000
 
 #: Shapes of the weights: embeddings by place, class layer and layer within each class, the last row of both their bias.
 SHAPES = ((len(OFFSETS), VOCABULARY + 1, HIDDEN), (HIDDEN + 1, CLASSES), (CLASSES, HIDDEN + 1, WITHIN))
@@ -47,9 +52,13 @@ def initial(seed: int = 11) -> np.ndarray:
     return flat
 
 
+def tokens_of(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(40)).astype(np.int64) % VOCABULARY
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words, at = word_hashes(texts)
-    return (words >> np.uint64(40)).astype(np.int64) % VOCABULARY, at
+    return tokens_of(words), at
 
 
 def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -173,25 +182,64 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 1
     return flat
 
 
-def score(docs: DataFrame, flat: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the hash of every word of ``docs`` and how often it occurs."""
+    small_batches(docs.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch.column(0)):
+                words, n = np.unique(word_hashes(texts)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    parts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(counted, "word long, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def score(docs: DataFrame, flat: np.ndarray, doc_id: str = "doc_id", text: str = "text", words: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_probability) of every row of ``docs``.
 
-    Null and blank texts have no tokens, log-likelihood 0 and no mean. Repeated rows are scored each; other columns are
-    not looked at.
+    ``words`` are the :func:`word_counts` of the corpus, by default those of ``docs``. Null and blank texts have no
+    tokens, log-likelihood 0 and no mean. Repeated rows are scored each; other columns are not looked at.
     """
-
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    scratch = Scratch(spark, "pseudo-likelihood")
+    words = scratch.keep(word_counts(docs, text) if words is None else words)
+    totals = np.zeros(VOCABULARY)
+    for r in words.groupBy(F.expr(f"cast(shiftrightunsigned(word, 40) % {VOCABULARY} as int)").alias("token")).agg(F.sum("n").alias("n")).collect():
+        totals[r["token"]] = r["n"]
+    often = F.col("n") * COMMON >= F.lit(int(totals.sum()))
+    common = sorted((r["word"], r["n"]) for r in words.where(often).collect())
+    known, gain = np.array([w for w, _ in common], np.int64), np.log(np.array([n for _, n in common], float))
+    less = np.log(totals + 1)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch.column(1)):
-                ids, at = tokens(texts)
-                known = np.concatenate(([0.0], np.cumsum(log_probabilities(flat, ids, contexts(ids, at)))))
+                own, at = word_hashes(texts)
+                ids, own = tokens_of(own), own.view(np.int64)
+                logs, rest = log_probabilities(flat, ids, contexts(ids, at)) - less[ids], np.ones(len(own), bool)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    rest = known[place] != own
+                    logs += np.where(rest, 0, gain[place])
+                logs, left = np.concatenate(([0.0], np.cumsum(logs))), np.concatenate(([0], np.cumsum(rest)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(np.diff(at).astype(np.int64)), pa.array(known[at[1:]] - known[at[:-1]])],
-                    names=["doc_id", "n_tokens", "log_likelihood"],
+                    [
+                        batch.column(0).slice(start, len(texts)),
+                        pa.array(np.diff(at).astype(np.int64)),
+                        pa.array(logs[at[1:]] - logs[at[:-1]]),
+                        pa.ListArray.from_arrays(pa.array(left[at].astype(np.int32)), pa.array(own[rest])),
+                    ],
+                    names=["doc_id", "n_tokens", "log_likelihood", "rest"],
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    out = rows.mapInArrow(scored, "doc_id long, n_tokens long, log_likelihood double")
+    rows = rows.mapInArrow(scored, "doc_id long, n_tokens long, log_likelihood double, rest array<long>")
+    rows = scratch.keep(rows.withColumn("row", F.monotonically_increasing_id()))
+    # words counted once gain nothing, like those not counted
+    rare = bounded(words.where(~often & (F.col("n") > 1)).select("word", F.log("n").alias("gain")))
+    more = rows.select("row", F.explode("rest").alias("word")).join(rare, "word").groupBy("row").agg(F.sum("gain").alias("gain"))
+    out = rows.join(more, "row", "left").select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("gain", F.lit(0.0))).alias("log_likelihood"))
     return out.withColumn("mean_log_probability", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
