@@ -126,6 +126,18 @@ def test_components_of_chains_and_stars(spark):
     assert dict(map(tuple, found)) == {**{i: 0 for i in range(51)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
 
 
+def test_short_items_are_found_in_every_document(spark):
+    rng = random.Random(12)
+    words = [f"v{i}" for i in range(3000)]
+    items = [(k, " ".join(f"item{k}x{j}" for j in range(n))) for k, n in enumerate((5, 5, 12))]
+    docs = []
+    for d in range(6000):
+        body, at = [rng.choice(words) for _ in range(60)], rng.randrange(61)
+        docs.append((d, " ".join([*body[:at], items[d % 3][1], *body[at:]])))
+    out = containment.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in out.collect()) == [(d, d % 3) for d in range(6000)]
+
+
 def test_containment_equals_brute_force(spark):
     rng = random.Random(2)
     words = [f"v{i}" for i in range(300)]

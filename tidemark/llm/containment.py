@@ -3,8 +3,9 @@
 An item of a few shingles is a vanishing share of a long document, so signatures of one length for all cannot show
 it. Documents are partitioned by size, and a document of size class 2^k is sketched by the minimum of each of 2^k bins
 of the hash range: one hash function, one permutation, a share of at least 0.63 of its shingles kept at any size. An
-item is looked up by all of its shingles. With eight or more, the chance that an item contained to THRESHOLD meets no
-minimum is under one in a thousand; if an item has fewer, all documents get 64 times the bins.
+item is looked up by all of its shingles. With sixteen or more, the chance that an item contained to THRESHOLD meets no
+minimum is 0.37^13, some two in a million; if an item has fewer, it is looked up in all shingles of the documents, so
+that none is lost.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from .tables import Scratch, bounded
 WIDTH = 5
 #: Percent of an item's distinct shingles that the document holds.
 THRESHOLD = 80
-_FEW, _MORE_BITS = 8, 6
+_FEW = 16
 
 
 def words(text: Column) -> Column:
@@ -58,7 +59,7 @@ def contained(
     strings = strings.distinct()
     sizes = strings.groupBy("i").agg(F.count("*").alias("q"))
     strings = scratch.keep(strings.join(sizes, "i"))
-    few = strings.agg(F.min("q")).first()[0] < _FEW
+    few = {r["v"] for r in strings.groupBy("v").agg(F.min("q").alias("q")).collect() if r["q"] < _FEW}
     hashed = F.xxhash64(*(F.get(F.split("s", " "), F.lit(k)) for k in range(width)))
     lookup = bounded(strings.select("i", "q", "v", hashed.alias("x")))
 
@@ -66,11 +67,16 @@ def contained(
     for v in widths:
         marks = left.select("d", words(F.col("t")).alias("w")).where(F.size("w") >= v)
         pad = [F.lit(None).cast("string")] * (width - v)
-        marks = marks.select("d", F.sort_array(_windows("w", v, lambda *x: F.xxhash64(*x, *pad))).alias("h"))
-        bits = F.least(F.lit(60), F.ceil(F.log2(F.size("h").cast("double"))).cast("int") + (_MORE_BITS if few else 0))
-        marks = marks.select("d", "h", (F.lit(64) - bits).alias("cut"))
-        minima = F.expr("filter(h, (x, k) -> k = 0 or shiftright(x, cut) <> shiftright(get(h, k - 1), cut))")
-        hits = marks.select("d", F.explode(minima).alias("x")).join(lookup, "x").where(F.col("v") == v).select("d", "i", "q", "x")
+        hashes = _windows("w", v, lambda *x: F.xxhash64(*x, *pad))
+        if v in few:
+            marks = marks.select("d", F.explode(hashes).alias("x"))
+        else:
+            marks = marks.select("d", F.sort_array(hashes).alias("h"))
+            bits = F.least(F.lit(60), F.ceil(F.log2(F.size("h").cast("double"))).cast("int"))
+            marks = marks.select("d", "h", (F.lit(64) - bits).alias("cut"))
+            minima = F.expr("filter(h, (x, k) -> k = 0 or shiftright(x, cut) <> shiftright(get(h, k - 1), cut))")
+            marks = marks.select("d", F.explode(minima).alias("x"))
+        hits = marks.join(lookup, "x").where(F.col("v") == v).select("d", "i", "q", "x")
         found = hits if found is None else found.unionByName(hits)
     # enough minima met: one, or a tenth of a longer item, where half is expected at the threshold
     met = found.groupBy("d", "i", "q").agg(F.count_distinct("x").alias("m")).where("m >= greatest(1, floor(q / 10))")
