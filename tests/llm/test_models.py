@@ -408,6 +408,17 @@ def test_pipeline_keeps_and_drops(spark, folder):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_language_stage_keeps_texts_with_letters(spark):
+    schema = table(spark, SF, "documents").schema
+    unknown = [(1, "some words", None, None, None), (2, "12 34", None, None, None), (3, None, None, None, None)]
+    out = corpus_pipeline.language(spark, spark.createDataFrame(unknown, schema), SF).collect()
+    assert [(r.doc_id, r.lang) for r in out] == [(1, None)]  # nothing to learn from
+    even = [(i, "alpha beta", f"l{i % 4}", None, None) for i in range(40)]  # all languages tie
+    even += [(100, "alpha beta", None, None, None), (101, "12", "l0", None, None)]
+    out = corpus_pipeline.language(spark, spark.createDataFrame(even, schema), SF).collect()
+    assert sorted((r.doc_id, r.lang) for r in out) == [(i, f"l{i % 4}") for i in range(40)]
+
+
 def test_stages_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, table(spark, SF, "documents").limit(0), SF).count() == 0
