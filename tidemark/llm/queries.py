@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import tidemark
 
-from . import adaptive_scan, containment, cross_parsing, mixing, ownership, pattern_grammar, preferences, pseudo_likelihood, superminhash, zip_warc
-from .tables import held_out, table, training_row
+from . import adaptive_scan, containment, cross_parsing, mixing, ownership, pattern_grammar, preferences, pseudo_likelihood, seekable_frames, superminhash, two_fit, zip_warc
+from .tables import Scratch, held_out, table, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,20 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parsing.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op12_seekable_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = Scratch(spark, "frames").keep(seekable_frames.store(table(spark, sf_dir, "documents")))
+    made = seekable_frames.fill_in_middle(stored)
+    told = made.withColumn("told", seekable_frames.digests("frames", "form"))
+    return told.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "told.*")
+
+
+@_query
+def op13_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = two_fit.pack(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 ORACLES["op7_preference_pairs"] = """
 WITH last AS (
     SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
@@ -154,3 +168,20 @@ SELECT doc_id, item_id, count(*) AS matched, q AS item_shingles, count(*) / q AS
 FROM held JOIN items USING (v, s) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, q HAVING count(*) * 100 >= q * 80
 """
+
+ORACLES["op12_seekable_frames"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (
+    SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+            WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+parts AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+        array_to_string(u[greatest(a, b) + 1:n], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
