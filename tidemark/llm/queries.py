@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import tidemark
 
-from . import adaptive_scan, containment, cross_parsing, mixing, ownership, pattern_grammar, preferences, pseudo_likelihood, seekable_frames, superminhash, two_fit, zip_warc
+from . import adaptive_scan, containment, cross_parsing, mixing, ownership, pattern_grammar, preferences, prefix_trie, pseudo_likelihood, seekable_frames, superminhash, two_fit, zip_warc
 from .tables import Scratch, held_out, table, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,11 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parsing.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @_query
 def op12_seekable_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = Scratch(spark, "frames").keep(seekable_frames.store(table(spark, sf_dir, "documents")))
@@ -169,6 +174,37 @@ FROM held JOIN items USING (v, s) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, q HAVING count(*) * 100 >= q * 80
 """
 
+ORACLES["op11_prefix_trie"] = """
+WITH t AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+        coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c FROM t),
+codes AS (  -- crc32, one bit of the id's decimal text at a time
+    SELECT c, c - c % 5 AS base, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda v, x: list_reduce([xor(v, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 9 AS h FROM ids),
+heads AS (SELECT codes.c, t.k, role, text FROM codes JOIN t ON t.c = codes.base AND t.k <= codes.h),
+turns AS (
+    SELECT c, k AS d, role, text FROM heads
+    UNION ALL
+    SELECT t.c, coalesce(there, 0) + t.k - h, role, text FROM t JOIN codes USING (c)
+    LEFT JOIN (SELECT c, count(*) AS there FROM heads GROUP BY c) AS n ON n.c = t.c WHERE t.k > h),
+keys AS (
+    SELECT c, d, strlen(text) AS bytes, string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d) AS path FROM turns),
+paths AS (SELECT c, d, bytes, sha256(path) AS key, coalesce(lag(sha256(path)) OVER (PARTITION BY c ORDER BY d), '') AS up FROM keys
+    UNION ALL SELECT c, 0, 0, '', NULL FROM ids),
+nodes AS (SELECT key, d, up, min(c) AS conv_id, count(*) AS n, any_value(bytes) AS bytes FROM paths GROUP BY key, d, up),
+kids AS (SELECT up AS key, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+below AS (
+    SELECT p.key, count(*) FILTER (kids.key IS NULL) AS leaves, sum((nodes.n - 1) * nodes.bytes) AS saved
+    FROM nodes JOIN paths AS p ON p.c = nodes.conv_id AND p.d <= nodes.d LEFT JOIN kids ON kids.key = nodes.key GROUP BY p.key),
+ends AS (
+    SELECT key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS members FROM (SELECT c, arg_max(key, d) AS key FROM paths GROUP BY c) AS e GROUP BY key)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, over.conv_id AS parent_conv_id, CAST(nodes.n AS BIGINT) AS n_convs,
+    CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+    sha256(coalesce(members, '')) AS ends_sha256
+FROM nodes JOIN below USING (key) LEFT JOIN kids USING (key) LEFT JOIN ends USING (key) LEFT JOIN nodes AS over ON over.key = nodes.up
+"""
+
 ORACLES["op12_seekable_frames"] = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
