@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import held_for, in_chunks, rate, with_previous
+from tidemark.operators.series import held_for, in_chunks, on_grid, rate, with_previous
 from tidemark.plans import monitoring
 
 BASE = 1_704_067_200
@@ -119,8 +119,8 @@ def test_health_queries(spark):
 def test_alert_rules(spark):
     rows = [("a", p, 60 * i, v) for p in (0, 1) for i, v in enumerate([9000.0] * 12)]
     df = spark.createDataFrame(rows, "topic string, partition int, at bigint, value double").withColumn("ts", F.timestamp_seconds("at"))
-    assert monitoring.lag_alerts(df).count() == 2
-    critical = monitoring.critical_lag_alerts(df).collect()
+    assert monitoring.lag_alerts(df, step_seconds=None).count() == 2
+    critical = monitoring.critical_lag_alerts(df, step_seconds=None).collect()
     assert [(r.topic, r.samples) for r in critical] == [("a", 2)]
     named = df.select("ts", "value", F.lit("x").alias("cluster"), F.lit("b").alias("broker"), F.lit("c").alias("connector"), F.lit(0).alias("task"))
     one = named.dropDuplicates(["ts"])
@@ -137,3 +137,60 @@ def test_a_lookback_reaches_the_scan(spark, folder):
     assert [tuple(r) for r in recent.collect()] == [("a", 400.0)]
     plan = recent._jdf.queryExecution().toString()
     assert "GreaterThan(ts" in plan and "LessThanOrEqual(ts" in plan
+
+
+def _grid(rows, step, lookback):
+    """Newest known sample of each series at every step, by looking at all of them."""
+    out = {}
+    for label in {r[0] for r in rows}:
+        known = sorted((at, v) for x, at, v in rows if x == label and v is not None)
+        for t in range(min(at for at, _ in known) // step * step, max(at for at, _ in known) + lookback + step, step):
+            seen = [v for at, v in known if t - lookback < at <= t]
+            if seen:
+                out[label, t] = seen[-1]
+    return out
+
+
+@pytest.mark.parametrize("step,lookback,chunk", [(15, 300, 4096), (60, 300, 4096), (30, 45, 8), (50, 20, 8)])
+def test_grid_matches_brute_force(spark, monkeypatch, step, lookback, chunk):
+    monkeypatch.setattr("tidemark.operators.series.GRID_CHUNK", chunk)
+    rows = [(label, at, None if i % 5 == 0 else v) for i, (label, at, v) in enumerate(samples(6))]
+    got = on_grid(frame(spark, rows), ["topic"], step, lookback).collect()
+    assert len(got) == len({(r.topic, r.ts) for r in got})
+    assert {(r.topic, int(r.ts.timestamp())): r.value for r in got} == _grid(rows, step, lookback)
+
+
+@pytest.mark.parametrize("chunk", [None, 40])
+def test_a_gap_ends_an_episode(spark, chunk):
+    rows = [("a", BASE + at, 1.0) for at in [*range(0, 100, 10), *range(130, 200, 10)]]
+    got = held_for(frame(spark, rows), ["topic"], F.col("value") > 0, 30, chunk_seconds=chunk, gap_seconds=10).orderBy("active_since").collect()
+    assert [(int(r.active_since.timestamp()) - BASE, r.samples) for r in got] == [(0, 7), (130, 4)]
+
+
+def _lags(spark, rows):
+    df = spark.createDataFrame(rows, "consumer string, topic string, partition int, at bigint, value double")
+    return df.withColumn("ts", F.timestamp_seconds("at")).withColumnRenamed("consumer", "group")
+
+
+def test_a_group_behind_is_not_hidden_by_another(spark):
+    slow = [("slow", "t", 0, BASE + 30 * i, 2000.0) for i in range(30)]
+    other = [("fast", "t", 0, BASE + 30 * i + 7, 0.0) for i in range(30)]
+    alone, both = (monitoring.lag_alerts(_lags(spark, rows)).collect() for rows in (slow, slow + other))
+    assert alone == both and [r["group"] for r in both] == ["slow"]
+
+
+def test_partitions_scraped_at_different_moments_add_up(spark):
+    rows = [("g", "t", p, BASE + 30 * i + p, 6000.0) for p in (0, 1) for i in range(40)]
+    found = monitoring.critical_lag_alerts(_lags(spark, rows)).collect()
+    assert [r.topic for r in found] == ["t"]
+    assert monitoring.critical_lag_alerts(_lags(spark, [r for r in rows if r[2] == 0])).collect() == []
+
+
+def test_failed_scrapes_are_bridged_and_silence_ends_an_episode(spark):
+    rows = [("g", "t", 0, BASE + 30 * i, None if i in (5, 6) else 2000.0) for i in range(30)]
+    later = [("g", "t", 0, BASE + 3600 + 30 * i, 2000.0) for i in range(30)]
+    found = monitoring.lag_alerts(_lags(spark, rows + later)).orderBy("active_since").collect()
+    since = [int(r.active_since.timestamp()) - BASE for r in found]
+    assert since == [0, 3600] and int(found[0].last_seen.timestamp()) - BASE < 29 * 30 + 300
+    raw = monitoring.lag_alerts(_lags(spark, rows), step_seconds=None).collect()
+    assert len(raw) == 1

@@ -123,6 +123,46 @@ def rate(
     )
 
 
+#: Evaluations in a chunk of :func:`on_grid`.
+GRID_CHUNK = 4096
+
+
+def on_grid(
+    samples: DataFrame,
+    series: Sequence[str],
+    step_seconds: int,
+    lookback_seconds: int = 300,
+    ts: str = "ts",
+    value: str = "value",
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """``series, ts, value`` at every multiple of a step: what a series is worth to whoever looks at it then.
+
+    That is its newest sample not after that time and less than a lookback older, so series sampled at different moments
+    meet at the same times, and a null sample, a scrape that failed, is bridged. Without such a sample the series has no
+    row there. Of samples within one step only the last is seen: rows are thinned to it by an aggregate before any
+    is ordered, and what is then ordered together is a chunk of evaluations of one series.
+    """
+    step, reach = step_seconds * 1_000_000, -(-lookback_seconds // step_seconds)
+    length = max(GRID_CHUNK, 4 * reach)
+    at = _micros(ts)
+    known = samples.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
+    newest = F.max(F.struct(at.alias("at"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_break)], F.col(value).alias("value")))
+    seen = known.groupBy(*series, F.ceil(at / F.lit(step)).alias("_slot")).agg(newest.alias("_newest"))
+    last = F.floor((F.col("_newest.at") + F.lit(lookback_seconds * 1_000_000 - 1)) / F.lit(step))
+    seen = seen.withColumn("_last", last).where("_last >= _slot")
+    # the first slots of a chunk are shown to the chunk before it as well, whose last samples may end there
+    chunk = F.floor(F.col("_slot") / F.lit(length))
+    place = lambda c, own: F.struct(c.alias("chunk"), F.lit(own).alias("own"))
+    places = F.when(F.pmod("_slot", F.lit(length)) <= reach, F.array(place(chunk, True), place(chunk - 1, False)))
+    placed = seen.withColumn("_place", F.explode(F.coalesce(places, F.array(place(chunk, True)))))
+    following = F.lead("_slot").over(Window.partitionBy(*series, "_place.chunk").orderBy("_slot"))
+    until = F.least("_last", F.coalesce(following - 1, "_last"))
+    spans = placed.withColumn("_until", until).where("_place.own")
+    points = spans.withColumn("_at", F.explode(F.sequence("_slot", "_until")))
+    return points.select(*series, F.timestamp_micros(F.col("_at") * F.lit(step)).alias(ts), F.col("_newest.value").alias(value))
+
+
 def held_for(
     samples: DataFrame,
     series: Sequence[str],
@@ -131,29 +171,37 @@ def held_for(
     ts: str = "ts",
     tie_break: Sequence[str] = (),
     chunk_seconds: float | None = None,
+    gap_seconds: float | None = None,
 ) -> DataFrame:
     """Episodes in which a condition held for at least a period: an alert with a waiting time.
 
     ``series, active_since, firing_since, last_seen, samples``: when the condition became true,
     the first and the last sample at which it had held long enough, and how many there were.
+    With ``gap_seconds``, samples further apart than that belong to different episodes.
     """
+
+    def near(later: Column, earlier: Column) -> Column:
+        return F.lit(True) if gap_seconds is None else later - earlier <= F.lit(round(gap_seconds * 1e6))
+
     holds = F.coalesce(condition, F.lit(False)).alias("_holds")
     cut = in_chunks(samples.select(*dict.fromkeys([*series, ts, *tie_break]), holds), series, ts, tie_break, chunk_seconds)
     inside = _inside(ts, tie_break)
     marked = (
-        cut.withColumn("_held", F.lag("_holds").over(inside))  # null at the start of a chunk
+        cut.withColumn("_held", F.lag("_holds").over(inside) & near(_micros(ts), F.lag(_micros(ts)).over(inside)))  # null at the start of a chunk
         .withColumn("_last", F.lead("_holds").over(inside).isNull())
         .withColumn("_begin", F.when(F.col("_holds") & ~F.col("_held"), F.col(ts)))
     )
     chunks = marked.groupBy(*_BY_CHUNK).agg(
         F.max("_begin").alias("_begin"),
         F.min(ts).alias("_from"),
+        F.max(_micros(ts)).alias("_to"),
         F.bool_or(F.col("_holds") & F.col("_held").isNull()).alias("_starts"),
         F.bool_or(F.col("_holds") & F.col("_last")).alias("_ends"),
     )
     by_chunk = Window.partitionBy(SERIES).orderBy(CHUNK)
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.col("_starts") & ~F.coalesce(F.lag("_ends").over(by_chunk), F.lit(False))
+    goes_on = F.lag("_ends").over(by_chunk) & near(_micros("_from"), F.lag("_to").over(by_chunk))
+    fresh = F.col("_starts") & ~F.coalesce(goes_on, F.lit(False))
     entered = (
         chunks.withColumn("_fresh", F.when(fresh, F.col("_from")))
         .withColumn("_newest", F.coalesce("_begin", "_fresh"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import latest_per_key
-from tidemark.operators.series import held_for, rate
+from tidemark.operators.series import GRID_CHUNK, held_for, on_grid, rate
 
 # Topics starting like this are the broker's own; lag counts as high or critical
 # above these, when it stays there for these seconds.
@@ -16,6 +16,8 @@ INTERNAL_TOPIC = "^__.*$"
 LAG_HIGH, LAG_HIGH_SECONDS = 1000, 300
 LAG_CRITICAL, LAG_CRITICAL_SECONDS = 10000, 600
 TASK_SECONDS, BROKER_SECONDS, REPLICA_SECONDS = 120, 60, 120
+# Seconds between two evaluations of the alerts, and after which a series without a sample is gone.
+EVALUATION_SECONDS, LOOKBACK_SECONDS = 30, 300
 
 
 def own_topics(samples: DataFrame) -> DataFrame:
@@ -85,45 +87,68 @@ def error_rate(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
 
 
 def running_tasks(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Tasks running now: the newest count of each connector added up."""
-    return _newest(samples, ["connector"], tie_break).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("running"))
+    """Tasks running now: the newest count of each series added up."""
+    return _newest(samples, series_of(samples), tie_break).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("running"))
 
 
 def failing_tasks(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Tasks now running below full ratio, zero when there is none, and the lowest ratio."""
-    newest = _newest(samples, ["connector", "task"], tie_break)
+    newest = _newest(samples, series_of(samples), tie_break)
     return newest.agg(
         F.count_if(F.col("value") < 1).alias("failed_tasks"), F.min("value").alias("lowest_ratio")
     )
 
 
-def lag_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Episodes of high lag per topic and partition."""
-    return held_for(
-        own_topics(samples), ["topic", "partition"], F.col("value") > LAG_HIGH, LAG_HIGH_SECONDS, tie_break=tie_break
-    )
+def alerts(
+    samples: DataFrame,
+    by: Sequence[str],
+    condition: Column,
+    hold_seconds: int,
+    tie_break: Sequence[str] = (),
+    step_seconds: int | None = EVALUATION_SECONDS,
+    lookback_seconds: int = LOOKBACK_SECONDS,
+) -> DataFrame:
+    """Episodes of a condition on ``value`` held for a period, for every combination of the labels ``by``.
+
+    The condition is looked at every ``step_seconds``: each series, told apart by all labels that the samples carry,
+    counts with its newest known sample of the last ``lookback_seconds``, and series that share the labels ``by`` are
+    added up. So consumer groups don't hide each other, partitions scraped at different moments add up, a failed scrape is
+    bridged, and an episode ends when nothing was scraped for a lookback. ``step_seconds=None`` takes every known sample
+    for a look of its own, without adding up.
+    """
+    if step_seconds is None:
+        return held_for(_known(samples), by, condition, hold_seconds, tie_break=tie_break)
+    series = series_of(samples)
+    seen = on_grid(samples, series, step_seconds, lookback_seconds, tie_break=tie_break)
+    if set(by) != set(series):
+        seen = seen.groupBy(*by, "ts").agg(F.sum("value").alias("value"))
+    return held_for(seen, by, condition, hold_seconds, chunk_seconds=GRID_CHUNK * step_seconds, gap_seconds=step_seconds)
 
 
-def critical_lag_alerts(samples: DataFrame) -> DataFrame:
-    """Episodes of critical lag per topic, over the sum of its partitions sampled at one time."""
-    totals = own_topics(samples).groupBy("topic", "ts").agg(F.sum("value").alias("value"))
-    return held_for(totals, ["topic"], F.col("value") > LAG_CRITICAL, LAG_CRITICAL_SECONDS)
+def lag_alerts(samples: DataFrame, tie_break: Sequence[str] = (), **evaluation) -> DataFrame:
+    """Episodes of high lag of each series: of a group on a partition of a topic. ``evaluation`` goes to :func:`alerts`."""
+    own = own_topics(samples)
+    return alerts(own, series_of(own), F.col("value") > LAG_HIGH, LAG_HIGH_SECONDS, tie_break, **evaluation)
 
 
-def task_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    return held_for(samples, ["connector", "task"], F.col("value") < 1, TASK_SECONDS, tie_break=tie_break)
+def critical_lag_alerts(samples: DataFrame, tie_break: Sequence[str] = (), **evaluation) -> DataFrame:
+    """Episodes of critical lag per topic, over the sum of its groups and partitions.
 
+    With ``step_seconds=None`` only samples of one moment are added up.
+    """
+    own = own_topics(samples)
+    if evaluation.get("step_seconds", 0) is None:
+        own, tie_break = own.groupBy("topic", "ts").agg(F.sum("value").alias("value")), ()
+    return alerts(own, ["topic"], F.col("value") > LAG_CRITICAL, LAG_CRITICAL_SECONDS, tie_break, **evaluation)
 
-def broker_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    return held_for(samples, ["cluster"], F.col("value") < 1, BROKER_SECONDS, tie_break=tie_break)
 
+def task_alerts(samples: DataFrame, tie_break: Sequence[str] = (), **evaluation) -> DataFrame:
+    return alerts(samples, series_of(samples), F.col("value") < 1, TASK_SECONDS, tie_break, **evaluation)
 
-def replica_alerts(samples: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    return held_for(samples, ["broker"], F.col("value") > 0, REPLICA_SECONDS, tie_break=tie_break)
 
+def broker_alerts(samples: DataFrame, tie_break: Sequence[str] = (), **evaluation) -> DataFrame:
+    return alerts(samples, series_of(samples), F.col("value") < 1, BROKER_SECONDS, tie_break, **evaluation)
 
-def alerts(
-    samples: DataFrame, series: Sequence[str], condition: Column, hold_seconds: int, tie_break: Sequence[str] = ()
-) -> DataFrame:
-    """Episodes of any condition held for any period."""
-    return held_for(samples, series, condition, hold_seconds, tie_break=tie_break)
+
+def replica_alerts(samples: DataFrame, tie_break: Sequence[str] = (), **evaluation) -> DataFrame:
+    return alerts(samples, series_of(samples), F.col("value") > 0, REPLICA_SECONDS, tie_break, **evaluation)

@@ -25,6 +25,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.operators.conform import conformed_columns
+from tidemark.operators.series import on_grid
 from tidemark.plans import monitoring
 from tidemark.sources import (
     decode_json,
@@ -596,31 +597,31 @@ def _alert_samples(spark: SparkSession, sf_dir: str, **labels: str) -> DataFrame
 
 @query(_alert_sql("event_type AS connector, user_id AS task", "connector, task", monitoring.TASK_SECONDS))
 def alert_task(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.task_alerts(_alert_samples(spark, sf_dir, connector="event_type", task="user_id"), ["event_id"])
+    return monitoring.task_alerts(_alert_samples(spark, sf_dir, connector="event_type", task="user_id"), ["event_id"], step_seconds=None)
 
 
 @query(_alert_sql("event_type AS broker", "broker", monitoring.REPLICA_SECONDS).replace("(value < 1)", "(value > 0)"))
 def alert_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.replica_alerts(_alert_samples(spark, sf_dir, broker="event_type"), ["event_id"])
+    return monitoring.replica_alerts(_alert_samples(spark, sf_dir, broker="event_type"), ["event_id"], step_seconds=None)
 
 
 @query(_alert_sql("event_type AS cluster", "cluster", monitoring.BROKER_SECONDS))
 def alert_broker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.broker_alerts(_alert_samples(spark, sf_dir, cluster="event_type"), ["event_id"])
+    return monitoring.broker_alerts(_alert_samples(spark, sf_dir, cluster="event_type"), ["event_id"], step_seconds=None)
 
 
 @query(_held_sql(f"SELECT ts, event_id, {_TOPIC}, value FROM events WHERE event_type <> 'error'", "topic",
                  "(value > 2)", 1800))
 def alert_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = monitoring.own_topics(_samples(spark, sf_dir, "value"))
-    return monitoring.alerts(samples, ["topic"], F.col("value") > 2, 1800, ["event_id"])
+    return monitoring.alerts(samples, ["topic"], F.col("value") > 2, 1800, ["event_id"], step_seconds=None)
 
 
 @query(_held_sql(
     f"SELECT ts, event_id, {_TOPIC}, user_id AS partition, value * 200 AS value FROM events WHERE event_type <> 'error'",
     "topic, partition", "(value > 1000)", 300))
 def alert_lag_high(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.lag_alerts(_samples(spark, sf_dir, "value * 200"), ["event_id"])
+    return monitoring.lag_alerts(_samples(spark, sf_dir, "value * 200"), ["event_id"], step_seconds=None)
 
 
 @query(f"""SELECT count(*) FILTER (value / 10 < 1) AS failed_tasks, min(value / 10) AS lowest_ratio FROM ({latest_sql(
@@ -681,4 +682,63 @@ def rate_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events WHERE event_type <> 'error' GROUP BY 1, 3""", "topic", "(value > 10000)", 600))
 def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _samples(spark, sf_dir, "floor(value) * 2000").withColumn("ts", F.date_trunc("minute", "ts"))
-    return monitoring.critical_lag_alerts(samples)
+    return monitoring.critical_lag_alerts(samples, step_seconds=None)
+
+
+# Alerts as they are evaluated: every five minutes here, each series with its newest sample of the last three hours.
+_STEP, _LOOKBACK = 300, 10_800
+
+
+def _grid_sql(samples: str, series: str) -> str:
+    """(series, ts, event_id, value) at every step: the newest known sample of each series, while it is not too old."""
+    return f"""SELECT {series}, make_timestamp(mark * {_STEP}000000) AS ts, 0 AS event_id, value FROM (
+        SELECT *, unnest(generate_series(slot, least(last, coalesce(following - 1, last)))) AS mark FROM (
+            SELECT *, lead(slot) OVER (PARTITION BY {series} ORDER BY slot) AS following FROM (
+                SELECT {series}, CAST(ceil(epoch_us(ts) / {_STEP}000000) AS BIGINT) AS slot, arg_max(value, (ts, event_id)) AS value,
+                    CAST((max(epoch_us(ts)) + {_LOOKBACK}000000 - 1) // {_STEP}000000 AS BIGINT) AS last
+                FROM ({samples}) AS s WHERE value IS NOT NULL GROUP BY ALL) AS thinned) AS told WHERE last >= slot) AS points"""
+
+
+def _on_grid_held_sql(samples: str, by: str, test: str, seconds: int) -> str:
+    """Episodes over the grid: a step without a value ends one."""
+    return f"""WITH told AS (SELECT *, coalesce(lag({test}) OVER w AND epoch_us(ts) - lag(epoch_us(ts)) OVER w <= {_STEP}000000, false) AS held,
+            {test} AS holds FROM ({samples}) AS s WINDOW w AS (PARTITION BY {by} ORDER BY ts)),
+        marked AS (SELECT *, max(CASE WHEN holds AND NOT held THEN ts END) OVER (PARTITION BY {by} ORDER BY ts) AS active_since FROM told)
+        SELECT {by}, active_since, min(ts) AS firing_since, max(ts) AS last_seen, count(*) AS samples FROM marked
+        WHERE holds AND epoch_us(ts) - epoch_us(active_since) >= {seconds} * 1000000 GROUP BY {by}, active_since"""
+
+
+_GROUPED = f"""SELECT ts, event_id, {_TOPIC}, user_id % 3 AS partition, event_id % 2 AS "group",
+    CASE WHEN event_id % 7 <> 0 THEN floor(value) * {{}} END AS value FROM events WHERE event_type <> 'error'"""
+
+
+def _grouped(spark: SparkSession, sf_dir: str, factor: int) -> DataFrame:
+    """Lags of two consumer groups on three partitions of a topic, all scraped at moments of their own; a seventh of the scrapes failed."""
+    samples = _samples(spark, sf_dir, f"CASE WHEN event_id % 7 <> 0 THEN floor(value) * {factor} END")
+    return samples.withColumns({"partition": F.col("partition") % 3, "group": F.col("event_id") % 2})
+
+
+_EVALUATED = {"step_seconds": _STEP, "lookback_seconds": _LOOKBACK}
+_LABELS = '"group", topic, partition'
+
+
+@query(_on_grid_held_sql(_grid_sql(_GROUPED.format(20), _LABELS), _LABELS, "(value > 1000)", monitoring.LAG_HIGH_SECONDS))
+def alert_lag_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group that is behind fires on its own, whatever other groups on its partition do."""
+    return monitoring.lag_alerts(_grouped(spark, sf_dir, 20), ["event_id"], **_EVALUATED)
+
+
+@query(_on_grid_held_sql(
+    f"SELECT topic, ts, sum(value) AS value FROM ({_grid_sql(_GROUPED.format(50), _LABELS)}) AS g GROUP BY topic, ts",
+    "topic", "(value > 10000)", monitoring.LAG_CRITICAL_SECONDS))
+def alert_lag_critical_unaligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions and groups scraped at different moments add up to a topic's lag."""
+    return monitoring.critical_lag_alerts(_grouped(spark, sf_dir, 50), ["event_id"], **_EVALUATED)
+
+
+@query(_grid_sql(_GROUPED.format(1), _LABELS).replace("0 AS event_id, ", ""))
+def series_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every series is worth at each step, failed scrapes bridged."""
+    samples = monitoring.own_topics(_grouped(spark, sf_dir, 1))
+    seen = on_grid(samples, ["group", "topic", "partition"], _STEP, _LOOKBACK, tie_break=["event_id"])
+    return seen.withColumn("value", F.col("value").cast("double"))
