@@ -200,21 +200,30 @@ def tokenizer():
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(["a", "word", " ", "  ", "\n", "\t", "don't", "42", "日本", "é", "\x85", "\xa0", "​", "\x1c", "<|endoftext|>", "!?", "𝄞"]), max_size=25))
-def test_words_encode_like_the_whole(tokenizer, parts):
+def test_ids_are_those_of_the_tokenizer_file(tokenizer, parts):
     text = "".join(parts)
-    encoder = two_fit.Encoder(two_fit.tokenizer_path())
-    for _ in range(2):  # the second time with known words
-        ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
-        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    ids = np.frombuffer(two_fit.encoder(two_fit.tokenizer_path()).encode(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_words_encode_like_the_whole_on_documents(spark, tokenizer):
+def test_ids_are_those_of_the_tokenizer_file_on_documents(spark, tokenizer):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += [" " * 2_000_000, "\n" * 500_000, "ab" * 500_000, "x \n" * 200_000]
     encoder = two_fit.Encoder(two_fit.tokenizer_path())
+    assert encoder.ranked is not None
     for text, whole in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole.ids
 
 
+def test_files_of_another_kind_go_to_the_tokenizer_library():
+    from tokenizers import Tokenizer
+
+    encoder = two_fit.Encoder(two_fit.tokenizer_path("word_bpe_49k.json"))
+    assert encoder.ranked is None
+    plain = Tokenizer.from_file(two_fit.tokenizer_path("word_bpe_49k.json"))
+    assert np.frombuffer(encoder.encode("Some Words, here"), "<u4").tolist() == plain.encode("Some Words, here", add_special_tokens=False).ids
+
+
 def one_by_one(lengths, size):
     """The method on single pieces: fill greedily, then widen by the shortest for two that fit more tightly."""
     left, bins = sorted(lengths), []
