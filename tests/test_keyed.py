@@ -1,10 +1,12 @@
 import random
+from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import change_feed, flatten_envelope, latest_per_key, scd1, snapshot_diff, upsert
-from tidemark.streaming import KeyedState
-from tidemark.streaming.state import Segment
+from tidemark.streaming import KeyedState, totals_of_changes
 
 SCHEMA = "k string, v int, __op string, __source_ts_ms bigint"
 RANK = {"r": 0, "c": 1, "u": 2, None: 2, "d": 3}
@@ -117,87 +119,143 @@ def batches(spark, rows, n):
     return [spark.createDataFrame(rows[i::n], SCHEMA) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"fold_ratio": 0.0}, {"fold_ratio": 1e9}, {"fold_ratio": 1e9, "few_keys": 0}, {"keep_history": True}, {"tie_break": ("v",)}])
+@pytest.mark.parametrize("options", [{}, {"buckets": 1}, {"buckets": 3}, {"feed": True}, {"tie_break": ("v",)}])
 def test_shuffled_micro_batches_give_the_same_state(spark, folder, options):
     rows = random_changes(11)
     state = keyed(spark, folder, **options)
     for i, batch in enumerate(batches(spark, rows, 6)):
-        assert state.apply(batch, i)
+        state.apply(batch, f"b{i}")
     assert collected(state.read()) == state_of(rows)
 
 
-def test_replay_is_ignored(spark, folder):
+@pytest.mark.parametrize("feed", [False, True])
+def test_replays_change_nothing(spark, folder, feed):
     rows = random_changes(3)
-    state = keyed(spark, folder)
+    state = keyed(spark, folder, feed=feed)
     parts = batches(spark, rows, 3)
     for i, batch in enumerate(parts):
-        state.apply(batch, i)
-    assert not state.apply(parts[0], 0) and not state.apply(parts[2], 2)
+        state.apply(batch, f"b{i}")
+    before = sorted(map(tuple, state.changes().collect()))
+    state.apply(parts[0], "b0")
+    state.apply(parts[2], "b2")
     assert collected(state.read()) == state_of(rows)
+    assert sorted(map(tuple, state.changes().collect())) == before and bool(before) == feed
+
 
+class Died(Exception):
+    pass
 
-def test_a_batch_that_died_while_writing_is_written_again(spark, folder):
+
+@pytest.mark.parametrize("feed", [False, True])
+@pytest.mark.parametrize("at", range(4))
+def test_a_run_that_dies_at_any_write_is_made_good(spark, folder, monkeypatch, at, feed):
+    """Dying before or after the merged buckets are beside the table, and before or after they are in place."""
     rows = random_changes(4)
     first, second = batches(spark, rows, 2)
-    state = keyed(spark, folder, fold_ratio=1e9)
-    state.apply(first, 0)
-    torn = f"{state.path}/{Segment(1, 1).folder}"
-    second.limit(3).write.parquet(torn)
-    (spark._jvm.java.io.File(f"{torn}/_SUCCESS")).delete()
-    assert [s.last for s in state.segments()] == [0]
-    assert state.apply(second, 1)
+    state = keyed(spark, folder, buckets=3, feed=feed)
+    state.apply(first, "b0")
+    write, steps = KeyedState._write, iter(range(9))
+
+    def dying(self, df, path, replaced):
+        if next(steps) == at:
+            raise Died
+        write(self, df, path, replaced)
+        if next(steps) == at:
+            raise Died
+
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedState, "_write", dying)
+        with pytest.raises(Died):
+            state.apply(second, "b1")
+    if at == 2 and not feed:  # as if some partitions had gone and the new ones were not yet there
+        gone = next(p for p in Path(state.path).iterdir() if "=" in p.name)
+        for file in gone.iterdir():
+            file.unlink()
+    state.apply(second, "b1")
     assert collected(state.read()) == state_of(rows)
+    assert not list(Path(f"{state.path}.pending").glob("*"))
+    if feed:
+        assert _live(state.changes().collect()) == state_of(rows)
 
 
-def test_a_fold_that_died_changes_nothing(spark, folder):
-    rows = random_changes(5)
-    state = keyed(spark, folder, fold_ratio=1e9)
-    for i, batch in enumerate(batches(spark, rows, 3)):
-        state.apply(batch, i)
-    torn = f"{state.path}/{Segment(0, 2).folder}"
-    state._rows(state.segments()[:1]).write.parquet(torn)
-    (spark._jvm.java.io.File(f"{torn}/_SUCCESS")).delete()
-    assert collected(state.read()) == state_of(rows)
-    assert state.fold(ratio=0.0) == Segment(0, 2)
-    assert [s.folder for s in state.segments()] == [Segment(0, 2).folder]
-    assert collected(state.read()) == state_of(rows)
+def _live(changes):
+    """The rows left when images before are taken from images after."""
+    left = Counter()
+    for r in changes:
+        left[r.k, r.v] += 1 if r._change_type in ("insert", "update_postimage") else -1
+    assert set(left.values()) <= {0, 1}
+    return {k: v for (k, v), n in left.items() if n}
+
+
+def test_only_touched_buckets_are_rewritten(spark, folder):
+    state = keyed(spark, folder, buckets=8)
+    state.apply(spark.createDataFrame([(f"k{i}", i, "c", i) for i in range(200)], SCHEMA), "a")
+    files = lambda: {str(p.relative_to(state.path)) for p in Path(state.path).glob("*/part-*")}
+    before = files()
+    state.apply(spark.createDataFrame([("k7", 700, "u", 900)], SCHEMA), "b")
+    after = files()
+    assert len(before) == len(after) == 8 and len(before - after) == 1
+    assert collected(state.read())["k7"] == 700
 
 
-def test_segments_stay_few(spark, folder):
-    state = keyed(spark, folder, fold_ratio=0.5)
-    for i in range(9):
-        state.apply(spark.createDataFrame([(f"k{i}", i, "c", i)], SCHEMA), i)
-    assert len(state.segments()) <= 3
-    assert collected(state.read()) == {f"k{i}": i for i in range(9)}
+def test_reading_takes_no_shuffle_and_finding_opens_one_bucket(spark, folder):
+    state = keyed(spark, folder, buckets=8)
+    for i in range(3):
+        state.apply(spark.createDataFrame([(f"k{j}", 10 * i + j, "c", i) for j in range(100)], SCHEMA), f"b{i}")
+    plan = state.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and state.read().count() == 100
+    found = state.find("k42")
+    assert [r.v for r in found.collect()] == [62] and "PartitionFilters: [isnotnull(bucket_of_8" in found._jdf.queryExecution().executedPlan().toString()
+    assert state.find("none").collect() == [] and state.find(None).collect() == []
+
+
+def test_the_number_of_buckets_stays(spark, folder):
+    keyed(spark, folder, buckets=8).apply(spark.createDataFrame([("a", 1, "c", 1)], SCHEMA))
+    with pytest.raises(ValueError, match="bucket_of_4"):
+        keyed(spark, folder, buckets=4).read()
 
 
 def test_tombstones_stop_late_changes_until_they_expire(spark, folder):
     def change(*row):
         return spark.createDataFrame([row], SCHEMA)
 
-    state = keyed(spark, folder, fold_ratio=0.0, tombstone_retention=100)
-    state.apply(change("a", 1, "d", 50), 0)
-    state.apply(change("a", 2, "u", 10), 1)
+    state = keyed(spark, folder, buckets=1, tombstone_retention=100)
+    state.apply(change("a", 1, "d", 50), "0")
+    state.apply(change("a", 2, "u", 10), "1")
     assert collected(state.read()) == {}
-    state.apply(change("b", 3, "c", 1000), 2)
-    state.apply(change("c", 4, "c", 1001), 3)
-    kept = {r.k for r in state._rows(state.segments()).collect()}
-    assert kept == {"b", "c"}
+    state.apply(change("b", 3, "c", 1000), "2")
+    state.apply(change("c", 4, "c", 1001), "3")
+    assert {r.k for r in state._rows().collect()} == {"b", "c"}
+
+
+def test_changes_of_each_batch(spark, folder):
+    state = keyed(spark, folder, feed=True)
+    for i, row in enumerate([("a", 1, "c", 1), ("a", 2, "u", 2), ("a", 5, "u", 1), ("a", 2, "d", 3)]):
+        state.apply(spark.createDataFrame([row, ("same", 0, "c", 0)], SCHEMA), f"b{i}")
+    told = [sorted((r.k, r._change_type, r.v) for r in state.changes(f"b{i}").collect()) for i in range(4)]
+    assert told == [
+        [("a", "insert", 1), ("same", "insert", 0)], [("a", "update_postimage", 2), ("a", "update_preimage", 1)], [], [("a", "delete", 2)],
+    ]
 
 
-def test_state_as_of_an_earlier_batch(spark, folder):
-    state = keyed(spark, folder, fold_ratio=0.0, keep_history=True)
-    for i, row in enumerate([("a", 1, "c", 1), ("a", 2, "u", 2), ("a", 2, "d", 3)]):
-        state.apply(spark.createDataFrame([row], SCHEMA), i)
-    assert [collected(state.read(i)) for i in range(3)] == [{"a": 1}, {"a": 2}, {}]
+def test_totals_follow_the_changes(spark, folder):
+    rows = random_changes(8)
+    state = keyed(spark, folder, feed=True, buckets=4)
+    added = Counter()
+    for i, batch in enumerate(batches(spark, rows, 5)):
+        state.apply(batch, f"b{i}")
+        for r in totals_of_changes(state.changes(f"b{i}").withColumn("odd", F.col("v") % 2), ["odd"], ["v"]).collect():
+            added[r.odd, "rows"] += r.rows
+            added[r.odd, "v"] += r.v
+    now = state.read().groupBy((F.col("v") % 2).alias("odd")).agg(F.count("*").alias("rows"), F.sum("v").alias("v")).collect()
+    assert {k: n for k, n in added.items() if n} == {(r.odd, c): r[c] for r in now for c in ("rows", "v") if r[c]}
 
 
-@pytest.mark.parametrize("few_keys", [0, 8 << 20])
-def test_ties_and_null_keys_do_not_depend_on_how_a_read_merges(spark, folder, few_keys):
-    state = keyed(spark, folder, fold_ratio=1e9, few_keys=few_keys)
+def test_ties_and_null_keys_do_not_depend_on_the_batches(spark, folder):
+    state = keyed(spark, folder)
     parts = [[("a", 1, "u", 7), (None, 1, "u", 1)], [("a", 2, "u", 7), (None, 2, "u", 2)], [("a", 3, "c", 7), ("b", 1, "d", 1)]]
     for i, rows in enumerate(parts):
-        state.apply(spark.createDataFrame(rows, SCHEMA), i)
+        state.apply(spark.createDataFrame(rows, SCHEMA), f"b{i}")
     whole = scd1(spark.createDataFrame([r for p in parts for r in p], SCHEMA), ["k"])
     assert collected(state.read()) == collected(whole)
     assert state.read().columns == ["k", "v", "__op", "__source_ts_ms"]
@@ -205,9 +263,16 @@ def test_ties_and_null_keys_do_not_depend_on_how_a_read_merges(spark, folder, fe
 
 def test_reading_few_columns_of_the_state_reads_few_columns(spark, folder):
     schema = SCHEMA + ", wide string"
-    state = KeyedState(spark, folder + "/s", spark.createDataFrame([], schema).schema, ("k",), fold_ratio=1e9, few_keys=0)
+    state = KeyedState(spark, folder + "/s", spark.createDataFrame([], schema).schema, ("k",))
     for i in range(2):
-        state.apply(spark.createDataFrame([("a", i, "u", i, "w")], schema), i)
+        state.apply(spark.createDataFrame([("a", i, "u", i, "w")], schema), f"b{i}")
     df = state.read().select("k", "v")
     assert "wide" not in df._jdf.queryExecution().executedPlan().toString()
     assert collected(df) == {"a": 1}
+
+
+def test_an_empty_batch_and_an_empty_state(spark, folder):
+    state = keyed(spark, folder, feed=True)
+    assert state.read().collect() == [] and state.changes().collect() == []
+    state.apply(spark.createDataFrame([], SCHEMA), "none")
+    assert state.read().collect() == [] and state.find("a").collect() == []

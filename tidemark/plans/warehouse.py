@@ -19,7 +19,7 @@ from tidemark.sources.files import empty, file_stream, frames_by_schema, parquet
 from tidemark.sources.storage import child_names, delete, exists, make_folder, matching, written
 from tidemark.sources.topics import source_stream
 from tidemark.streaming.flows import QUARANTINE, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
-from tidemark.streaming.state import KeyedState
+from tidemark.streaming.buckets import KeyedState
 
 # The two domains fused into one table instead of getting a silver table each.
 FUSED = ("users_mongo", "users_mssql")

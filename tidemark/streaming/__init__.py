@@ -8,7 +8,7 @@ from tidemark.streaming.flows import (
     scd1_stream,
     silver_stream,
 )
-from tidemark.streaming.state import KeyedState
+from tidemark.streaming.buckets import KeyedState, totals_of_changes
 
 __all__ = [
     "KeyedState",
@@ -19,5 +19,6 @@ __all__ = [
     "route_stream",
     "rule_metrics",
     "scd1_stream",
+    "totals_of_changes",
     "silver_stream",
 ]

@@ -23,9 +23,9 @@ from tidemark.contracts.model import INGESTED_AT, Contract
 from tidemark.functions.rules import all_pass, any_fails
 from tidemark.functions.scalars import instant
 from tidemark.operators.conform import conform, conform_with_new
-from tidemark.operators.quality import failure_counts, rule_counts, split_quarantine
-from tidemark.sources.storage import child_names, make_folder, matching
-from tidemark.streaming.state import KeyedState
+from tidemark.operators.quality import failure_counts
+from tidemark.sources.storage import child_names, delete, make_folder, matching
+from tidemark.streaming.buckets import KeyedState
 
 CLEAN, QUARANTINE = "clean", "quarantine"
 METRICS = "table_name string, batch bigint, rule string, on_failure string, passed bigint, failed bigint"
@@ -136,6 +136,21 @@ def read_bronze(spark: SparkSession, contract: Contract, path: str, counts: str)
     return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
 
 
+def _routed(batch: DataFrame, batch_id: int, contract: Contract, scope: str, folder: str, checkpoint: str, as_of) -> str:
+    """Write a batch by route and count every rule, in one pass over it; returns the batch's name."""
+    spark, seen = batch.sparkSession, Observation()
+    rules = contract.rules_for(scope)
+    name = batch_name(spark, checkpoint, batch_id)
+    now = batch_clock(spark, folder, name, as_of)
+    failed = any_fails([r for r in rules if r.on_failure == "quarantine" and r.check != "unique"], now, contract)
+    counted = batch.observe(seen, *failure_counts(rules, contract, now))
+    routed = counted.withColumn("_route", F.when(failed, QUARANTINE).otherwise(CLEAN))
+    writer = routed.write.mode("overwrite").partitionBy("_route").option("compression", contract.compression)
+    writer.parquet(f"{folder}/rows/batch={name}")
+    _write_metrics(seen.get, contract, scope, batch_id, f"{folder}/metrics/batch={name}", spark)
+    return name
+
+
 def route_stream(
     df: DataFrame, contract: Contract, folder: str, checkpoint: str, scope: str = "silver", as_of=None
 ) -> StreamingQuery:
@@ -146,17 +161,7 @@ def route_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        rules = contract.rules_for(scope)
-        name = batch_name(batch.sparkSession, checkpoint, batch_id)
-        now = batch_clock(batch.sparkSession, folder, name, as_of)
-        failed = any_fails([r for r in rules if r.on_failure == "quarantine" and r.check != "unique"], now, contract)
-        routed = batch.observe(seen, *failure_counts(rules, contract, now)).withColumn(
-            "_route", F.when(failed, QUARANTINE).otherwise(CLEAN)
-        )
-        target = f"{folder}/rows/batch={name}"
-        routed.write.mode("overwrite").partitionBy("_route").parquet(target)
-        _write_metrics(seen.get, contract, scope, batch_id, f"{folder}/metrics/batch={name}", batch.sparkSession)
+        _routed(batch, batch_id, contract, scope, folder, checkpoint, as_of)
 
     return _for_each_batch(df, checkpoint, handle)
 
@@ -179,7 +184,7 @@ def scd1_stream(df: DataFrame, state: KeyedState, checkpoint: str) -> StreamingQ
     """Keep the latest row per key of a change stream; out-of-order arrival does not matter."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        state.apply(batch, batch_id, query_id(batch.sparkSession, checkpoint))
+        state.apply(batch, batch_name(batch.sparkSession, checkpoint, batch_id))
 
     return _for_each_batch(df, checkpoint, handle)
 
@@ -189,20 +194,15 @@ def silver_stream(
 ) -> StreamingQuery:
     """Bronze rows to silver state and quarantine, with the rule counts, under one checkpoint.
 
-    A batch is read from bronze once per output and not persisted: the counts read the rules'
-    columns only, and the quarantine filter is pushed down to files, which skip what holds no
-    null. The state goes last: a batch counts as done when its segment is there, and a replay
-    before that rewrites the batch's quarantine and counts with the same rows.
+    A batch is read from bronze once: one write routes its rows and counts the rules. The clean part is
+    merged into the state from there and then goes. A replay routes and merges the same rows again.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        name = batch_name(batch.sparkSession, checkpoint, batch_id)
-        now = batch_clock(batch.sparkSession, quarantine, name, as_of)
-        clean, failed = split_quarantine(batch, contract, "silver", now)
-        routed = failed.withColumn("_route", F.lit(QUARANTINE))
-        routed.write.mode("overwrite").partitionBy("_route").parquet(f"{quarantine}/rows/batch={name}")
-        counts = rule_counts(batch, contract, "silver", as_of=now).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        counts.write.mode("overwrite").parquet(f"{quarantine}/metrics/batch={name}")
-        state.apply(clean, batch_id, query_id(batch.sparkSession, checkpoint))
+        name = _routed(batch, batch_id, contract, "silver", quarantine, checkpoint, as_of)
+        clean = f"{quarantine}/rows/batch={name}/_route={CLEAN}"
+        if matching(batch.sparkSession, clean):
+            state.apply(batch.sparkSession.read.schema(batch.schema).parquet(clean), name)
+            delete(batch.sparkSession, clean)
 
     return _for_each_batch(df, checkpoint, handle)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import CONTRACTS, load_contract
-from tidemark.operators import change_feed
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import export, file_stream, frames_by_schema, parquet_stream, source_stream, write_clustered
 from tidemark.sources.storage import work_folder
@@ -19,6 +18,7 @@ from tidemark.streaming import (
     route_stream,
     rule_metrics,
     scd1_stream,
+    totals_of_changes,
 )
 from workload.inputs import INPUTS
 from workload.layers import AS_OF, rounded
@@ -127,7 +127,7 @@ def scd1_delete_then_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delete arrives before the older updates of its key, which must not revive it."""
     rows = event_changes(spark, sf_dir)
     folder = work_folder(spark, "late")
-    state = _event_state(spark, f"{folder}/state", rows, fold_ratio=0.0)
+    state = _event_state(spark, f"{folder}/state", rows)
     deletes = F.col("__op") == "d"
     rows.filter(deletes).write.parquet(f"{folder}/in")
     scd1_stream(parquet_stream(spark, f"{folder}/in", rows.schema), state, f"{folder}/checkpoint").awaitTermination()
@@ -143,13 +143,23 @@ _EARLY = "value > 10"
         EVENTS_SQL + f' WHERE {_EARLY}', 'user_id', 'ts DESC, event_id DESC')}) AS s WHERE __op <> 'd'),
     after AS (SELECT user_id, event_id, value FROM ({STATE_SQL}) AS s) {FEED_SQL}""")
 def state_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the second of two batches changed, from the state's two versions."""
+    """What the second of two batches changed, from what its own keys were before."""
     rows = event_changes(spark, sf_dir)
-    state = _event_state(spark, f"{work_folder(spark, 'feed')}/state", rows, keep_history=True)
-    state.apply(rows.filter(_EARLY), 0)
-    state.apply(rows.filter(f"NOT ({_EARLY})"), 1)
-    before, after = (state.read(upto).select("user_id", "event_id", "value") for upto in (0, 1))
-    return change_feed(before, after, ["user_id"])
+    state = _event_state(spark, f"{work_folder(spark, 'feed')}/state", rows, feed=True)
+    state.apply(rows.filter(_EARLY), "early")
+    state.apply(rows.filter(f"NOT ({_EARLY})"), "late")
+    return state.changes("late").select("user_id", "event_id", "value", "_change_type")
+
+
+@query(f"""SELECT __op, count(*) AS "rows", round(sum(value), 2) AS value FROM ({STATE_SQL}) AS s GROUP BY __op""")
+def totals_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate kept up from what four micro-batches changed; the state itself is not read for it."""
+    rows = event_changes(spark, sf_dir)
+    stream, folder, checkpoint = _arrivals(rows, "totals", "event_id")
+    state = _event_state(spark, f"{folder}/state", rows, feed=True)
+    scd1_stream(stream, state, checkpoint).awaitTermination()
+    totals = totals_of_changes(state.changes(), ["__op"], ["value"]).where("rows > 0")
+    return totals.withColumns({"rows": F.col("rows").cast("long"), "value": F.round("value", 2)})
 
 
 def _bound_source(spark: SparkSession, sf_dir: str):
