@@ -4,14 +4,15 @@ An item of a few shingles is a vanishing share of a long document, so signatures
 it. Documents are partitioned by size, and a document of size class 2^k is sketched by the minimum of each of 2^k bins
 of the hash range: one hash function, one permutation, a share of at least 0.63 of its shingles kept at any size. An
 item is looked up by all of its shingles. With sixteen or more, the chance that an item contained to THRESHOLD meets no
-minimum is 0.37^13, some two in a million; if an item has fewer, it is looked up in all shingles of the documents, so
-that none is lost.
+minimum is 0.37^13, some two in a million. An item of fewer shingles could miss them all: such items, and no others, are
+looked up in all shingles of the documents, in the same pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .tables import Scratch, bounded
 
@@ -33,6 +34,19 @@ def _windows(w: str, width: int, make) -> Column:
     return F.transform(at, lambda i: make(*(F.get(F.col(w), i + k) for k in range(width))))
 
 
+def _marks(hashes: DataFrame, short: bool, long: bool) -> DataFrame:
+    """(d, x, minimum) from (d, h): for long items the least hash of every bin, for short ones all hashes."""
+    if not long:
+        return hashes.select("d", F.explode("h").alias("x"), F.lit(False).alias("minimum"))
+    ordered = hashes.select("d", F.sort_array("h").alias("h"))
+    bits = F.least(F.lit(60), F.ceil(F.log2(F.size("h").cast("double"))).cast("int"))
+    ordered = ordered.select("d", "h", (F.lit(64) - bits).alias("cut"))
+    first = "k = 0 or shiftright(x, cut) <> shiftright(get(h, k - 1), cut)"
+    if short:
+        return ordered.select("d", F.expr(f"inline(transform(h, (x, k) -> struct(x as x, {first} as minimum)))"))
+    return ordered.select("d", F.explode(F.expr(f"filter(h, (x, k) -> {first})")).alias("x"), F.lit(True).alias("minimum"))
+
+
 def contained(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", threshold: int = THRESHOLD, width: int = WIDTH
 ) -> DataFrame:
@@ -53,30 +67,24 @@ def contained(
         one = goal.where(F.col("v") == v).select("i", F.lit(v).alias("v"), F.explode(_windows("w", v, lambda *x: F.concat_ws(" ", *x))).alias("s"))
         strings = one if strings is None else strings.unionByName(one)
     if strings is None:
-        return left.limit(0).join(items.select(F.col(item_id).alias("i")).limit(0), F.lit(True)).select(
-            F.col("d").alias("doc_id"), F.col("i").alias("item_id"), *(F.lit(0).cast("long").alias(c) for c in ("matched", "item_shingles")), F.lit(0.0).alias("containment")
-        )
+        kind = T.StructType([T.StructField("doc_id", left.schema["d"].dataType), T.StructField("item_id", goal.schema["i"].dataType)])
+        kind = kind.add("matched", "long").add("item_shingles", "long").add("containment", "double")
+        return docs.sparkSession.createDataFrame([], kind)
     strings = strings.distinct()
     sizes = strings.groupBy("i").agg(F.count("*").alias("q"))
     strings = scratch.keep(strings.join(sizes, "i"))
-    few = {r["v"] for r in strings.groupBy("v").agg(F.min("q").alias("q")).collect() if r["q"] < _FEW}
+    spans = {r["v"]: (r["least"], r["most"]) for r in strings.groupBy("v").agg(F.min("q").alias("least"), F.max("q").alias("most")).collect()}
     hashed = F.xxhash64(*(F.get(F.split("s", " "), F.lit(k)) for k in range(width)))
     lookup = bounded(strings.select("i", "q", "v", hashed.alias("x")))
 
     found = None
     for v in widths:
+        least, most = spans[v]
         marks = left.select("d", words(F.col("t")).alias("w")).where(F.size("w") >= v)
         pad = [F.lit(None).cast("string")] * (width - v)
-        hashes = _windows("w", v, lambda *x: F.xxhash64(*x, *pad))
-        if v in few:
-            marks = marks.select("d", F.explode(hashes).alias("x"))
-        else:
-            marks = marks.select("d", F.sort_array(hashes).alias("h"))
-            bits = F.least(F.lit(60), F.ceil(F.log2(F.size("h").cast("double"))).cast("int"))
-            marks = marks.select("d", "h", (F.lit(64) - bits).alias("cut"))
-            minima = F.expr("filter(h, (x, k) -> k = 0 or shiftright(x, cut) <> shiftright(get(h, k - 1), cut))")
-            marks = marks.select("d", F.explode(minima).alias("x"))
-        hits = marks.join(lookup, "x").where(F.col("v") == v).select("d", "i", "q", "x")
+        marks = marks.select("d", _windows("w", v, lambda *x: F.xxhash64(*x, *pad)).alias("h"))
+        marks = _marks(marks, short=least < _FEW, long=most >= _FEW)
+        hits = marks.join(lookup, "x").where((F.col("v") == v) & (F.col("minimum") | (F.col("q") < _FEW))).select("d", "i", "q", "x")
         found = hits if found is None else found.unionByName(hits)
     # enough minima met: one, or a tenth of a longer item, where half is expected at the threshold
     met = found.groupBy("d", "i", "q").agg(F.count_distinct("x").alias("m")).where("m >= greatest(1, floor(q / 10))")

@@ -11,6 +11,7 @@ parse of its own, and thousands of pieces of many documents take a step together
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,7 +25,8 @@ from .textbatch import slices
 
 UNDETERMINED = "und"
 SEGMENT = 256
-LETTERS = 120
+#: Letters of a language that have a code of their own, its most frequent ones; its others share one.
+LETTERS = 240
 #: The bounded sample: so many distinct texts of a language, so many characters of each.
 TEXTS, CHARS = 64, 400
 #: Lanes of one step.
@@ -80,42 +82,55 @@ def _suffix_automaton(codes: list[int], width: int) -> np.ndarray:
     return moves[: len(link)]
 
 
+# Codes of a language: a run without letters, a letter of its text beyond its alphabet, a letter that its text lacks; the
+# letters of its alphabet follow, and last comes padding.
+_GAP, _RARE, _ABSENT, _FIRST = range(4)
+
+
 class _Parser:
-    """Codes: 0 any run without letters, 1 a letter outside the alphabet, then the letters; the last one is padding.
+    """Automata of all languages in one table, each over its own alphabet.
 
-    A cell holds the next state's row, or its complement if the phrase ends before this letter, which then begins
-    the next one. A letter that the language's text lacks is a phrase of its own: the state after it has no moves.
+    A text is first coded by the letters of all languages together: 0 any run without letters, 1 a letter that none
+    has; ``own`` turns that into a language's code. A cell holds the next state's row, or its complement if the phrase
+    ends before this letter, which then begins the next one. A letter that the language's text lacks is a phrase of its
+    own: the state after it has no moves.
     """
 
     def __init__(self, model: LanguageModel):
-        letters: dict[str, int] = {}
-        for c in "".join(model.texts).lower():
-            if c.isalpha():
-                letters[c] = letters.get(c, 0) + 1
-        alphabet = sorted(letters, key=lambda c: (-letters[c], c))[:LETTERS]
-        self.code = np.zeros(0x110000, np.uint8)
+        texts = [text.lower() for text in model.texts]
+        held = [Counter(filter(str.isalpha, text)) for text in texts]
+        letters = sorted(set().union(*held))
+        self.code = np.zeros(0x110000, np.uint32)
         self.code[_is_letter()] = 1
-        for k, c in enumerate(alphabet):
-            self.code[ord(c)] = k + 2
-        self.width = len(alphabet) + 3
-        self.starts, tables, base, bits = [], [], 0, []
-        for text in model.texts:
-            codes, _ = self._codes([text.lower()])
-            moves = _suffix_automaton(codes.tolist(), self.width)
-            moves = np.vstack([moves, np.full((1, self.width), -1, np.int32)])
-            first = (np.where(moves[0] >= 0, moves[0], len(moves) - 1) + base) * self.width
-            rows = np.where(moves >= 0, (moves + base) * self.width, ~first)
+        self.code[[ord(c) for c in letters]] = np.arange(len(letters)) + 2
+        self.padding = len(letters) + 2
+        self.own = np.full((len(texts), len(letters) + 3), _ABSENT, np.int32)
+        self.own[:, 0] = _GAP
+        starts, tables, base, bits = [], [], 0, []
+        for k, (text, found) in enumerate(zip(texts, held)):
+            alphabet = sorted(found, key=lambda c: (-found[c], c))
+            for n, c in enumerate(alphabet):
+                self.own[k, self.code[ord(c)]] = n + _FIRST if n < LETTERS else _RARE
+            width = min(len(alphabet), LETTERS) + _FIRST + 1
+            self.own[k, -1] = width - 1
+            codes = self.own[k, self._codes([text])[0]]
+            moves = _suffix_automaton(codes.tolist(), width)
+            moves = np.vstack([moves, np.full((1, width), -1, np.int32)])
+            first = np.where(moves[0] >= 0, moves[0], len(moves) - 1) * width + base
+            rows = np.where(moves >= 0, moves * width + base, ~first)
             rows[0] = first  # only a piece begins here, and no phrase ends
-            rows[:, -1] = (np.arange(len(moves)) + base) * self.width
-            tables.append(rows)
-            self.starts.append(base * self.width)
+            rows[:, -1] = np.arange(len(moves)) * width + base
+            tables.append(rows.ravel())
+            starts.append(base)
             bits.append(math.log2(len(codes) + 1))
-            base += len(moves)
-        self.table = np.concatenate(tables).ravel()
-        self.starts, self.bits = np.array(self.starts, np.int32), np.array(bits)
+            base += rows.size
+        if base >= 1 << 31:
+            raise ValueError("the automata of all languages hold over two billion transitions: take fewer texts or characters")
+        self.table = np.concatenate(tables).astype(np.int32)
+        self.starts, self.bits = np.array(starts, np.int32), np.array(bits)
 
     def _codes(self, low: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all texts, runs without letters as one, and where each text begins."""
+        """Common codes of all texts, runs without letters as one, and where each text begins."""
         ends = np.concatenate(([0], np.cumsum([len(t) for t in low])))
         codes = self.code[np.frombuffer("".join(low).encode("utf-32-le"), np.uint32)]
         keep = codes > 0
@@ -146,12 +161,14 @@ class _Parser:
     def _run(self, codes: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         steps = int(length.max())
         places = begin[None, :] + np.arange(steps)[:, None]
-        letter = np.where(np.arange(steps)[:, None] < length, codes[np.minimum(places, len(codes) - 1)], self.width - 1).astype(np.int32)
+        letter = np.where(np.arange(steps)[:, None] < length, codes[np.minimum(places, len(codes) - 1)], self.padding).astype(np.intp)
         state = np.repeat(self.starts[:, None], len(begin), axis=1)
         ended = np.ones_like(state)  # the phrase that the piece ends in
         cell, sign = np.empty_like(state), np.empty_like(state)
+        own = np.empty_like(state)
         for row in letter:
-            np.add(state, row, out=state)
+            np.take(self.own, row, axis=1, out=own, mode="clip")
+            np.add(state, own, out=state)
             np.take(self.table, state, out=cell, mode="clip")
             np.right_shift(cell, 31, out=sign)
             np.subtract(ended, sign, out=ended)

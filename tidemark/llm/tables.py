@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.storage import delete, work_folder
 
-#: Rows of a side that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes of text of a side that may be broadcast; beyond either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,17 +28,23 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def small_batches(spark: SparkSession, records: int = 2000, size: int = 4 << 20) -> None:
-    """Let Arrow batches to Python workers hold no more than this, so that long texts don't add up in memory."""
+    """Let Arrow batches to Python workers hold no more than this, so that long texts don't add up in memory.
+
+    Larger limits of the session are lowered to these and stay so: they are read when a result is computed.
+    """
     for key, most in (("maxRecordsPerBatch", records), ("maxBytesPerBatch", size)):
         key = f"spark.sql.execution.arrow.{key}"
-        now = int(str(spark.conf.get(key)).rstrip("b"))
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(str(spark.conf.get(key)))
         if not 0 < now <= most:
             spark.conf.set(key, str(most))
 
 
-def bounded(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``small``, broadcast if its rows, a few numbers or one shingle each, are counted to be no more than ``limit``."""
-    return F.broadcast(small) if small.count() <= limit else small
+def bounded(small: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``small``, broadcast if its rows, and the bytes of its texts, are counted to be no more than these."""
+    texts = [f.name for f in small.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    held = sum((F.coalesce(F.octet_length(c).cast("long"), F.lit(0)) for c in texts), F.lit(0).cast("long"))
+    found = small.agg(F.count("*").alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(small) if found["n"] <= limit and found["bytes"] <= size else small
 
 
 class Scratch:
@@ -97,20 +104,21 @@ def _followed(parent: DataFrame, times: int = 2) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, label: str, text: str, per_label: int, chars: int, max_labels: int = 200) -> dict[str, list[str]]:
-    """For every label the first ``chars`` characters of the ``per_label`` distinct texts with the smallest hashes.
+    """For each of the ``max_labels`` labels with most rows, the first ``chars`` characters of the ``per_label`` distinct
+    texts with the smallest hashes; of labels with equally many rows the alphabetically first count.
 
-    At most ``max_labels * per_label * chars`` characters reach the driver; more labels raise ValueError. The rows
-    chosen depend on the texts alone, not on their number, order or partitions. Null labels and empty texts don't count.
+    At most ``max_labels * per_label * chars`` characters reach the driver. The rows chosen depend on the texts alone,
+    not on their order or partitions. Null labels and empty texts don't count.
     """
     rows = docs.where(F.col(label).isNotNull() & (F.length(text) > 0))
     rows = rows.select(F.col(label).cast("string").alias("label"), F.xxhash64(text).alias("h"), F.substring(text, 1, chars).alias("head"))
+    most = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).select("label")
+    rows = rows.join(F.broadcast(most), "label", "left_semi")
     chosen = rows.select("label", "h").distinct()
     for keys in (["label", F.pmod("h", F.lit(64))], ["label"]):  # a label of most rows is first ranked in 64 shares
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
         chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= per_label).drop("rank")
-    limits = chosen.groupBy("label").agg(F.max("h").alias("up_to")).limit(max_labels + 1).collect()
-    if len(limits) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    limits = chosen.groupBy("label").agg(F.max("h").alias("up_to")).collect()
     if not limits:
         return {}
     bound = rows.sparkSession.createDataFrame([(r["label"], r["up_to"]) for r in limits], "label string, up_to long")

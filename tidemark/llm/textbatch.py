@@ -7,6 +7,7 @@ few megabytes (one document at least), so memory follows the longest document, n
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ WIDTH = 5
 SLICE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_STEP, _BACK = np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -28,25 +29,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _byte_values() -> np.ndarray:
-    values = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
-    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
-    values[[0x20, *range(0x09, 0x0E)]] = 0
-    return values
-
-
-_VALUES = _byte_values()
-_SPACE = _VALUES == 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _PLACES = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(step: np.uint64, name: str, n: int) -> np.ndarray:
-    if name not in _powers or len(_powers[name]) < n:
-        factors = np.full(max(n, SLICE_BYTES + 1), step, dtype=np.uint64)
-        factors[0] = 1
-        _powers[name] = np.multiply.accumulate(factors)
-    return _powers[name][:n]
+#: Words of at most so many blocks of eight bytes are hashed side by side.
+_BLOCKS = 4
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of ``sizes`` bytes at ``starts``, block by block of eight bytes.
+
+    Each block is mixed into what came before it, so the hash is no polynomial in the bytes, of which some words
+    of simple make share the value. Long words are hashed one by one.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+    out = mixed(sizes.astype(np.uint64) * _ODD)
+    for k in range(_BLOCKS):
+        on = np.flatnonzero(sizes > 8 * k)
+        if not len(on):
+            break
+        block = np.ascontiguousarray(eights[starts[on] + 8 * k]).view("<u8").ravel().astype(np.uint64)
+        spare = np.maximum(0, 8 - (sizes[on] - 8 * k)).astype(np.uint64) * np.uint64(8)
+        block = (block << spare) >> spare
+        out[on] = mixed((out[on] ^ block) + _ODD)
+    for k in np.flatnonzero(sizes > 8 * _BLOCKS):
+        word = data[starts[k] : starts[k] + sizes[k]].tobytes()
+        out[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return out
 
 
 def as_large(texts: pa.Array) -> pa.Array:
@@ -81,15 +93,16 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
     inside = ~_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    at = offsets[:-1][offsets[:-1] < len(data)]
-    first[at] = inside[at]
+    edges = np.zeros(len(data) + 1, bool)
+    at = offsets[offsets < len(data)]
+    edges[at] = True
+    first = inside & edges[:-1]
+    first[1:] |= inside[1:] & ~inside[:-1]
     starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    sums = np.add.reduceat(_VALUES[data] * _power(_STEP, "up", len(data)), starts)
-    return mixed(sums * _power(_BACK, "down", len(data))[starts]), np.searchsorted(starts, offsets)
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | edges[1:-1]
+    sizes = np.flatnonzero(last) + 1 - starts
+    return _hashed(_LOWER[data], starts, sizes), np.searchsorted(starts, offsets)
 
 
 def shingle_hashes(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .tables import Scratch, bounded, small_batches
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
-#: Bytes after which a task begins another archive, and of one range read.
-ARCHIVE_BYTES, RANGE_BYTES = 1 << 30, 4 << 20
+#: Bytes after which a task begins another archive, of one range, and of the ranges that a task reads.
+ARCHIVE_BYTES, RANGE_BYTES, READ_BYTES = 1 << 30, 4 << 20, 32 << 20
 _DATE = "2024-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -100,11 +100,11 @@ def _deflated(data: bytes) -> bytes:
 
 
 class _Archive:
-    """One ZIP file, written front to back under a name of its own and renamed when complete."""
+    """One ZIP file, written front to back and given its name when complete; no other attempt has that name."""
 
     def __init__(self, store: pafs.FileSystem, folder: str, name: str):
         self.store, self.target = store, f"{folder}/{name}"
-        self.temporary = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self.temporary = f"{folder}/.{name}"
         self.stream = store.open_output_stream(self.temporary)
         self.zip = zipfile.ZipFile(self.stream, "w", zipfile.ZIP_STORED)
         self.member = self.zip.open(zipfile.ZipInfo(DATA), "w", force_zip64=True)
@@ -121,24 +121,24 @@ class _Archive:
         self.zip.writestr(zipfile.ZipInfo(INDEX), self.index.getvalue())
         self.zip.close()
         self.stream.close()
-        # another attempt at this task may have been first; its archive holds the same records
-        if self.store.get_file_info(self.target).type == pafs.FileType.NotFound:
-            self.store.move(self.temporary, self.target)
-        else:
-            self.store.delete_file(self.temporary)
+        self.store.move(self.temporary, self.target)
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """(archive, records): writes ``pages`` (page_id, url, html, refers_to) below ``folder``, one archive a task or more."""
+    """(archive, records): writes ``pages`` (page_id, url, html, refers_to) below ``folder``, one archive a task or more.
+
+    Archives are named by the attempt that wrote them, and the rows are those of the attempts that count. Rows may come to
+    an attempt in another order than to the one before it; archives of one that was lost are in no row.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
-        part, done, archive, records = TaskContext.get().partitionId(), [], None, 0
+        attempt, done, archive, records = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", [], None, 0
         for batch in batches:
             for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                 if archive is None:
-                    name, records = f"part-{part:06d}-{len(done):04d}.wacz.zip", 0
+                    name, records = f"part-{attempt}-{len(done):04d}.wacz.zip", 0
                     archive = _Archive(store, root, name)
                 archive.add(record(page_id, url, (html or "").encode("utf-8"), refers_to))
                 records += 1
@@ -246,6 +246,14 @@ def record_ranges(archives: DataFrame, folder: str, range_bytes: int = RANGE_BYT
     return archives.select("archive").mapInArrow(index, "archive string, start long, lengths array<long>")
 
 
+def _spread(ranges: DataFrame) -> DataFrame:
+    """The ranges over as many tasks as their bytes ask for: the rows that say where to read are few and small."""
+    size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)
+    told = ranges.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    at_once = ranges.sparkSession.sparkContext.defaultParallelism
+    return ranges.repartition(max(1, min(told["n"], max(at_once, -(-told["bytes"] // READ_BYTES)))))
+
+
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
 
@@ -305,4 +313,4 @@ def archive_pages(
     )
     archives = scratch.keep(write_archives(with_originals(rows, scratch, min_bytes), folder, archive_bytes))
     ranges = scratch.keep(record_ranges(archives, folder))
-    return read_records(ranges.repartition("archive", "start"), folder)
+    return read_records(_spread(ranges), folder)
