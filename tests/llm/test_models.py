@@ -245,6 +245,28 @@ def test_composition_equals_each_machine():
         assert got == brute_readings(clause)
 
 
+def test_more_labels_than_are_learned(spark):
+    rows = [(k, f"{chr(0x430 + k % 32)}{chr(0x430 + k // 32)}слово слово", f"l{k}", "", "") for k in range(400)]
+    rows += [(1000 + k, "the plain words of a text that is english " * 3, "en", "", "") for k in range(20)] + [(2000, "", "en", "", ""), (2001, None, None, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, x string")
+    model = cross_parsing.fit(docs)
+    assert len(model.languages) == 200 and "en" in model.languages
+    found = {r.doc_id: r.lang_pred for r in cross_parsing.identify(docs, model).collect()}
+    assert found[1003] == "en" and found[2000] == found[2001] == "und" and len(found) == len(rows)
+
+
+def test_scripts_do_not_share_letters(spark):
+    """Languages of scripts with more letters together than any alphabet holds."""
+    rng = random.Random(3)
+    scripts = {"ru": (0x430, 32), "el": (0x3B1, 24), "hi": (0x905, 50), "ja": (0x3042, 80), "zh": (0x4E00, 900), "zh2": (0x5E00, 900), "ka": (0x10D0, 33)}
+    words = {n: ["".join(chr(a + rng.randrange(size)) for _ in range(rng.randrange(2, 6))) for _ in range(60)] for n, (a, size) in scripts.items()}
+    rows = [(k, " ".join(rng.choice(words[n]) for _ in range(30)), n, "", "") for k, n in enumerate(n for n in scripts for _ in range(40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, x string")
+    model = cross_parsing.fit(docs.where("doc_id % 4 <> 1"))
+    found = cross_parsing.identify(docs.where("doc_id % 4 = 1"), model).collect()
+    assert [r.lang_pred for r in found] == [r.lang for r in found] and len(found) == 70
+
+
 def toxic_rows(n, seed):
     rng = random.Random(seed)
     plain = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
@@ -271,6 +293,18 @@ def test_toxicity_on_rows_not_learned_from(spark):
     reader = pattern_grammar._reader(model.lexicon)
     weight = lambda t: pattern_grammar._scores(reader.features(t)[None, :], np.array(model.weights))[0]
     assert weight("you will kill him. you kill.") > weight("we kill time.") > weight("we talk.")
+    threats = {"I will kill you.": True, "we kill time.": False, "I will not hurt you.": False, "he said not to kill her.": False, "they said: he wants to kill her.": False}
+    assert {t: bool(weight(t) >= 0.3) for t in threats} == threats
+
+
+def test_toxicity_with_repeated_rows_and_ties(spark):
+    rows = toxic_rows(300, 4)
+    docs = spark.createDataFrame([r[:2] + ("x", "y", "z") for r in rows], DOCS)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    one, twice = (pattern_grammar.fit(docs, both) for both in (labels, labels.union(labels).repartition(7)))
+    assert one.lexicon == twice.lexicon and np.allclose(one.weights, twice.weights)
+    scored = pattern_grammar.score(docs.union(docs), one).groupBy("doc_id").agg(F.countDistinct("score").alias("n"), F.count("*").alias("rows"))
+    assert {(r.n, r["rows"]) for r in scored.collect()} == {(1, 2)}
 
 
 def test_toxicity_without_labels(spark):

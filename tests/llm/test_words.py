@@ -11,6 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import containment, mixing, ownership, superminhash, textbatch
 from tidemark.llm.tables import Scratch, components
 
@@ -138,6 +140,77 @@ def test_short_items_are_found_in_every_document(spark):
     assert sorted((r.doc_id, r.item_id) for r in out.collect()) == [(d, d % 3) for d in range(6000)]
 
 
+def _planted(rng, items, n):
+    words = [f"v{i}" for i in range(3000)]
+    docs = []
+    for d in range(n):
+        body, at = [rng.choice(words) for _ in range(rng.choice((20, 60, 900)))], rng.randrange(21)
+        passage = rng.choice(items)[1].split()
+        if d % 3:
+            passage[rng.randrange(len(passage))] = "other"
+        docs.append((d, " ".join([*body[:at], *(passage if d % 5 else []), *body[at:]])))
+    return docs
+
+
+def _contained(docs, items):
+    held = {d: shingles(t) for d, t in docs}
+    needed = {i: shingles(t) for i, t in items}
+    return {(d, i) for d, s in held.items() for i, q in needed.items() if 100 * len(s & q) >= 80 * len(q)}
+
+
+@pytest.mark.parametrize("lengths,marks", [((40, 60, 90), {True}), ((8, 40, 60), {True, False})])
+def test_long_items_are_found_by_minima_alone(spark, monkeypatch, lengths, marks):
+    """Whatever short items are there: a long one is only ever looked up by the least hash of a bin."""
+    rng, seen, made = random.Random(5), [], containment._marks
+
+    def told(hashes, short, long):
+        assert long and short == (min(lengths) < 20)
+        out = made(hashes, short, long)
+        seen.append({r[0] for r in out.select("minimum").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(containment, "_marks", told)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate(lengths)]
+    docs = _planted(rng, items, 900)
+    out = containment.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == _contained(docs, items)
+    assert seen == [marks]
+
+
+def test_containment_of_the_given_items_uses_minima(spark, monkeypatch):
+    used, made = [], containment._marks
+    monkeypatch.setattr(containment, "_marks", lambda h, short, long: used.append((short, long)) or made(h, short, long))
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("documents", "benchmark"))
+    containment.contained(docs, items)
+    assert used and all(long for _, long in used)
+
+
+def test_many_sources_and_one_with_a_third_of_the_rows(spark):
+    n = 220_000
+    source = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("host"), "id"))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), source.alias("source"), F.expr("repeat('w ', cast(1 + id % 5 as int))").alias("text"))
+    drawn = mixing.mix(docs, target_entropy=None, max_repeats=None)
+    assert drawn.count() == drawn.select("doc_id").distinct().count() == n  # the plain mixture draws all once
+
+
+@pytest.mark.parametrize("known", [500_000, 0])
+def test_sources_joined_either_way(spark, monkeypatch, known):
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", known)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 7).alias("source"), F.lit("a b c").alias("text"), F.lit(1).alias("tokens"))
+    drawn = mixing.mix(docs, target_entropy=None, max_repeats=None, carry=("text",))
+    assert drawn.count() == 3000 and {r[0] for r in drawn.select("text").distinct().collect()} == {"a b c"}
+
+
+def test_words_of_simple_make_have_hashes_of_their_own(spark):
+    turns = [0]
+    while len(turns) < 2048:
+        turns += [1 - x for x in turns]
+    one, two = ("".join(x[k] for k in turns) for x in ("ab", "ba"))
+    rows = [(1, one), (2, two), (3, f"{one} {two}"), (4, f"{two} {one}"), (5, one.upper())]
+    out = superminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
 def test_containment_equals_brute_force(spark):
     rng = random.Random(2)
     words = [f"v{i}" for i in range(300)]

@@ -39,7 +39,8 @@ SUPPORT, ODDS = 6, 2.5
 THRESHOLD = 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
-_CLAUSE = re.compile(r"[^.!?;:\n]+")
+# A colon goes on to what is said.
+_CLAUSE = re.compile(r"[^.!?;\n]+")
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,19 @@ def grammar() -> Transducer:
 READINGS = tuple(sorted(_MARKED))
 
 
+def _sense(reading: str) -> float:
+    """What a match counts by its reading: a threat denied or told of, or without a target, not at all.
+
+    Words of the learned lexicon insult wherever they stand; a denial or a report takes less from them.
+    """
+    if reading[0] == "I":
+        return 1.0 * (0.6 if "d" in reading else 1) * (0.6 if "r" in reading else 1)
+    return float(reading == "Ta")
+
+
+SENSES = {reading: _sense(reading) for reading in READINGS}
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     """Weights of lexicon entries (a stem, or a whole word marked with a closing ``$``) and of the features."""
@@ -128,7 +142,8 @@ class _Reader:
         return found
 
     def features(self, text: str) -> np.ndarray:
-        """Weights of all matched clauses by reading, matches a thousand words, the heaviest insult, and if there is one."""
+        """Weights of all matched clauses by reading; then what the readings count a thousand words, the heaviest insult,
+        and if there is one."""
         out = np.zeros(len(READINGS) + 3)
         low = text.lower()
         if not len(self.spots):
@@ -144,8 +159,7 @@ class _Reader:
         starts = [a for a, _ in clauses]
         for k in sorted({bisect_right(starts, h) - 1 for h in hits}):
             self._read(low[clauses[k][0] : clauses[k][1]], out)
-        if out.any():
-            out[-3] = 1000 * len(hits) / (len(low) / 6 + 20)
+        out[-3] *= 1000 / (len(low) / 6 + 20)
         out[-1] = float(out[-2] > 0)
         return out
 
@@ -159,6 +173,7 @@ class _Reader:
                 # a target counts on either side; negation and reported speech come before
                 reading = _marked(a, "a") if "a" in b[1:] else a
                 out[READINGS.index(reading)] += x if x > 0 else 1.0
+                out[-3] += SENSES[reading]
                 out[-2] = max(out[-2], x)
 
     def _emitted(self, symbols: list[str]) -> list[str]:
@@ -190,7 +205,7 @@ def _features(lexicon, text):
 def _prior() -> np.ndarray:
     """Weights before any label: readings the sample hardly shows keep the sense the grammar gives them."""
     def of(reading: str) -> float:
-        weight = 1.0 if reading[0] == "I" else 3.0
+        weight = 1.0 if reading[0] == "I" else 3.0 if "a" in reading else 0.5
         return weight * (1.6 if "a" in reading else 1) * (0.4 if "d" in reading else 1) * (0.5 if "r" in reading else 1)
 
     return np.array([-3.0, *map(of, READINGS), 0.0, 0.0, 0.0])
