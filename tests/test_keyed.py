@@ -5,8 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import change_feed, flatten_envelope, latest_per_key, scd1, snapshot_diff, upsert
-from tidemark.streaming import KeyedState, totals_of_changes
+from tidemark.operators import change_feed, clashing_values, flatten_envelope, latest_per_key, scd1, snapshot_diff, upsert
+from tidemark.streaming import KeyedState, ValueIndex, totals_of_changes
 
 SCHEMA = "k string, v int, __op string, __source_ts_ms bigint"
 RANK = {"r": 0, "c": 1, "u": 2, None: 2, "d": 3}
@@ -276,3 +276,40 @@ def test_an_empty_batch_and_an_empty_state(spark, folder):
     assert state.read().collect() == [] and state.changes().collect() == []
     state.apply(spark.createDataFrame([], SCHEMA), "none")
     assert state.read().collect() == [] and state.find("a").collect() == []
+
+
+# --- unique values over micro-batches ----------------------------------------------------------
+
+HOLDERS = "k string, n int, v string"
+
+
+def holders(seed, n=200):
+    rng = random.Random(seed)
+    return [(rng.choice([None, *map(str, range(40))]), rng.choice([None, 1, 2]), rng.choice([None, *(f"v{i}" for i in range(60))])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "n"]])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_index_of_values_gives_the_batch_answer_in_any_order(spark, folder, keys, seed):
+    rows = holders(seed)
+    whole = spark.createDataFrame(rows, HOLDERS)
+    index = ValueIndex.over(spark, f"{folder}/index", whole.schema, "v", keys, buckets=4)
+    order = random.Random(seed).sample(range(5), 5)
+    for i in (*order, order[0]):  # the first batch comes again at the end
+        index.apply(spark.createDataFrame(rows[i::5], HOLDERS), f"b{i}")
+    expected = {r.v for r in clashing_values(whole, "v", keys).collect()}
+    assert {r.v for r in index.clashing().collect()} == expected and 0 < len(expected) < 60
+    batch = whole.limit(20)
+    flags = sorted((str(r.v), r._clashes) for r in index.flagged(batch).collect())
+    assert flags == sorted((str(r.v), r.v in expected) for r in batch.collect())
+
+
+def test_a_batch_opens_the_buckets_of_its_values(spark, folder):
+    rows = [(f"k{i}", 1, f"v{i % 90}") for i in range(100)]
+    whole = spark.createDataFrame(rows, HOLDERS)
+    index = ValueIndex.over(spark, f"{folder}/index", whole.schema, "v", ["k"], buckets=32)
+    index.apply(whole, "a")
+    found = index.clashing(whole.where("v = 'v5'"))
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(bucket_of_32" in scan or "PartitionFilters: [isnotnull(bucket_of_32" in scan
+    assert "v5" in {r.v for r in found.collect()}

@@ -1,11 +1,13 @@
 import io
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.contracts import contract
 from tidemark.operators import latest_per_key
+from tidemark.operators.ranks import ranked
 from tidemark.sources import (
     RateLimits,
     decode_json,
@@ -15,18 +17,21 @@ from tidemark.sources import (
     landing_stream,
     load_summary,
     numbered,
+    parquet_stream,
     read_landing,
     read_snapshot,
     registry_schema,
     select_files,
     source_stream,
+    split_files,
     topic_stream,
     with_domain,
     write_clustered,
     write_snapshot,
 )
+from tidemark.sources import files
 from tidemark.sources.storage import work_folder
-from tidemark.streaming import append_stream
+from tidemark.streaming import append_stream, read_sketches, sketch_stream
 
 
 def put(folder, name, *records):
@@ -198,3 +203,75 @@ def test_topics_need_their_connector(spark):
 def test_work_folder_is_below_the_named_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(base) and work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_footers_are_read_together_and_schemas_inferred_once_each(spark, folder, monkeypatch):
+    for i in range(12):
+        spark.createDataFrame([(i,)], "a int" if i % 3 else "a bigint").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    spark.createDataFrame([(99, "x")], "a int, b string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    paths = [f"file://{p}" for p in Path(f"{folder}/in").glob("*.parquet")]
+    batch = spark.createDataFrame([(p,) for p in paths], "path string")
+    monkeypatch.setattr(files, "_frames_one_by_one", None)
+    frames = files.frames_by_schema(batch)
+    assert sorted(f.schema.simpleString() for f in frames) == ["struct<a:bigint>", "struct<a:int,b:string>", "struct<a:int>"]
+    assert sorted(r.a for f in frames for r in f.collect()) == [*range(12), 99]
+    assert files.frames_by_schema(batch.limit(0)) == []
+
+
+def test_stores_that_only_spark_knows_are_read_by_spark(spark, folder, monkeypatch):
+    for schema in ("a int", "a bigint"):
+        spark.createDataFrame([(1,)], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    monkeypatch.setattr(files, "_store_of", files.pafs.FileSystem.from_uri)
+    assert not files._reachable("viewfs://store/in/a.parquet")
+    monkeypatch.setattr(files, "_reachable", lambda path: False)
+    batch = spark.createDataFrame([(str(p),) for p in Path(f"{folder}/in").glob("*.parquet")], "path string")
+    assert sorted(f.schema.simpleString() for f in files.frames_by_schema(batch)) == ["struct<a:bigint>", "struct<a:int>"]
+
+
+def test_micro_batches_bounded_by_bytes(spark, folder):
+    for i in range(6):
+        spark.range(20_000 * i, 20_000 * (i + 1), 1, 1).write.mode("append").parquet(f"{folder}/in")
+    sizes = [p.stat().st_size for p in Path(f"{folder}/in").glob("*.parquet")]
+    seen = []
+    stream = parquet_stream(spark, f"{folder}/in", spark.range(0).schema, bytes_per_trigger=2 * max(sizes))
+    query = stream.writeStream.foreachBatch(lambda df, i: seen.append(df.count())).option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(seen) == 120_000 and len(seen) == 3 and max(seen) == 40_000
+    with pytest.raises(ValueError, match="not by both"):
+        parquet_stream(spark, f"{folder}/in", spark.range(0).schema, 1, bytes_per_trigger=1)
+
+
+@pytest.mark.parametrize("domain,share", [(None, 0.8), ("kafka_orders", 0.5), ("kafka_orders", 0.0), (None, 1.0)])
+def test_split_over_a_table_is_that_of_the_list(spark, domain, share):
+    names = [f"kafka_orders_{i}.json" for i in range(23)] + [f"mysql_menu_{i}.json" for i in range(8)] + ["junk.json", ""]
+    table = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "file string, size int").repartition(5)
+    found = split_files(table, domain=domain, share=share)
+    got = {b: sorted(r.file for r in found.where(F.col("batch") == b).collect()) for b in ("initial", "incremental")}
+    assert got == {b: select_files(names, b, domain, share) for b in got} and found.columns == ["file", "size", "batch"]
+
+
+def test_places_in_an_order_of_all_rows(spark):
+    rows = [(i % 7 if i % 11 else None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(6)
+    got = {r.b: r.place for r in ranked(df, [F.col("a").desc_nulls_last(), "b"], "place").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert got == {b: i for i, (_, b) in enumerate(order)}
+    assert ranked(df.limit(0), ["b"]).collect() == []
+
+
+def test_distinct_counts_from_sketches_of_batches(spark, folder):
+    rows = [(i % 3 if i % 10 else None, i % 2000) for i in range(12_000)] + [(5, None)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    for part in range(3):
+        df.where(F.col("v").isNull() | (F.col("v") % 3 == part)).coalesce(2).write.mode("append").parquet(f"{folder}/in")
+    stream = parquet_stream(spark, f"{folder}/in", df.schema, 2)
+    for _ in range(2):
+        sketch_stream(stream, ["g"], "v", f"{folder}/out", f"{folder}/cp").awaitTermination()
+        last = max(Path(f"{folder}/cp/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+        last.unlink()  # the last batch runs again and counts once
+        last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+    counted = {r.g: (r.rows, r.distinct_count) for r in read_sketches(spark, df.schema, ["g"], f"{folder}/out").collect()}
+    exact = {r.g: (r.rows, r.n) for r in df.groupBy("g").agg(F.count("*").alias("rows"), F.count_distinct("v").alias("n")).collect()}
+    assert {g: n for g, (n, _) in counted.items() if g != 5} == {g: n for g, (n, _) in exact.items() if g != 5}
+    assert all(abs(counted[g][1] - n) <= 0.05 * n for g, (_, n) in exact.items()) and counted[5][1] == 0
+    assert read_sketches(spark, df.schema, ["g"], f"{folder}/none").collect() == []

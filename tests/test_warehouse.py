@@ -206,3 +206,34 @@ def test_streams_pick_up_where_they_stopped(spark, folder):
         spark.createDataFrame([("a", i, "u", i), (f"k{i}", i, "c", i)], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         scd1_stream(parquet_stream(spark, f"{folder}/in", state.schema, 1), state, f"{folder}/cp").awaitTermination()
     assert {r.k: r.v for r in state.read().collect()} == {"a": 2, "k0": 0, "k1": 1, "k2": 2}
+
+
+def test_unique_values_are_counted_while_the_warehouse_runs(spark, folder):
+    house = Warehouse(spark, f"{folder}/house", contracts={"drivers": contract("drivers")})
+    columns = ["uuid", "driver_id", "__op", "__source_ts_ms"]
+
+    def run(*rows):
+        arrive(spark, f"{folder}/in", "drivers", rows, columns)
+        house.run_bronze(lambda c: file_stream(spark, f"{folder}/in/{c.name}"), AS_OF, frames_by_schema)
+        house.run_silver(AS_OF)
+        counts = house.rule_metrics("drivers").where("rule = 'driver_id_unique'").agg(F.sum("failed").alias("failed"), F.sum("passed").alias("passed")).first()
+        return counts.failed, counts.passed, {r.uuid for r in house.clashes("drivers").where("driver_id_unique").collect()}
+
+    assert run(("u1", "1", "c", 1), ("u2", "2", "c", 1), ("u3", None, "c", 1)) == (0, 3, set())
+    assert run(("u1", "1", "u", 2), ("u4", "2", "c", 1)) == (1, 4, {"u2", "u4"})
+    forget_last_commit(f"{folder}/house/v0/checkpoints/silver/drivers")
+    house.run_silver(AS_OF)
+    assert run(("u5", "5", "c", 1)) == (1, 5, {"u2", "u4"})
+
+
+def test_columns_beyond_the_contract_reach_silver_and_quarantine(spark, folder):
+    meta = (Field("__op", "string"), Field("__source_ts_ms", "long"))
+    c = replace(DRIFT, layers=("bronze", "silver"), fields=(*DRIFT.fields, *meta), rules=(Rule("v", "not_null", "quarantine", ("silver",)),), evolution=Evolution("allowed", "allowed", "allowed"))
+    base = f"{folder}/in/parcels"
+    for rows, schema in (([("a", 1), ("b", None)], "k string, v int"), ([("a", 2, "new"), ("c", None, "lost")], "k string, v int, note string")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(base)
+        house = Warehouse(spark, f"{folder}/house", contracts={"parcels": c}, tie_break={"parcels": ("v",)})
+        house.run_bronze(lambda c: file_stream(spark, f"{folder}/in/{c.name}"), AS_OF, frames_by_schema)
+        house.run_silver(AS_OF)
+    assert [(r.k, r.v, r.note) for r in house.silver("parcels").collect()] == [("a", 2, "new")]
+    assert sorted((r.k, r.note) for r in house.quarantine("parcels").collect()) == [("b", None), ("c", "lost")]

@@ -11,6 +11,7 @@ from tidemark.operators.quality import (
     split_quarantine,
     warn_conditions,
 )
+from tidemark.operators.sketches import distinct_sketches, united
 from tidemark.operators.uniqueness import clashing_values, flag_clashing, unique_against_target
 
 __all__ = [
@@ -19,6 +20,7 @@ __all__ = [
     "clashing_values",
     "conform",
     "conformity_errors",
+    "distinct_sketches",
     "flag_clashing",
     "flatten_envelope",
     "fuse",
@@ -35,6 +37,7 @@ __all__ = [
     "snapshot_plus_changes",
     "split_quarantine",
     "unique_against_target",
+    "united",
     "upsert",
     "warn_conditions",
 ]

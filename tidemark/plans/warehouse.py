@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts.domains import CONTRACTS
-from tidemark.contracts.model import Contract
+from tidemark.contracts.model import Contract, Rule
 from tidemark.plans import gold
 from tidemark.plans import users as user_plan
 from tidemark.plans.medallion import stamp
 from tidemark.sources.files import empty, file_stream, frames_by_schema, parquet_stream, write_clustered
 from tidemark.sources.storage import child_names, delete, exists, make_folder, matching, written
 from tidemark.sources.topics import source_stream
-from tidemark.streaming.flows import QUARANTINE, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
-from tidemark.streaming.buckets import KeyedState
+from tidemark.streaming.flows import QUARANTINE, arrived_type, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
+from tidemark.streaming.buckets import KeyedState, ValueIndex
 
 # The two domains fused into one table instead of getting a silver table each.
 FUSED = ("users_mongo", "users_mssql")
@@ -67,16 +67,36 @@ class Warehouse:
     def silver_contracts(self) -> list[Contract]:
         return [c for c in self.contracts.values() if "silver" in c.layers and c.name not in FUSED]
 
+    def _arrived_type(self, contract: Contract) -> T.StructType:
+        """What bronze holds by now; silver and quarantine carry the columns beyond the contract along."""
+        return arrived_type(self.spark, contract, self.path("bronze_counts", contract.name))
+
     def state(self, contract: Contract) -> KeyedState:
         return KeyedState(
             self.spark,
             self.path("silver", contract.name),
-            contract.record_type,
+            self._arrived_type(contract),
             contract.keys,
             tie_break=self.tie_break.get(contract.name),
             compression=contract.compression,
         )
 
+    def value_index(self, contract: Contract, rule: Rule) -> ValueIndex:
+        """Which keys have carried each value of a column that a ``unique`` rule is about."""
+        path = self.path("unique", f"{contract.name}/{rule.field}")
+        return ValueIndex.over(self.spark, path, contract.record_type, rule.field, contract.keys, compression=contract.compression)
+
+    def _unique_rules(self, contract: Contract) -> list[Rule]:
+        return [r for r in contract.rules_for("silver") if r.check == "unique"]
+
+    def clashes(self, name: str) -> DataFrame:
+        """The current rows of a domain, with a column for each of its unique rules: whether the row's value has been
+        carried by another key, as of the last run."""
+        rows, contract = self.silver(name), self.contracts[name]
+        for rule in self._unique_rules(contract):
+            rows = self.value_index(contract, rule).flagged(rows, rule.name)
+        return rows
+
     def bronze(self, name: str) -> DataFrame:
         """A domain's records, with the columns that arrived beyond its contract, as text."""
         return read_bronze(self.spark, self.contracts[name], self.path("bronze", name), self.path("bronze_counts", name))
@@ -90,7 +110,7 @@ class Warehouse:
         if name == "users":
             return self._refreshed("quarantine", "users")
         folder = self.path("quarantine", name)
-        return read_route(self.spark, folder, self.contracts[name].record_type, QUARANTINE)
+        return read_route(self.spark, folder, self._arrived_type(self.contracts[name]), QUARANTINE)
 
     def rule_metrics(self, name: str) -> DataFrame:
         """Counts per batch and rule of both scopes; a failure of a reject rule is a row dropped from bronze."""
@@ -143,12 +163,13 @@ class Warehouse:
     def run_silver(self, as_of=None) -> None:
         _finish(
             silver_stream(
-                parquet_stream(self.spark, self.path("bronze", c.name), c.record_type, nested=True),
+                parquet_stream(self.spark, self.path("bronze", c.name), self._arrived_type(c), nested=True),
                 c,
                 self.state(c),
                 self.path("quarantine", c.name),
                 self._checkpoint("silver", c.name),
                 as_of,
+                {r.name: self.value_index(c, r) for r in self._unique_rules(c)},
             )
             for c in self.silver_contracts
         )
@@ -181,10 +202,11 @@ class Warehouse:
         """
         if mode == "volume":
             files = int(conf["files_per_trigger"]) if "files_per_trigger" in conf else None
+            size = conf.get("bytes_per_trigger")
 
             def exported(c: Contract) -> DataFrame | None:
                 path = f"{conf['base']}/{c.name}"
-                return file_stream(self.spark, path, files) if exists(self.spark, path) else None
+                return file_stream(self.spark, path, files, size) if exists(self.spark, path) else None
 
             self.run_bronze(exported, as_of, frames_by_schema)
         else:

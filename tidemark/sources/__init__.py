@@ -18,6 +18,7 @@ from tidemark.sources.landing import (
     parse_landing,
     read_landing,
     select_files,
+    split_files,
     with_domain,
 )
 from tidemark.sources.topics import (
@@ -51,6 +52,7 @@ __all__ = [
     "registry_schema",
     "select_files",
     "source_stream",
+    "split_files",
     "topic_batch",
     "topic_stream",
     "with_domain",

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -25,35 +30,88 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, nested: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, nested: bool = False,
+    bytes_per_trigger: str | int | None = None,
 ) -> DataFrame:
     """Stream the Parquet files newly arrived in a folder, each exactly once per checkpoint.
 
-    ``nested``: also those in folders below, whose names add no columns.
+    ``nested``: also those in folders below, whose names add no columns. A micro-batch is bounded by a number of files,
+    or by their bytes, which one file alone may pass.
     """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", nested)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return _limited(reader, files_per_trigger, bytes_per_trigger).parquet(path)
 
 
-def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def _limited(reader, files: int | None, size: str | int | None):
+    """At most so many files, or about so many bytes of files, in a micro-batch; Spark takes one of the two."""
+    if files and size:
+        raise ValueError("limit a micro-batch by files or by bytes, not by both")
+    if size:
+        return reader.option("maxBytesPerTrigger", size)
+    return reader.option("maxFilesPerTrigger", files) if files else reader
+
+
+def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: str | int | None = None) -> DataFrame:
     """Stream the ``path`` of the Parquet files newly arrived in a folder, whatever their columns.
 
     Their content is not read; :func:`frames_by_schema` opens the files of a micro-batch.
     """
     reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
     reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
-    return reader.option("maxFilesPerTrigger", files_per_trigger or FILES_PER_BATCH).load(path).select("path")
+    files = files_per_trigger if files_per_trigger or bytes_per_trigger else FILES_PER_BATCH
+    return _limited(reader, files, bytes_per_trigger).load(path).select("path")
+
+
+def _store_of(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path in it, for the stores that executors reach by URI."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3an?://", "s3://", re.sub(r"^file:/+", "/", path)))
+
+
+def _reachable(path: str) -> bool:
+    try:
+        _store_of(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):  # a store that only Spark knows
+        return False
+    return True
+
+
+def _footer_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The path of each file and a digest of the schema in its footer; nothing else of the file is read."""
+    for batch in batches:
+        prints = []
+        for path in batch.column("path").to_pylist():
+            store, place = _store_of(path)
+            with store.open_input_file(place) as file:
+                footer = pq.read_metadata(file)
+            told = str(footer.schema).split("\n", 1)[1].encode()  # the first line names the object in memory
+            own = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+            prints.append(hashlib.sha256(told + b"\0" + own).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(prints, pa.string())], names=["path", "print"])
 
 
 def frames_by_schema(batch: DataFrame) -> list[DataFrame]:
     """The files that a micro-batch of :func:`file_stream` names, one frame per schema found in their footers.
 
-    The driver holds the names of one micro-batch, as the file stream itself does.
+    Executors read the footers, in one job for all files; Spark then infers the schema of one file of each kind. Where
+    executors cannot reach the store by themselves, Spark infers every file's. The driver holds the names of one
+    micro-batch, as the file stream itself does.
     """
     spark = batch.sparkSession
-    names = sorted(r.path for r in batch.collect())
+    first = batch.select("path").first()
+    if first is None:
+        return []
+    if not _reachable(first.path):
+        return _frames_one_by_one(spark, [r.path for r in batch.select("path").collect()])
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    prints = batch.select("path").repartition(tasks).mapInArrow(_footer_prints, "path string, print string")
+    groups: dict[str, list[str]] = {}
+    for row in sorted(prints.collect()):
+        groups.setdefault(row["print"], []).append(row.path)
+    return [spark.read.schema(spark.read.parquet(names[0]).schema).parquet(*names) for names in groups.values()]
+
+
+def _frames_one_by_one(spark: SparkSession, names: list[str]) -> list[DataFrame]:
+    names = sorted(names)
     with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
         schemas = list(pool.map(lambda name: spark.read.parquet(name).schema, names))
     groups: dict[str, list[str]] = {}

@@ -14,6 +14,7 @@ from tidemark.contracts.model import OP, SEQUENCE, Contract
 from tidemark.functions.scalars import DRIVERS, driver_key
 from tidemark.operators.conform import conformed_columns
 from tidemark.operators.keyed import latest_per_key
+from tidemark.operators import ranks
 from tidemark.sources.storage import child_names
 
 # Columns that arrive as nested JSON and are kept as its text, and the columns a
@@ -61,6 +62,21 @@ def select_files(filenames: Iterable[str], batch: str = "all", domain: str | Non
     return {"initial": known[:cut], "incremental": known[cut:], "all": known}[batch]
 
 
+def split_files(
+    names: DataFrame, filename: str = "file", domain: str | None = None, share: float = 0.8, column: str = "batch"
+) -> DataFrame:
+    """The known files of a table of names, each told its load: ``initial`` for the first ``share``, else ``incremental``.
+
+    As :func:`select_files`, for names that no single machine should hold: they are ordered in ranges.
+    """
+    known = with_domain(names, F.col(filename), "_domain").where(F.col("_domain").isNotNull())
+    known = known.where(F.col("_domain") == domain) if domain else known
+    placed = ranks.ranked(known.drop("_domain"), [filename])
+    total = placed.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    load = F.when(F.col("_rank") < int(total * share), "initial").otherwise("incremental")
+    return placed.select(*names.columns, load.alias(column))
+
+
 def _text_schema(contract: Contract) -> T.StructType:
     """Every payload column as text, typed later by the contract; nested JSON stays JSON."""
     json_columns = JSON_COLUMNS.get(contract.name, ())

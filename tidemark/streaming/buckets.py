@@ -162,6 +162,45 @@ class KeyedState:
         return self.spark.read.schema(schema).parquet(*[p.removesuffix("/_SUCCESS") for p in done])
 
 
+class ValueIndex(KeyedState):
+    """For every value of a column the least and the greatest key that has carried it, over all batches so far.
+
+    A value clashes once they differ: rows with different keys carry it, several versions of one key do not. A batch
+    reads and rewrites the buckets of its own values only, in any order of arrival to the same index. Null values
+    never clash, and a key of one column that is null names no row.
+    """
+
+    @classmethod
+    def over(cls, spark: SparkSession, path: str, rows: T.StructType, field: str, keys: Sequence[str], **options) -> ValueIndex:
+        key = T.StructType([T.StructField(k, rows[k].dataType) for k in keys])
+        schema = T.StructType([T.StructField(field, rows[field].dataType), T.StructField("least", key), T.StructField("greatest", key)])
+        return cls(spark, path, schema, (field,), apply_as_deletes="false", tie_break=("least",), **options)
+
+    def _arriving(self, batch: DataFrame) -> DataFrame:
+        field, keys = self.keys[0], self.schema["least"].dataType.names
+        own = F.struct(*[F.col(f"`{k}`") for k in keys])
+        rows = batch.where(F.col(f"`{field}`").isNotNull())
+        rows = rows.where(F.col(f"`{keys[0]}`").isNotNull()) if len(keys) == 1 else rows
+        return super()._arriving(rows.select(field, own.alias("least"), own.alias("greatest")))
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy(self.bucket, *self.keys).agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+        return ends.select(*rows.columns)
+
+    def clashing(self, batch: DataFrame | None = None) -> DataFrame:
+        """The values that more than one key has carried; with a batch, only its buckets are read for them."""
+        rows = self._rows()
+        if batch is not None:
+            touched = [r[0] for r in self._arriving(batch).select(self.bucket).distinct().collect()]
+            rows = rows.where(F.col(self.bucket).isin(touched))
+        return rows.where("least <> greatest").select(*self.keys)
+
+    def flagged(self, batch: DataFrame, flag: str = "_clashes") -> DataFrame:
+        """The batch, each row told whether its value clashes with any row so far."""
+        told = self.clashing(batch).withColumn("_found", F.lit(True))
+        return batch.join(told, list(self.keys), "left").select(*batch.columns, F.col("_found").isNotNull().alias(flag))
+
+
 def totals_of_changes(changes: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """``by, rows, sums``: what changes add to an aggregate, rows before them subtracted.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 from urllib.parse import quote, unquote
@@ -24,8 +24,9 @@ from tidemark.functions.rules import all_pass, any_fails
 from tidemark.functions.scalars import instant
 from tidemark.operators.conform import conform, conform_with_new
 from tidemark.operators.quality import failure_counts
+from tidemark.operators.sketches import distinct_sketches, united
 from tidemark.sources.storage import child_names, delete, make_folder, matching
-from tidemark.streaming.buckets import KeyedState
+from tidemark.streaming.buckets import KeyedState, ValueIndex
 
 CLEAN, QUARANTINE = "clean", "quarantine"
 METRICS = "table_name string, batch bigint, rule string, on_failure string, passed bigint, failed bigint"
@@ -128,16 +129,21 @@ def bronze_stream(
     return _for_each_batch(df, checkpoint, handle)
 
 
+def arrived_type(spark: SparkSession, contract: Contract, counts: str) -> T.StructType:
+    """The stored columns of a contract, then, as text, those that its files have brought beyond it."""
+    new = [unquote(name) for name in child_names(spark, f"{counts}/columns")]
+    return T.StructType([*contract.record_type.fields, *[T.StructField(name, T.StringType()) for name in new]])
+
+
 def read_bronze(spark: SparkSession, contract: Contract, path: str, counts: str) -> DataFrame:
     """All batches of a bronze table: the contract's columns, then the new ones that any batch brought."""
-    new = [unquote(name) for name in child_names(spark, f"{counts}/columns")]
-    schema = T.StructType([*contract.record_type.fields, *[T.StructField(name, T.StringType()) for name in new]])
+    schema = arrived_type(spark, contract, counts)
     done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{path}/batch=*/_SUCCESS")]
     return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
 
 
-def _routed(batch: DataFrame, batch_id: int, contract: Contract, scope: str, folder: str, checkpoint: str, as_of) -> str:
-    """Write a batch by route and count every rule, in one pass over it; returns the batch's name."""
+def _routed(batch: DataFrame, contract: Contract, scope: str, folder: str, checkpoint: str, batch_id: int, as_of) -> tuple[str, dict]:
+    """Write a batch by route and count every rule, in one pass over it; returns the batch's name and the counts."""
     spark, seen = batch.sparkSession, Observation()
     rules = contract.rules_for(scope)
     name = batch_name(spark, checkpoint, batch_id)
@@ -147,8 +153,7 @@ def _routed(batch: DataFrame, batch_id: int, contract: Contract, scope: str, fol
     routed = counted.withColumn("_route", F.when(failed, QUARANTINE).otherwise(CLEAN))
     writer = routed.write.mode("overwrite").partitionBy("_route").option("compression", contract.compression)
     writer.parquet(f"{folder}/rows/batch={name}")
-    _write_metrics(seen.get, contract, scope, batch_id, f"{folder}/metrics/batch={name}", spark)
-    return name
+    return name, dict(seen.get)
 
 
 def route_stream(
@@ -161,7 +166,8 @@ def route_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _routed(batch, batch_id, contract, scope, folder, checkpoint, as_of)
+        name, counts = _routed(batch, contract, scope, folder, checkpoint, batch_id, as_of)
+        _write_metrics(counts, contract, scope, batch_id, f"{folder}/metrics/batch={name}", batch.sparkSession)
 
     return _for_each_batch(df, checkpoint, handle)
 
@@ -189,20 +195,55 @@ def scd1_stream(df: DataFrame, state: KeyedState, checkpoint: str) -> StreamingQ
     return _for_each_batch(df, checkpoint, handle)
 
 
+def sketch_stream(df: DataFrame, by: Sequence[str], column: str, folder: str, checkpoint: str) -> StreamingQuery:
+    """Keep a sketch of the distinct values of a column for every group and batch; see :func:`read_sketches`.
+
+    A batch is reduced to one row per group, so memory does not follow the values; a replay replaces its own.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        distinct_sketches(batch, by, column).write.mode("overwrite").parquet(f"{folder}/batch={name}")
+
+    return _for_each_batch(df, checkpoint, handle)
+
+
+def read_sketches(spark: SparkSession, schema: T.StructType, by: Sequence[str], folder: str) -> DataFrame:
+    """Rows and distinct values of every group over all batches; ``schema`` is that of the stream."""
+    kind = T.StructType([*(schema[c] for c in by), T.StructField("rows", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{folder}/batch=*/_SUCCESS")]
+    return united(spark.read.schema(kind).parquet(*done) if done else spark.createDataFrame([], kind), by)
+
+
 def silver_stream(
-    df: DataFrame, contract: Contract, state: KeyedState, quarantine: str, checkpoint: str, as_of=None
+    df: DataFrame,
+    contract: Contract,
+    state: KeyedState,
+    quarantine: str,
+    checkpoint: str,
+    as_of=None,
+    indexes: Mapping[str, ValueIndex] | None = None,
 ) -> StreamingQuery:
     """Bronze rows to silver state and quarantine, with the rule counts, under one checkpoint.
 
     A batch is read from bronze once: one write routes its rows and counts the rules. The clean part is
     merged into the state from there and then goes. A replay routes and merges the same rows again.
+
+    ``indexes``, by the name of a ``unique`` rule, are brought up to date with the clean rows; the rule's failures are the
+    rows of the batch whose value clashes with any row so far. They pass all the same.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        name = _routed(batch, batch_id, contract, "silver", quarantine, checkpoint, as_of)
-        clean = f"{quarantine}/rows/batch={name}/_route={CLEAN}"
-        if matching(batch.sparkSession, clean):
-            state.apply(batch.sparkSession.read.schema(batch.schema).parquet(clean), name)
-            delete(batch.sparkSession, clean)
+        spark = batch.sparkSession
+        name, counts = _routed(batch, contract, "silver", quarantine, checkpoint, batch_id, as_of)
+        folder = f"{quarantine}/rows/batch={name}/_route={CLEAN}"
+        if matching(spark, folder):
+            clean = spark.read.schema(batch.schema).parquet(folder)
+            for rule, index in (indexes or {}).items():
+                index.apply(clean, name)
+                counts[rule] = clean.join(index.clashing(clean), list(index.keys), "left_semi").count()
+            state.apply(clean, name)
+            delete(spark, folder)
+        _write_metrics(counts, contract, "silver", batch_id, f"{quarantine}/metrics/batch={name}", spark)
 
     return _for_each_batch(df, checkpoint, handle)

@@ -25,6 +25,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.operators.conform import conformed_columns
+from tidemark.operators.ranks import ranked
 from tidemark.operators.series import on_grid
 from tidemark.plans import monitoring
 from tidemark.sources import (
@@ -33,6 +34,7 @@ from tidemark.sources import (
     parse_landing,
     read_landing,
     select_files,
+    split_files,
     with_domain,
 )
 from tidemark.sources.storage import child_names, work_folder
@@ -495,6 +497,21 @@ def batch_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads[0] if len(loads) == 1 else loads[0].unionByName(loads[1])
 
 
+@query("""WITH names AS (SELECT DISTINCT 'kafka_events_' || CAST(user_id AS STRING) || '_' || event_type || '.json' AS file FROM events),
+    placed AS (SELECT file, row_number() OVER (ORDER BY file) AS place, count(*) OVER () AS files FROM names)
+    SELECT file, CASE WHEN place <= floor(files * 0.8) THEN 'initial' ELSE 'incremental' END AS batch FROM placed""")
+def batch_split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split over a table of names, ordered in ranges; no list of them is held anywhere."""
+    name = "'kafka_events_' || CAST(user_id AS STRING) || '_' || event_type || '.json' AS file"
+    return split_files(table(spark, sf_dir, "events").selectExpr(name).distinct())
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS place FROM lineitem")
+def rank_over_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber"]
+    return ranked(table(spark, sf_dir, "lineitem").select(*keys), keys, "place")
+
+
 @query(f"""WITH routed AS (SELECT *, {_FILE} AS file FROM events)
     SELECT CASE event_type WHEN 'view' THEN 'kafka_orders' WHEN 'click' THEN 'mysql_menu'
         WHEN 'signup' THEN 'mssql_users' END AS domain, count(DISTINCT file) AS files,

@@ -15,9 +15,11 @@ from tidemark.streaming import (
     KeyedState,
     append_stream,
     read_route,
+    read_sketches,
     route_stream,
     rule_metrics,
     scd1_stream,
+    sketch_stream,
     totals_of_changes,
 )
 from workload.inputs import INPUTS
@@ -162,6 +164,24 @@ def totals_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumns({"rows": F.col("rows").cast("long"), "value": F.round("value", 2)})
 
 
+#: Share by which a sketch of distinct values may be off.
+_SKETCH_ERROR = 0.05
+
+
+@query("""SELECT event_type, user_id % 4 AS part, count(*) AS "rows", count(DISTINCT event_id % 3000) AS distinct_ids, true AS near
+    FROM events GROUP BY ALL""")
+def distinct_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values counted from sketches of four micro-batches, held against the exact count."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_type", "user_id % 4 AS part", "event_id", "event_id % 3000 AS id")
+    by = ["event_type", "part"]
+    stream, folder, checkpoint = _arrivals(rows, "sketches", "event_id")
+    sketch_stream(stream, by, "id", f"{folder}/out", checkpoint).awaitTermination()
+    counted = read_sketches(spark, rows.schema, by, f"{folder}/out")
+    exact = rows.groupBy(*by).agg(F.count_distinct("id").alias("distinct_ids"))
+    near = F.abs(F.col("distinct_count") - F.col("distinct_ids")) <= F.col("distinct_ids") * _SKETCH_ERROR
+    return counted.join(exact, by).select(*by, "rows", "distinct_ids", near.alias("near"))
+
+
 def _bound_source(spark: SparkSession, sf_dir: str):
     """Each domain's records as a stream of files, the way exported topics arrive."""
 
@@ -252,6 +272,83 @@ def bronze_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.bronze("drifting").drop("_ingested_at")
 
 
+def _shared(field: str) -> str:
+    """Every eighth holder of a number has taken the number of the next."""
+    return f"CASE WHEN CAST({field} AS INT) % 8 = 0 THEN CAST(CAST({field} AS INT) + 1 AS STRING) ELSE {field} END"
+
+
+_UNIQUE = {"drivers": "driver_id", "restaurants": "cnpj"}
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{d}' AS table_name, uuid, value, count(DISTINCT uuid) OVER (PARTITION BY value) > 1 AS clashes
+    FROM (SELECT uuid, {_shared(f)} AS value FROM ({INPUTS[d].sql}) AS r) AS v WHERE value IS NOT NULL""" for d, f in _UNIQUE.items()))
+def unique_while_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that two drivers or restaurants share, found against the kept index as the batches come."""
+    house = Warehouse(spark, work_folder(spark, "unique"), contracts={d: CONTRACTS[d] for d in _UNIQUE})
+
+    def source(contract):
+        rows = INPUTS[contract.name].frame(spark, sf_dir)
+        field = _UNIQUE[contract.name]
+        return _arrivals(rows.withColumn(field, F.expr(_shared(field))), f"source-{contract.name}", "uuid", 3)[0]
+
+    house.run_bronze(source, AS_OF)
+    house.run_silver(AS_OF)
+    parts = [
+        house.clashes(d).select(F.lit(d).alias("table_name"), "uuid", F.col(f).alias("value"), F.col(f"{f}_unique").alias("clashes"))
+        for d, f in _UNIQUE.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _drifting_people(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Half of the events as an earlier export of changes per user, and half as a later one with another column."""
+    changes = rows.selectExpr("user_id", "event_id", "nullif(greatest(value, 10), 10) AS value", "event_type", "'u' AS __op", "event_id AS __source_ts_ms")
+    return changes.where("event_id % 2 <> 1").drop("event_type"), changes.where("event_id % 2 = 1")
+
+
+PEOPLE = load_contract(
+    {
+        "table": {"name": "people", "layers": ["bronze", "silver"], "merge_key": "user_id"},
+        "schema": [
+            {"name": "user_id", "type": "long", "nullable": False},
+            {"name": "event_id", "type": "long", "nullable": True},
+            {"name": "value", "type": "double", "nullable": True},
+            {"name": "__op", "type": "string", "nullable": True},
+            {"name": "__source_ts_ms", "type": "long", "nullable": True},
+        ],
+        "quality": {"rules": [{"field": "value", "check": "not_null", "on_failure": "quarantine", "scope": ["silver"]}]},
+        "storage": {"cluster_by": ["user_id"]},
+        "schema_evolution": {"new_fields": "allowed", "removed_fields": "forbidden", "type_changes": "forbidden"},
+    }
+)
+
+
+def _drifted_house(spark: SparkSession, sf_dir: str) -> Warehouse:
+    rows, folder = spark.read.parquet(f"{sf_dir}/events.parquet"), work_folder(spark, "drift")
+    for exported in _drifting_people(rows):
+        exported.write.mode("append").parquet(f"{folder}/in/people")
+        house = Warehouse(spark, f"{folder}/house", contracts={"people": PEOPLE}, tie_break={"people": ("event_id",)})
+        house.run_bronze(lambda c: file_stream(spark, f"{folder}/in/{c.name}"), AS_OF, frames_by_schema)
+        house.run_silver(AS_OF)
+    return house
+
+
+_DRIFTED = "SELECT user_id, event_id, CASE WHEN value > 10 THEN value END AS value, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type FROM events"
+
+
+@query(f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place
+    FROM ({_DRIFTED}) AS d WHERE value IS NOT NULL) AS ranked WHERE place = 1""")
+def silver_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that files bring beyond the contract goes through bronze to the current rows."""
+    return _drifted_house(spark, sf_dir).silver("people").select("user_id", "event_id", "value", "event_type")
+
+
+@query(f"SELECT * FROM ({_DRIFTED}) AS d WHERE value IS NULL")
+def quarantine_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drifted_house(spark, sf_dir).quarantine("people").select("user_id", "event_id", "value", "event_type")
+
+
 @query(INPUTS["recommendations"].sql, name="source_switch_volume")
 def source_switch_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A domain exported as typed Parquet and read back through the source switch."""
