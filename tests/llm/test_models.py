@@ -267,6 +267,14 @@ def test_scripts_do_not_share_letters(spark):
     assert [r.lang_pred for r in found] == [r.lang for r in found] and len(found) == 70
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    one, many = (pseudo_likelihood.fit(docs.repartition(n), shard_bytes=60_000) for n in (1, 16))
+    assert np.abs(one - many).max() < 1e-4
+    a, b = ({r.doc_id: r.mean_log_probability for r in pseudo_likelihood.score(docs, w).collect()} for w in (one, many))
+    assert max(abs(a[d] - b[d]) for d in a if a[d] is not None) < 1e-3
+
+
 def toxic_rows(n, seed):
     rng = random.Random(seed)
     plain = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]

@@ -2,8 +2,10 @@
 
 Words are hashed to VOCABULARY tokens. The network sees the two tokens on either side, adds an embedding for each
 place, and predicts the token between: first its class, then the token within the class. Training is data-parallel:
-in a round every partition takes the current weights through its share of the documents by Adagrad, and the weights
-are averaged over all partitions, by tokens seen. Each document is trained on in exactly one round.
+in a round every shard takes the current weights through its documents by Adagrad, and the weights are averaged over
+all shards, by tokens seen. Each document is trained on in exactly one round. A document's shard, and its place in it,
+follow from a hash of its text and id, and the number of shards from the bytes of all texts, so the weights do not
+depend on how the documents are laid out in files or partitions.
 
 The words of the corpus are counted in Spark, each on its own. A word has the probability of its token given both
 sides, times its share of the token: n / (N + 1) if it was counted n times and the words of the token N times. The rest,
@@ -27,6 +29,8 @@ WITHIN = VOCABULARY // CLASSES
 HIDDEN = 12
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS, RATE, BATCH = 2, 0.08, 8192
+#: Bytes of text in a shard, on average.
+SHARD_BYTES = 8 << 20
 _PAD = VOCABULARY
 #: Words of one in so many of all tokens, or more, are looked up by the workers; rarer ones, most of them, by a join.
 COMMON = 100_000
@@ -162,17 +166,21 @@ def _trained(flat: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return train
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 11) -> np.ndarray:
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 11, doc_id: str = "doc_id", shard_bytes: int = SHARD_BYTES) -> np.ndarray:
     """Weights trained on all of ``docs``: round i takes the documents whose text hash is i modulo ``rounds``.
 
     Averages are taken by Spark, one row per weight; the driver gets the average alone. Without words, the initial
-    weights are returned.
+    weights are returned. Copies of a text are spread over shards by their ids.
     """
     small_batches(docs.sparkSession)
     flat = initial(seed)
-    rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(doc_id).cast("long").alias("id")).where("text <> ''")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    held = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(1, -(-held // (rounds * shard_bytes)))
     for i in range(rounds):
-        share = rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i)
+        share = rows.where(F.pmod("h", F.lit(rounds)) == i).withColumn("at", F.xxhash64("h", "id"))
+        share = share.repartition(shards, "at").sortWithinPartitions("at", "h").select("text")
         parts = share.mapInArrow(_trained(flat), "seen double, weights array<double>")
         each = parts.select("seen", F.posexplode("weights").alias("place", "weight"))
         mean = each.groupBy("place").agg((F.sum(F.col("seen") * F.col("weight")) / F.sum("seen")).alias("weight")).collect()
