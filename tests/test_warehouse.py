@@ -1,6 +1,7 @@
 from dataclasses import replace
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from tidemark.contracts import CONTRACTS, Contract, Evolution, Field, Rule, cont
 from tidemark.operators import conform
 from tidemark.plans.warehouse import FUSED, GOLD, Warehouse
 from tidemark.sources import file_stream, frames_by_schema, parquet_stream, write_snapshot
+from tidemark.sources.storage import move
 from tidemark.streaming import KeyedState, read_route, route_stream, rule_metrics, scd1_stream
 from tidemark.streaming.flows import silver_stream
 
@@ -237,3 +239,54 @@ def test_columns_beyond_the_contract_reach_silver_and_quarantine(spark, folder):
         house.run_silver(AS_OF)
     assert [(r.k, r.v, r.note) for r in house.silver("parcels").collect()] == [("a", 2, "new")]
     assert sorted((r.k, r.note) for r in house.quarantine("parcels").collect()) == [("b", None), ("c", "lost")]
+
+
+EVENTS = Contract(
+    "moves", ("bronze", "silver"), "s", "t", ("k",),
+    (Field("k", "long"), Field("v", "integer"), Field("__op", "string"), Field("__source_ts_ms", "long")), cluster_by=("k",),
+)
+
+
+def test_settled_batches_are_few_files_by_key_and_read_as_before(spark, folder, monkeypatch):
+    house = Warehouse(spark, f"{folder}/house", contracts={"moves": EVENTS})
+
+    def arriving(n, first):
+        for i in range(n):
+            spark.range(first + i, 4000, 40, 1).selectExpr("id AS k", f"{first} AS v", "'u' AS __op", f"{first} AS __source_ts_ms").write.mode("append").parquet(f"{folder}/in")
+        house.run_bronze(lambda c: parquet_stream(spark, f"{folder}/in", c.payload_type, 1), AS_OF)
+        house.run_silver(AS_OF)
+
+    def content():
+        return house.bronze("moves").groupBy("v").agg(F.count("*").alias("n"), F.sum("k").alias("k")).orderBy("v").collect()
+
+    arriving(12, 0)
+    before, silver = content(), house.silver("moves").count()
+    assert len(house.bronze("moves").inputFiles()) >= 12
+    moved = []
+    with monkeypatch.context() as patched:  # dies when some batches are aside and others are not
+        patched.setattr("tidemark.streaming.flows.move", lambda *a: moved.append(a) or (move(*a) if len(moved) < 5 else 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            house.settle()
+    assert content() == before
+    with monkeypatch.context() as patched:  # dies before the run is complete
+        patched.setattr("tidemark.streaming.flows.write_clustered", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            house.settle()
+    assert content() == before
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    house.settle()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert content() == before
+    assert not list(Path(f"{folder}/house/v0/bronze/moves").glob("batch=*")) and not list(Path(f"{folder}/house/v0/bronze_settled/moves/waiting").glob("*"))
+    for run in Path(f"{folder}/house/v0/bronze_settled/moves").glob("run=*"):
+        spans = []
+        for file in run.glob("*.parquet"):
+            stats = pq.read_metadata(file).row_group(0).column(0).statistics
+            spans.append((stats.min, stats.max))
+        assert len(spans) > 3 and all(sum(a <= k <= b for a, b in spans) <= 2 for k in (100, 2000, 3900))
+
+    # later batches stand beside the run, and the streams on the table go on where they were
+    arriving(2, 12)
+    assert house.bronze("moves").count() == sum(r.n for r in before) + 200 and house.silver("moves").count() == silver + 200
+    house.settle()
+    assert house.bronze("moves").count() == sum(r.n for r in before) + 200

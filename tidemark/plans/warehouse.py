@@ -18,7 +18,7 @@ from tidemark.plans.medallion import stamp
 from tidemark.sources.files import empty, file_stream, frames_by_schema, parquet_stream, write_clustered
 from tidemark.sources.storage import child_names, delete, exists, make_folder, matching, written
 from tidemark.sources.topics import source_stream
-from tidemark.streaming.flows import QUARANTINE, arrived_type, bronze_stream, read_bronze, read_route, rule_metrics, silver_stream
+from tidemark.streaming.flows import QUARANTINE, arrived_type, bronze_stream, read_bronze, read_route, rule_metrics, settle_bronze, silver_stream
 from tidemark.streaming.buckets import KeyedState, ValueIndex
 
 # The two domains fused into one table instead of getting a silver table each.
@@ -99,7 +99,15 @@ class Warehouse:
 
     def bronze(self, name: str) -> DataFrame:
         """A domain's records, with the columns that arrived beyond its contract, as text."""
-        return read_bronze(self.spark, self.contracts[name], self.path("bronze", name), self.path("bronze_counts", name))
+        return read_bronze(self.spark, self.contracts[name], *self._bronze_paths(name))
+
+    def _bronze_paths(self, name: str) -> list[str]:
+        return [self.path(layer, name) for layer in ("bronze", "bronze_counts", "bronze_settled")]
+
+    def settle(self, names: Iterable[str] | None = None) -> None:
+        """Rewrite bronze batches in large files by key, between two runs; see :func:`settle_bronze`."""
+        for name in names or self.contracts:
+            settle_bronze(self.spark, self.contracts[name], *self._bronze_paths(name))
 
     def silver(self, name: str) -> DataFrame:
         if name != "users":

@@ -45,6 +45,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another place on the same file system."""
+    fs, p = _path(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder all executors can reach, below the checkpoint folder the cluster names.
 

@@ -8,6 +8,7 @@ from tidemark.streaming.flows import (
     route_stream,
     rule_metrics,
     scd1_stream,
+    settle_bronze,
     silver_stream,
     sketch_stream,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "route_stream",
     "rule_metrics",
     "scd1_stream",
+    "settle_bronze",
     "silver_stream",
     "sketch_stream",
     "totals_of_changes",

@@ -25,7 +25,8 @@ from tidemark.functions.scalars import instant
 from tidemark.operators.conform import conform, conform_with_new
 from tidemark.operators.quality import failure_counts
 from tidemark.operators.sketches import distinct_sketches, united
-from tidemark.sources.storage import child_names, delete, make_folder, matching
+from tidemark.sources.files import write_clustered
+from tidemark.sources.storage import child_names, delete, make_folder, matching, move
 from tidemark.streaming.buckets import KeyedState, ValueIndex
 
 CLEAN, QUARANTINE = "clean", "quarantine"
@@ -135,13 +136,45 @@ def arrived_type(spark: SparkSession, contract: Contract, counts: str) -> T.Stru
     return T.StructType([*contract.record_type.fields, *[T.StructField(name, T.StringType()) for name in new]])
 
 
-def read_bronze(spark: SparkSession, contract: Contract, path: str, counts: str) -> DataFrame:
-    """All batches of a bronze table: the contract's columns, then the new ones that any batch brought."""
+def read_bronze(spark: SparkSession, contract: Contract, path: str, counts: str, settled: str | None = None) -> DataFrame:
+    """All batches of a bronze table: the contract's columns, then the new ones that any batch brought.
+
+    ``settled``: the folder of the batches that :func:`settle_bronze` has rewritten.
+    """
     schema = arrived_type(spark, contract, counts)
-    done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{path}/batch=*/_SUCCESS")]
+    patterns = [f"{path}/batch=*/_SUCCESS"]
+    if settled:
+        runs = [p.removesuffix("/_SUCCESS").rsplit("/", 1)[1] for p in matching(spark, f"{settled}/run=*/_SUCCESS")]
+        waiting = [n for n in child_names(spark, f"{settled}/waiting") if n not in runs]
+        patterns += [f"{settled}/{n}/_SUCCESS" for n in runs] + [f"{settled}/waiting/{n}/batch=*/_SUCCESS" for n in waiting]
+    done = [p.removesuffix("/_SUCCESS") for pattern in patterns for p in matching(spark, pattern)]
     return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
 
 
+def settle_bronze(spark: SparkSession, contract: Contract, path: str, counts: str, settled: str) -> None:
+    """Rewrite the batches that a bronze table has gathered as one run of large files, laid out by ranges of its key.
+
+    For a time when no stream writes to the table and those reading it have caught up. Batches first move aside, where they
+    are still read, then count no more once their run is complete; what a run that died left aside is taken up
+    first. So files follow bytes and runs instead of batches, and a filter on the key opens a minority of a run's.
+    """
+    runs = {p.removesuffix("/_SUCCESS").rsplit("/", 1)[1] for p in matching(spark, f"{settled}/run=*/_SUCCESS")}
+    left = child_names(spark, f"{settled}/waiting")
+    batches = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{path}/batch=*/_SUCCESS")]
+    if batches:
+        number = max([int(n.rsplit("=", 1)[1]) for n in (*runs, *left)], default=-1) + 1
+        left.append(f"run={number:09d}")
+        for batch in batches:
+            move(spark, batch, f"{settled}/waiting/{left[-1]}/{batch.rsplit('/', 1)[1]}")
+    for run in left:
+        aside = f"{settled}/waiting/{run}"
+        if run not in runs:
+            done = [p.removesuffix("/_SUCCESS") for p in matching(spark, f"{aside}/batch=*/_SUCCESS")]
+            rows = spark.read.schema(arrived_type(spark, contract, counts)).parquet(*done)
+            write_clustered(rows, f"{settled}/{run}", contract.cluster_by or contract.keys, contract.compression)
+        delete(spark, aside)
+
+
 def _routed(batch: DataFrame, contract: Contract, scope: str, folder: str, checkpoint: str, batch_id: int, as_of) -> tuple[str, dict]:
     """Write a batch by route and count every rule, in one pass over it; returns the batch's name and the counts."""
     spark, seen = batch.sparkSession, Observation()
