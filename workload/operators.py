@@ -38,9 +38,9 @@ from tidemark.sources import (
     with_domain,
 )
 from tidemark.sources.storage import child_names, work_folder
-from workload.inputs import INPUTS
+from workload.inputs import INPUTS, Input
 from workload.layers import AS_OF, bronze_of
-from workload.registry import query, table
+from workload.registry import query, register, table
 
 # --- quality rules ----------------------------------------------------------------------------
 
@@ -463,6 +463,23 @@ def landing_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Every other domain as JSON lines, read back by its contract's projection. A payment event's name arrives as JSON text.
+_AS_JSON = {"payment_events": "* REPLACE (CAST(to_json(event) AS VARCHAR) AS event)"}
+
+
+def _landed(bound: Input):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = bound.frame(spark, sf_dir).select(F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
+        return parse_landing(lines, bound.contract).select(*bound.names)
+
+    return run
+
+
+for _bound in INPUTS.values():
+    if _bound.domain not in ("orders", "order_status"):
+        register(f"landing_{_bound.domain}", _landed(_bound), f"SELECT {_AS_JSON.get(_bound.domain, '*')} FROM ({_bound.sql}) AS r")
+
+
 _FILE = (
     "CASE event_type WHEN 'view' THEN 'kafka_orders_01.json' WHEN 'click' THEN 'mysql_menu_02.json'"
     " WHEN 'signup' THEN 'mssql_users_' || user_id || '.json' WHEN 'error' THEN 'kafka_unknown_1.json'"

@@ -349,6 +349,20 @@ def quarantine_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drifted_house(spark, sf_dir).quarantine("people").select("user_id", "event_id", "value", "event_type")
 
 
+@query(f"SELECT * FROM ({INPUTS['gps_events'].sql}) AS r WHERE gps_id IS NOT NULL")
+def bronze_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches rewritten as large files by key, and later ones beside them."""
+    bound = INPUTS["gps_events"]
+    house = Warehouse(spark, work_folder(spark, "settled"), contracts={"gps_events": bound.contract})
+    rows, path = bound.frame(spark, sf_dir), work_folder(spark, "settled-in")
+    for part in range(2):
+        rows.where(F.pmod(F.xxhash64("gps_id"), F.lit(2)) == part).repartition(3).write.mode("append").parquet(path)
+        house.run_bronze(lambda c: parquet_stream(spark, path, rows.schema, 2), AS_OF)
+        if not part:
+            house.settle()
+    return house.bronze("gps_events").select(*bound.names)
+
+
 @query(INPUTS["recommendations"].sql, name="source_switch_volume")
 def source_switch_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A domain exported as typed Parquet and read back through the source switch."""
