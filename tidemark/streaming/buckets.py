@@ -1,12 +1,12 @@
 """Keyed state as a bucketed Parquet table: SCD type 1 over micro-batches.
 
 The table is partitioned by a hash of the key. A micro-batch merges its latest rows with the buckets that its keys
-fall into and replaces those partitions, by Spark's dynamic partition overwrite; all others stay as they are. Reading
-is a plain scan, every key is there once. Tombstones stay in the table, so a late change cannot revive a deleted key.
+fall into and replaces those partitions; all others stay as they are. Reading is a plain scan, every key is there
+once. Tombstones stay in the table, so a late change cannot revive a deleted key.
 
-The merged buckets are first written beside the table, in full, and then put in place. A run that dies in the middle
-leaves them there for the next one to put in place before anything else; one that dies earlier leaves nothing that
-counts. Merging a batch again gives the same rows, so a replayed batch changes nothing. A state has one writer at a time.
+The merged buckets are first written beside the table, in full, and then their folders are put in place. A run that dies
+in the middle leaves them there for the next one to put in place before anything else; one that dies earlier leaves
+nothing that counts. Merging a batch again gives the same rows, so a replayed batch changes nothing. A state has one writer at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tidemark.contracts.model import OP, SEQUENCE
 from tidemark.functions.scalars import row_hash
 from tidemark.operators.keyed import change_feed, change_order, latest_per_key, without_deletes
-from tidemark.sources.storage import child_names, delete, exists, matching, written
+from tidemark.sources.storage import child_names, delete, exists, matching, move, written
 
 TIE = "_tie"
 CHANGE_TYPE = "_change_type"
@@ -46,7 +46,7 @@ class KeyedState:
     sequence_by: str = SEQUENCE
     apply_as_deletes: str = f"{OP} = 'd'"
     tie_break: tuple[str, ...] | None = None
-    buckets: int = 16
+    buckets: int = 8
     tombstone_retention: int | None = None
     feed: bool = False
     compression: str = "zstd"
@@ -105,34 +105,42 @@ class KeyedState:
         if self.feed and exists(self.spark, f"{self._changes(name)}/_SUCCESS"):
             return
         work = f"{self._pending}/{name}"
-        fresh = written(self._latest(self._arriving(batch)), f"{work}/fresh")
-        touched = [r[0] for r in fresh.select(self.bucket).distinct().collect()]
+        rows = self._arriving(batch)
+        if self.feed:  # the keys of the batch are asked for again
+            rows = written(self._latest(rows), f"{work}/fresh")
+        touched = [r[0] for r in rows.select(self.bucket).distinct().collect()]
         if touched:
+            fresh = rows if self.feed else self._latest(rows)
             merged = self._rows().where(F.col(self.bucket).isin(touched)).unionByName(fresh).repartition(self.bucket)
             merged = self._latest(merged)
             if self.tombstone_retention is not None:
-                merged = merged.filter(~self._expired(fresh))
-            self._write(merged, f"{work}/merged", "static")
+                merged = merged.filter(~self._expired(rows))
+            self._write(merged, f"{work}/merged")
         self.recover()
 
-    def _write(self, rows: DataFrame, path: str, replaced: str) -> None:
-        """Write buckets; ``replaced``: of what is there, all (static) or the same buckets only (dynamic)."""
+    def _write(self, rows: DataFrame, path: str) -> None:
         writer = rows.sortWithinPartitions(self.bucket, *self.keys).write.mode("overwrite").partitionBy(self.bucket)
-        writer.option("partitionOverwriteMode", replaced).option("compression", self.compression).parquet(path)
+        writer.option("compression", self.compression).parquet(path)
+
+    def _put_in_place(self, merged: str) -> None:
+        """Replace the partitions of the table by those written beside it; doing so again does no harm."""
+        for name in child_names(self.spark, merged):
+            if name.startswith(f"{self.bucket}="):
+                delete(self.spark, f"{self.path}/{name}")
+                move(self.spark, f"{merged}/{name}", f"{self.path}/{name}")
 
     def recover(self) -> None:
         """Put merged buckets in place that a run left beside the table; what it left unfinished goes."""
         for name in child_names(self.spark, self._pending):
             work = f"{self._pending}/{name}"
             if exists(self.spark, f"{work}/merged/_SUCCESS"):
-                merged = self._rows(f"{work}/merged")
                 if self.feed and not exists(self.spark, f"{self._changes(name)}/_SUCCESS"):
-                    self._write_changes(merged, f"{work}/fresh", name)
-                self._write(merged, self.path, "dynamic")
+                    self._write_changes(self._rows(f"{work}/merged"), f"{work}/fresh", name)
+                self._put_in_place(f"{work}/merged")
             delete(self.spark, work)
 
-    def _expired(self, fresh: DataFrame) -> Column:
-        newest = fresh.agg(F.max(self.sequence_by)).first()[0]
+    def _expired(self, arrived: DataFrame) -> Column:
+        newest = arrived.agg(F.max(self.sequence_by)).first()[0]
         if newest is None:
             return F.lit(False)
         old = F.coalesce(F.col(self.sequence_by) < F.lit(newest - self.tombstone_retention), F.lit(True))
