@@ -11,26 +11,42 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import containment, cross_parsing, mixing, ownership, superminhash
 from tidemark.llm.queries import ship
-from tidemark.llm.tables import DOCUMENT, Scratch, bounded, table, training_row
+from tidemark.llm.tables import DOCUMENT, Scratch, bounded, held_out, table, training_row
 
 #: Share of the likelihood a predicted language has at least, as a multiple of an even share; a letter or two have less.
 MIN_LANGUAGE_SHARE = 1.2
+#: A given language is replaced on this share of the likelihood, in a text of so many characters.
+DECIDED_SHARE, DECIDED_LENGTH = 0.99, 200
+#: The model can tell a language if it reads so many of the held-out texts given as such alike.
+TOLD_SHARE = 0.8
 
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter; a missing ``lang`` is filled with the prediction, which must be a clear one.
+    """Reject documents without a letter; ``lang`` becomes the language that the text is in, by which the mixture is drawn.
 
-    Where no row has a ``lang`` to learn from, all documents with letters stay, without a language.
+    A missing ``lang`` is filled with the prediction, which must be a clear one. A given one is replaced where a text of
+    some length is decidedly in another language and the model can tell both: it reads most held-out texts given as either
+    alike. A text that the model learned from mostly keeps its ``lang``, right or wrong. Where no row has a ``lang`` to
+    learn from, all documents with letters stay, without a language.
     """
     ship(spark)
     model = cross_parsing.fit(docs.where(training_row()))
-    found = cross_parsing.identify(docs.select(*DOCUMENT), model, language="__found", score="__score")
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    clear = F.col("__score") >= min(1.0, MIN_LANGUAGE_SHARE / len(model.languages)) if model.languages else F.lit(True)
+    lettered = docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select(*DOCUMENT)
+    if not model.languages:
+        return lettered
+    found = cross_parsing.identify(lettered, model, language="__found", score="__score")
+    found = Scratch(spark, "language-stage").keep(found)
+    decided = (F.col("__score") >= DECIDED_SHARE) & (F.length("text") >= DECIDED_LENGTH)
+    alike = F.avg((F.col("lang") == F.col("__found")).cast("int"))
+    told = found.where(held_out() & decided & F.col("lang").isin(*model.languages)).groupBy("lang").agg(alike.alias("alike"))
+    told = [r["lang"] for r in told.where(F.col("alike") >= TOLD_SHARE).collect()]
+    clear = F.col("__score") >= min(1.0, MIN_LANGUAGE_SHARE / len(model.languages))
     predicted = F.when(F.col("__found") != cross_parsing.UNDETERMINED, F.col("__found"))
-    return found.where(lettered & (F.col("lang").isNotNull() | clear)).withColumn("lang", F.coalesce("lang", predicted)).select(*DOCUMENT)
+    other = decided & F.col("lang").isin(*told) & F.col("__found").isin(*told)
+    lang = F.when(F.col("lang").isNull() | other, predicted).otherwise(F.col("lang"))
+    return found.where(F.col("lang").isNotNull() | clear).withColumn("lang", lang).select(*DOCUMENT)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,10 +90,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The drawn documents, text and all, one row per visit, with their place in the order of training.
 
-    Null sources are one source. Documents without words come along with their block. Rows without an id are placed by
-    their text; repeated rows are drawn each.
+    Each language of a source, as the first stage found it, is mixed as a source of its own. Null sources are one source, and
+    so are null languages. Documents without words come along with their block. Rows without an id are placed by their
+    text; repeated rows are drawn each.
     """
-    return mixing.mix(docs, carry=("text", "lang", "n_chars"))
+    return mixing.mix(docs, parts=("lang",), carry=("text", "lang", "n_chars"))
 
 
 STAGES = [

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import zipfile
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import adaptive_scan, cross_parsing, pattern_grammar, preferences, pseudo_likelihood, zip_warc
+from tidemark.llm import adaptive_scan, cross_parsing, mixing, pattern_grammar, preferences, pseudo_likelihood, zip_warc
 from tidemark.llm.queries import ORACLES, QUERIES
 from tidemark.llm.tables import held_out, table, training_row
 from pyspark.sql import functions as F
@@ -461,6 +462,48 @@ def test_language_stage_keeps_texts_with_letters(spark):
     assert sorted((r.doc_id, r.lang) for r in out) == [(i, f"l{i % 4}") for i in range(40)]
 
 
+def test_language_stage_decides_what_is_drawn(spark):
+    rng = random.Random(11)
+    words = {name: ["".join(rng.choices(letters, k=rng.randrange(3, 8))) for _ in range(40)] for name, letters in (("xx", "aeioukl"), ("yy", "aeiourst"))}
+    written = lambda name, n=80: " ".join(rng.choices(words[name], k=n))
+    # texts given as what they are, then held-out ones of yy under other names
+    rows = [(i, written(name), name) for i, name in enumerate(["xx"] * 400 + ["yy"] * 200)]
+    apart = [i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows += [(i, written("yy"), "xx") for i in apart[:12]] + [(i, written("yy"), None) for i in apart[12:15]]
+    rows += [(i, written("yy"), "rare") for i in apart[15:17]] + [(i, written("yy", 4), "xx") for i in apart[17:20]]
+    schema = table(spark, SF, "documents").schema
+    docs = spark.createDataFrame([(i, t, lang, "one", len(t)) for i, t, lang in rows], schema)
+    out = corpus_pipeline.language(spark, docs, SF)
+    wanted = {i: lang for i, _, lang in rows} | dict.fromkeys(apart[:15], "yy")
+    assert {r.doc_id: r.lang for r in out.collect()} == wanted
+    assert {r.doc_id: r.text for r in out.collect()} == {i: t for i, t, _ in rows}
+
+    # the languages found are what the mixture draws by: other rows than by the languages given
+    drawn = corpus_pipeline.mixture(spark, out, SF).collect()
+    tokens, longest = Counter(), max(len(t.split()) for _, t, _ in rows)
+    for i, t, _ in rows:
+        tokens[wanted[i]] += len(t.split())
+    budgets = mixing.solve(tokens, target_entropy=0.95, max_repeats=4.0).budgets
+    got = Counter()
+    for r in drawn:
+        assert r.lang == wanted[r.doc_id]
+        got[r.lang] += r.tokens
+    assert set(got) == set(budgets) and all(0 <= got[k] - budgets[k] < longest for k in got)
+    assert Counter(r.doc_id for r in drawn) != Counter(r.doc_id for r in corpus_pipeline.mixture(spark, docs, SF).collect())
+
+
+def test_language_stage_keeps_what_it_cannot_tell(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("aeioukl", k=rng.randrange(3, 8))) for _ in range(40)]
+    schema = table(spark, SF, "documents").schema
+    rows = [(i, " ".join(rng.choices(words, k=80)), ("xx", "zz")[i % 2], "one", 1) for i in range(400)]
+    model = cross_parsing.fit(spark.createDataFrame(rows, schema).where(training_row()))
+    found = cross_parsing.identify(spark.createDataFrame(rows, schema).where(held_out()), model).collect()
+    assert any(r.lang != r.lang_pred and r.score >= 0.99 for r in found)
+    out = corpus_pipeline.language(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert {r.doc_id: r.lang for r in out} == {i: lang for i, _, lang, *_ in rows}
+
+
 def test_stages_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, table(spark, SF, "documents").limit(0), SF).count() == 0

@@ -295,6 +295,16 @@ def test_mixture_draws_its_budgets(spark, block_rows):
     assert Counter(r.doc_id for r in again if r.doc_id not in (None, 3)) == Counter(r.doc_id for r in drawn if r.doc_id not in (None, 3))
 
 
+def test_parts_of_a_source_are_mixed_apart(spark):
+    names = [("a", "s1:b", 90), ("as1:", "b", 40), ("a", "b", 30), ("a", None, 20), (None, "a", 10)]
+    rows = [(100 * k + i, "one two three", lang, source, None, "", "", 1) for k, (source, lang, n) in enumerate(names) for i in range(n)]
+    drawn = mixing.mix(spark.createDataFrame(rows, SCHEMA), target_entropy=0.95, parts=("lang",), carry=("lang",)).collect()
+    plan = mixing.solve({k: 3 * n for k, (_, _, n) in enumerate(names)}, target_entropy=0.95, max_repeats=4.0)
+    got = Counter((r.source, r.lang) for r in drawn)
+    assert set(got) == {(source, lang) for source, lang, _ in names}
+    assert all(0 <= 3 * got[source, lang] - plan.budgets[k] < 3 for k, (source, lang, _) in enumerate(names))
+
+
 def test_mixture_of_nothing(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert mixing.mix(spark.createDataFrame([(1, " ", None, "a", None, "", "", 1)], SCHEMA)).count() == 0

@@ -165,6 +165,7 @@ def mix(
     seed: int = 0,
     block_rows: int = BLOCK_ROWS,
     carry: Sequence[str] = (),
+    parts: Sequence[str] = (),
 ) -> DataFrame:
     """One row per drawn document: (doc_id, source, pass, turn, block, place, tokens) and the columns to ``carry``.
 
@@ -172,18 +173,26 @@ def mix(
     whole pass, and in the partial pass while the documents before it fall short of the budget, so a budget is exceeded
     by less than one document. Null sources are one source. Documents without words cost nothing and go along with
     their block; a source of nothing else is not drawn. Repeated rows are drawn each. An empty table gives no rows.
-    There may be any number of sources; see :func:`budgets` for what the driver holds of them.
+    There may be any number of sources; see :func:`budgets` for what the driver holds of them. Rows of a source that differ
+    in the columns ``parts`` are sources of their own, told apart by these columns if they are carried.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
+
+    def named(column: str):
+        """The value after its length, so that names of several columns can be told apart when joined."""
+        value = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.lit("s"), F.length(value), F.lit(":"), value), F.lit("n"))
+
     # a row without an id is placed by its text
     rows = docs.select(
+        F.concat(*map(named, (source, *parts))).alias("k"),
         F.col(source).cast("string").alias("source"),
         F.col(doc_id).alias("doc_id"),
         token_count(F.col(text)).alias("tokens"),
         F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.xxhash64(text))).alias("key"),
         *(F.col(c).alias(f"__{c}") for c in carry),
     )
-    rows = rows.withColumn("k", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = scratch.keep(rows)
     totals = scratch.keep(rows.groupBy("k").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")))
     plan = budgets(totals, budget, target_entropy, max_repeats)
