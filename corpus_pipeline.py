@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter; ``lang`` becomes the language that the text is in, by which the mixture is drawn.
 
     A missing ``lang`` is filled with the prediction, which must be a clear one. A given one is replaced where a text of
-    some length is decidedly in another language and the model can tell both: it reads most held-out texts given as either
-    alike. A text that the model learned from mostly keeps its ``lang``, right or wrong. Where no row has a ``lang`` to
+    some length is decidedly in another language, most of its pieces too, and the model can tell both: it reads most held-out
+    texts given as either alike. A text that the model learned from mostly keeps its ``lang``, right or wrong. Where no row has a ``lang`` to
     learn from, all documents with letters stay, without a language.
     """
     ship(spark)
@@ -44,11 +44,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = [r["lang"] for r in told.where(F.col("alike") >= TOLD_SHARE).collect()]
     clear = F.col("__score") >= min(1.0, MIN_LANGUAGE_SHARE / len(model.languages))
     predicted = F.when(F.col("__found") != cross_parsing.UNDETERMINED, F.col("__found"))
-    other = decided & F.col("lang").isin(*told) & F.col("__found").isin(*told)
-    lang = F.when(F.col("lang").isNull() | other, predicted).otherwise(F.col("lang"))
+    other = decided & (F.col("lang") != F.col("__found")) & F.col("lang").isin(*told) & F.col("__found").isin(*told)
+    found = found.withColumn("__text", F.when(other, F.sha2("text", 256)))
+    mostly = _mostly(found.where(other), model).withColumn("__mostly", F.lit(True))
+    found = found.join(bounded(Scratch(spark, "language-pieces").keep(mostly)), "__text", "left")
+    lang = F.when(F.col("lang").isNull() | F.col("__mostly"), predicted).otherwise(F.col("lang"))
     return found.where(F.col("lang").isNotNull() | clear).withColumn("lang", lang).select(*DOCUMENT)
 
 
+def _mostly(found: DataFrame, model: cross_parsing.LanguageModel) -> DataFrame:
+    """``__text`` of texts that are in ``__found`` for over half of their length, piece by piece.
+
+    A text of two languages may be read as a third one that is dear for neither.
+    """
+    texts = found.groupBy("__text").agg(F.min("text").alias("text"), F.min("__found").alias("whole"))
+    starts = F.sequence(F.lit(1), F.length("text"), F.lit(DECIDED_LENGTH))
+    pieces = texts.select("__text", "whole", F.explode(F.transform(starts, lambda i: F.substring("text", i, F.lit(DECIDED_LENGTH)))).alias("piece"))
+    read = cross_parsing.identify(pieces, model, text="piece", language="__found", score="__score")
+    share = F.sum(F.when(F.col("__found") == F.col("whole"), F.length("piece")).otherwise(0)) / F.sum(F.length("piece"))
+    return read.groupBy("__text").agg(share.alias("share")).where("share > 0.5").select("__text")
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of each group with the smallest doc_id, once; documents without an id stay."""
     ship(spark)

@@ -492,6 +492,14 @@ def test_language_stage_decides_what_is_drawn(spark):
     assert Counter(r.doc_id for r in drawn) != Counter(r.doc_id for r in corpus_pipeline.mixture(spark, docs, SF).collect())
 
 
+def test_language_stage_keeps_texts_of_two_languages(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    given = {r.doc_id: r.lang for r in docs.collect()}
+    out = corpus_pipeline.language(spark, docs, SF).collect()
+    # German around a passage in French is not English
+    assert {r.doc_id for r in out if r.lang != given[r.doc_id]} == set() and len(out) == len(given)
+
+
 def test_language_stage_keeps_what_it_cannot_tell(spark):
     rng = random.Random(12)
     words = ["".join(rng.choices("aeioukl", k=rng.randrange(3, 8))) for _ in range(40)]
